@@ -1,0 +1 @@
+"""Nothing to stream: every job here is a batch refresh of whole tables."""
