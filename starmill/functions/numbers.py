@@ -30,6 +30,11 @@ def quotient(total: Column, by: Column) -> Column:
     return F.coalesce(fine.cast("decimal(26,16)"), wide.cast("decimal(26,16)"))
 
 
+def mean(total: Column, n: Column) -> Column:
+    """Mean from a sum with at most two decimals and a count, to 14 places."""
+    return F.try_divide(total.cast("decimal(26,2)"), n.cast("decimal(14,0)")).cast("decimal(38,14)")
+
+
 def mean_of_decimal(c: Column) -> Column:
     """Mean of a decimal measure with at most ten digits before the point, to 20 places."""
     return F.avg(c.cast("decimal(26,16)"))

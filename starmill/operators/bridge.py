@@ -24,10 +24,10 @@ def build_bridge(
     listed = raw.select("raw_id", column).join(snapshot.select("raw_id", "snapshot_id"), "raw_id")
     return (
         open_lists(listed, "snapshot_id", column, cfg)
-        .withColumn("genre_name_norm", name_key(F.col("value")))
+        .select("snapshot_id", name_key(F.col("value")).alias("genre_name_norm"))
+        .distinct()
         .join(genre.select("genre_name_norm", "genre_id"), "genre_name_norm")
         .select("snapshot_id", "genre_id")
-        .distinct()
     )
 
 

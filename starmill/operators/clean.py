@@ -107,13 +107,14 @@ def clean_snapshot(
 ) -> DataFrame:
     """Snapshots with standardised versions, ten flags, issue count and status.
 
-    All large sides are keyed by the row's id and meet on one partitioning of it. Flags are
-    three-valued on purpose: an unknown comparison stays NULL.
+    The type is looked up first, so whichever way that join goes, the rows end up on the
+    partitioning by row id that the large sides share. Flags are three-valued on purpose: an
+    unknown comparison stays NULL.
     """
     base = (
-        snapshot.join(raw.select("raw_id", F.col("size").alias("raw_size")), "raw_id", "left")
+        snapshot.join(app_type.select("app_type_id", "app_type_name_norm"), "app_type_id", "left")
+        .join(raw.select("raw_id", F.col("size").alias("raw_size")), "raw_id", "left")
         .join(genre_counts(bridge), "snapshot_id", "left")
-        .join(app_type.select("app_type_id", "app_type_name_norm"), "app_type_id", "left")
         .withColumns(
             {
                 "genre_count": F.coalesce("genre_count", F.lit(0)).cast("bigint"),

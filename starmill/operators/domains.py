@@ -64,12 +64,12 @@ def insert_if_absent(
     Of several new rows with one key the lowest by ``first_by``, then by the other columns, wins.
     """
     rest = [*first_by, *[c for c in new.columns if c not in keys and c not in first_by]]
-    added = new.join(target.select(*keys), keys, "left_anti")
     if rest:
-        firsts = added.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
-        added = firsts.select(*keys, "_first.*")
+        firsts = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
+        firsts = firsts.select(*keys, "_first.*")
     else:
-        added = added.distinct()
+        firsts = new.select(*keys).distinct()
+    added = firsts.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(added.select(*target.columns))
 
 

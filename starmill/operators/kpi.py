@@ -1,11 +1,24 @@
-"""Analyses over the star schema."""
+"""Analyses over the star schema.
+
+Rows are summed per dimension key before they meet the dimension, so what is joined and regrouped
+by name is one row per member and task, however many facts a member holds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.numbers import mean_of_decimal, mean_of_whole, quotient, weighted
+from starmill.functions.numbers import mean, mean_of_decimal, mean_of_whole, quotient, weighted
+
+# Measure and the decimal its sum needs.
+SUMS = {
+    "rating": "decimal(28,2)",
+    "reviews_count": "decimal(28,0)",
+    "installs_count": "decimal(28,0)",
+    "price_usd": "decimal(28,2)",
+    "size_bytes": "decimal(28,0)",
+}
 
 
 def genre_fractional(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
@@ -37,23 +50,39 @@ def genre_fractional(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -
 
 def genre_weighted_kpis(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
     """Sums and mean rating per genre that count every snapshot once in total."""
-    rated = F.when(F.col("rating").isNotNull(), F.col("weight"))
-    points = F.col("rating") * F.col("weight").cast("decimal(13,12)")
+    weight, rating = F.col("weight"), F.col("rating")
+    rows = fact.select("app_snapshot_key", "rating", "reviews_count", "installs_count").join(
+        bridge, "app_snapshot_key"
+    )
+    per_key = rows.groupBy("genre_key").agg(
+        F.sum(weight).alias("weights"),
+        F.sum(weighted(F.col("reviews_count"), weight)).alias("reviews"),
+        F.sum(weighted(F.col("installs_count"), weight)).alias("installs"),
+        F.sum(rating.cast(SUMS["rating"])).alias("ratings"),
+        F.count(rating).alias("rated"),
+        F.sum(rating * weight.cast("decimal(13,12)")).alias("weighted_ratings"),
+        F.sum(F.when(rating.isNotNull(), weight)).alias("rated_weights"),
+    )
     return (
-        genre_fractional(fact, bridge, dim_genre)
+        per_key.join(dim_genre.select("genre_key", "genre_name"), "genre_key")
         .groupBy("genre_name")
         .agg(
-            F.sum("weighted_snapshot_count").alias("weighted_snapshot_count"),
-            F.sum("weighted_reviews_count").alias("weighted_reviews_count"),
-            F.sum("weighted_installs_count").alias("weighted_installs_count"),
-            mean_of_decimal(F.col("rating")).alias("avg_rating_unweighted"),
-            quotient(F.sum(points), F.sum(rated)).alias("avg_rating_weighted"),
+            F.sum("weights").alias("weighted_snapshot_count"),
+            F.sum("reviews").alias("weighted_reviews_count"),
+            F.sum("installs").alias("weighted_installs_count"),
+            mean(F.sum("ratings"), F.sum("rated")).alias("avg_rating_unweighted"),
+            quotient(F.sum("weighted_ratings"), F.sum("rated_weights")).alias(
+                "avg_rating_weighted"
+            ),
         )
     )
 
 
 def genre_membership(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
-    """Plain means per genre; a snapshot counts in each of its genres."""
+    """Plain means per genre; a snapshot counts in each of its genres.
+
+    Distinct snapshots are found on the partitioning by snapshot that fact and bridge share.
+    """
     return (
         fact.select("app_snapshot_key", "rating", "price_usd", "size_bytes")
         .join(bridge.select("app_snapshot_key", "genre_key"), "app_snapshot_key")
@@ -68,45 +97,53 @@ def genre_membership(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -
     )
 
 
-def measures_by(enriched: DataFrame, *columns: str) -> DataFrame:
+def measures_by(fact: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
     """Main measures per member of a dimension other than genre."""
-    return enriched.groupBy(*columns).agg(
-        F.count("*").alias("snapshot_count"),
-        mean_of_decimal(F.col("rating")).alias("avg_rating"),
-        F.sum(F.col("reviews_count").cast("decimal(28,0)")).alias("sum_reviews"),
-        F.sum(F.col("installs_count").cast("decimal(28,0)")).alias("sum_installs"),
-        mean_of_decimal(F.col("price_usd")).alias("avg_price_usd"),
-        mean_of_whole(F.col("size_bytes")).alias("avg_size_bytes"),
+    name = f"{entity}_name"
+    members = _summed(fact, f"{entity}_key").join(
+        dim.select(f"{entity}_key", name), f"{entity}_key"
+    )
+    return members.groupBy(name).agg(
+        F.sum("n").alias("snapshot_count"),
+        _mean_of("rating").alias("avg_rating"),
+        F.sum("sum_reviews_count").alias("sum_reviews"),
+        F.sum("sum_installs_count").alias("sum_installs"),
+        _mean_of("price_usd").alias("avg_price_usd"),
+        _mean_of("size_bytes").alias("avg_size_bytes"),
     )
 
 
-def snapshots_over_time(enriched: DataFrame) -> DataFrame:
+def snapshots_over_time(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Snapshot counts and means per year, quarter and month of update, with subtotals.
 
-    Only counts and means: the measures do not add up over time. Rows are first folded to one
-    per month, so the roll-up expands months and not snapshots.
+    Only counts and means: the measures do not add up over time. The roll-up expands days, not
+    snapshots.
     """
-    months = enriched.groupBy("year", "quarter", "month").agg(
-        F.count("*").alias("n"),
-        F.count("rating").alias("n_rating"),
-        F.sum(F.col("rating").cast("decimal(26,2)")).alias("s_rating"),
-        F.count("reviews_count").alias("n_reviews"),
-        F.sum(F.col("reviews_count").cast("decimal(26,0)")).alias("s_reviews"),
-        F.count("installs_count").alias("n_installs"),
-        F.sum(F.col("installs_count").cast("decimal(26,0)")).alias("s_installs"),
+    days = _summed(fact, "last_updated_date_key").join(
+        dim_date.select("last_updated_date_key", "year", "quarter", "month"),
+        "last_updated_date_key",
     )
-
-    def mean(total: str, n: str):
-        return F.try_divide(F.sum(total).cast("decimal(24,2)"), F.sum(n).cast("decimal(12,0)"))
-
-    return months.rollup("year", "quarter", "month").agg(
+    return days.rollup("year", "quarter", "month").agg(
         F.sum("n").alias("snapshot_count"),
-        mean("s_rating", "n_rating").alias("avg_rating"),
-        mean("s_reviews", "n_reviews").alias("avg_reviews"),
-        mean("s_installs", "n_installs").alias("avg_installs"),
+        _mean_of("rating").alias("avg_rating"),
+        _mean_of("reviews_count").alias("avg_reviews"),
+        _mean_of("installs_count").alias("avg_installs"),
     )
 
 
 def top_k(df: DataFrame, by: str, k: int, tiebreak: str) -> DataFrame:
     """The ``k`` rows with the highest ``by``."""
     return df.orderBy(F.desc(by), tiebreak).limit(k)
+
+
+def _summed(fact: DataFrame, key: str) -> DataFrame:
+    """Count, sum and non-NULL count of every measure per dimension key."""
+    return fact.groupBy(key).agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.col(m).cast(number)).alias(f"sum_{m}") for m, number in SUMS.items()],
+        *[F.count(m).alias(f"n_{m}") for m in SUMS],
+    )
+
+
+def _mean_of(measure: str) -> Column:
+    return mean(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}"))

@@ -97,10 +97,13 @@ def build_fact(
 
 
 def build_dw_bridge(clean_bridge: DataFrame, fact: DataFrame, dim_genre: DataFrame) -> DataFrame:
-    """Weighted bridge on warehouse keys, for the snapshots that reached the fact."""
+    """Weighted bridge on warehouse keys, for the snapshots that reached the fact.
+
+    The fact joins last: the rows stay on the partitioning by snapshot.
+    """
     return (
-        clean_bridge.join(fact.select("snapshot_id", "app_snapshot_key"), "snapshot_id")
-        .join(dim_genre.select("genre_id", "genre_key"), "genre_id")
+        clean_bridge.join(dim_genre.select("genre_id", "genre_key"), "genre_id")
+        .join(fact.select("snapshot_id", "app_snapshot_key"), "snapshot_id")
         .select("app_snapshot_key", "genre_key", "weight")
     )
 

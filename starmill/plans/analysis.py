@@ -33,21 +33,16 @@ def top_genres(ly: Layers) -> DataFrame:
 
 
 def by_category(ly: Layers) -> DataFrame:
-    return kpi.measures_by(_with_dim(ly, "category"), "category_name")
+    return kpi.measures_by(ly["fact"], ly["dim_category"], "category")
 
 
 def by_app_type(ly: Layers) -> DataFrame:
-    return kpi.measures_by(_with_dim(ly, "app_type"), "app_type_name")
+    return kpi.measures_by(ly["fact"], ly["dim_app_type"], "app_type")
 
 
 def by_content_rating(ly: Layers) -> DataFrame:
-    return kpi.measures_by(_with_dim(ly, "content_rating"), "content_rating_name")
+    return kpi.measures_by(ly["fact"], ly["dim_content_rating"], "content_rating")
 
 
 def over_time(ly: Layers) -> DataFrame:
-    return kpi.snapshots_over_time(_with_dim(ly, "last_updated_date"))
-
-
-def _with_dim(ly: Layers, entity: str) -> DataFrame:
-    """Facts with the one dimension an analysis asks for; the others keep their keys."""
-    return ly["fact"].join(ly.dims()[entity], f"{entity}_key")
+    return kpi.snapshots_over_time(ly["fact"], ly["dim_last_updated_date"])

@@ -26,6 +26,7 @@ class LayerTable:
     comment: str
     key: str | None = None
     equal_to_key: tuple[str, ...] = ()
+    in_place: bool = False
 
 
 class Layers:
@@ -52,7 +53,9 @@ class Layers:
             spec = TABLES[name]
             df = spec.build(self)
             if self.store:
-                df = self.store.write(df, name, spec.key, spec.equal_to_key, spec.comment)
+                df = self.store.write(
+                    df, name, spec.key, spec.equal_to_key, spec.in_place, spec.comment
+                )
             self._tables[name] = df
         return self._tables[name]
 
@@ -110,11 +113,13 @@ TABLES: dict[str, LayerTable] = {
         "Snapshots with quality flags and status.",
         "raw_id",
         ("snapshot_id",),
+        in_place=True,
     ),
     "clean_bridge": LayerTable(
         lambda ly: bridge_weights(ly["bridge"]),
         "Snapshots and their genres, weighted so that each snapshot counts once.",
         "snapshot_id",
+        in_place=True,
     ),
     "audit_log": LayerTable(
         lambda ly: audit_log(ly["clean"], ly["raw"]), "One row per cleaning decision."
@@ -137,5 +142,6 @@ TABLES: dict[str, LayerTable] = {
         lambda ly: build_dw_bridge(ly["clean_bridge"], ly["fact"], ly["dim_genre"]),
         "Facts and their genres with weights.",
         "app_snapshot_key",
+        in_place=True,
     ),
 }

@@ -7,8 +7,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of landing data per bucket: large enough to be worth a task, small enough to sort.
-BUCKET_BYTES = 512 * 1024 * 1024
+# Bytes of source files per bucket: large enough to be worth a task, small enough to sort.
+BUCKET_BYTES = 1024 * 1024 * 1024
+
+_scratch: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,9 +20,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="starmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        _scratch[application] = tempfile.mkdtemp(prefix="starmill-")
+    return _scratch[application]
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
@@ -51,19 +54,21 @@ class LayerStore:
         name: str,
         key: str | None = None,
         equal_to_key: tuple[str, ...] = (),
+        in_place: bool = False,
         comment: str | None = None,
     ) -> DataFrame:
         """Replace table ``name``, bucketed by ``key`` if given.
 
         Columns that always equal the key are left out and come back as aliases of it, so the
-        table is bucketed by each of them.
+        table is bucketed by each of them. ``in_place`` says that ``df`` comes out of operators
+        on bucketed tables with that key, so each task already holds one bucket and the rows are
+        written where they are; any other ``df`` is shuffled to its buckets first.
         """
         columns = df.columns
         stored = df.drop(*equal_to_key)
-        if key:
-            writer = stored.repartition(self.buckets, key).write.bucketBy(self.buckets, key)
-        else:
-            writer = stored.write
+        if key and not in_place:
+            stored = stored.repartition(self.buckets, key)
+        writer = stored.write.bucketBy(self.buckets, key) if key else stored.write
         table = f"{self.namespace}.{name}"
         # An explicit path also replaces what an earlier session left there.
         writer.mode("overwrite").option("path", f"{self.location}/{name}").saveAsTable(table)
