@@ -137,6 +137,7 @@ def _over_layers() -> dict[str, Callable[[Layers], DataFrame]]:
         "j61_must_be_empty": verification.must_be_empty_rows,
         "j62_stage_one_checks": verification.stage_one_checks,
         "j63_scorecard_in_order": quality.baseline_scorecard_in_order,
+        "j63_after_cleaning_in_order": quality.after_cleaning_scorecard_in_order,
         "j63_top_genres": analysis.top_genres,
         "j64_by_category": analysis.by_category,
         "j65_by_app_type": analysis.by_app_type,

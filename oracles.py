@@ -297,8 +297,6 @@ join dim_content_rating using (content_rating_key)
 join dim_date using (last_updated_date_key)""",
 }
 
-TABLES = ("orders", "customer", "lineitem", "part")
-_NAME = re.compile("|".join(rf"\b{name}\b" for name in sorted(LAYERS, key=len, reverse=True)))
 # Layer names that also are column names somewhere are recognised only as tables.
 _SOURCE = re.compile(r"(?:from|join)\s+\(?\s*([a-z_0-9]+)")
 
@@ -339,7 +337,7 @@ def _count(table: str, where: str = "true") -> str:
     return f"select count(*) from {table} where {where}"
 
 
-def _mean(column: str, weight: str = "1") -> str:
+def _mean(column: str) -> str:
     return f"round(sum({column})::double / count({column}), 6)"
 
 
@@ -940,6 +938,7 @@ select 'integrity_failures',
   (select count(*) from ({_checks(INTEGRITY, id_column=False)}) i where status <> 'PASS')""",
     "j62_stage_one_checks": _metric_rows(STAGE_ONE),
     "j63_scorecard_in_order": _baseline(),
+    "j63_after_cleaning_in_order": _after_cleaning(),
     "j63_top_genres": f"{KPIS} order by weighted_installs_count desc, genre_name limit 10",
     "j64_by_category": _measures_by("category_name"),
     "j65_by_app_type": _measures_by("app_type_name"),

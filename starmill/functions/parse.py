@@ -15,8 +15,7 @@ from starmill.functions.text import blank_to_null
 # Shapes of the source cells.
 DECIMAL_SHAPE = r"^[0-9]+(\.[0-9]+)?\z"
 COUNT_SHAPE = r"^[0-9]+\z"
-MEGA_SHAPE = r"^[0-9]+(\.[0-9]+)?[Mm]\z"
-KILO_SHAPE = r"^[0-9]+(\.[0-9]+)?[Kk]\z"
+SIZE_SHAPE = r"^[0-9]+(\.[0-9]+)?[MmKk]\z"
 DATE_SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{2}\z"
 DATE_FORMAT = "d-MMM-yy"
 # Two-digit years from here on belong to the 1900s; Spark reads them as 20xx.
@@ -42,9 +41,10 @@ def parse_count(c: Column) -> Column:
 def parse_size(c: Column) -> Column:
     """``19M`` and ``201k`` to bytes."""
     t = F.trim(c)
-    number = F.regexp_replace(t, "[MmKk]", "").try_cast(_SIZE_NUMBER)
-    unit = F.when(t.rlike(MEGA_SHAPE), F.lit(1024 * 1024)).when(t.rlike(KILO_SHAPE), F.lit(1024))
-    return F.round(number * unit.cast("decimal(7,0)"), 0).try_cast("bigint")
+    number = t.substr(F.lit(1), F.length(t) - 1).try_cast(_SIZE_NUMBER)
+    unit = F.when(F.lower(F.right(t, F.lit(1))) == "m", 1024 * 1024).otherwise(1024)
+    size = F.round(number * unit.cast("decimal(7,0)"), 0).try_cast("bigint")
+    return F.when(t.rlike(SIZE_SHAPE), size)
 
 
 def parse_installs(c: Column) -> Column:
@@ -73,7 +73,7 @@ def unreadable(c: Column, kind: str) -> Column:
     if kind == "count":
         return t.rlike(COUNT_SHAPE) & parse_count(c).isNull()
     if kind == "size":
-        return (t.rlike(MEGA_SHAPE) | t.rlike(KILO_SHAPE)) & parse_size(c).isNull()
+        return t.rlike(SIZE_SHAPE) & parse_size(c).isNull()
     if kind == "installs":
         return _digits(c, "[^0-9]").isNotNull() & parse_installs(c).isNull()
     if kind == "price":

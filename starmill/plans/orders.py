@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.config import Config
 from starmill.plans.layers import Layers
 from starmill.sources.landing import land_orders
-from starmill.sources.store import LayerStore, bucket_count
+from starmill.sources.store import LayerStore, bucket_count, file_state
 
 TABLES = ("orders", "customer", "lineitem", "part")
 CONFIG = Config(app_sentinels=("SHIFTED ROW",))
@@ -18,7 +16,7 @@ _built: dict[str, Layers] = {}
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(_path(folder, name))
 
 
 def landing(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,7 +28,7 @@ def layers(spark: SparkSession, folder: str) -> Layers:
 
     They are keyed by the state of the files, so changed tables give new layers.
     """
-    files, size = _file_state(spark, folder)
+    files, size = file_state(spark, [_path(folder, t) for t in TABLES])
     namespace = f"starmill_{spark.sparkContext.applicationId}_{files}".replace("-", "_").lower()
     if namespace not in _built:
         store = LayerStore(spark, namespace, bucket_count(spark, size))
@@ -38,15 +36,5 @@ def layers(spark: SparkSession, folder: str) -> Layers:
     return _built[namespace]
 
 
-def _file_state(spark: SparkSession, folder: str) -> tuple[str, int]:
-    """Digest of paths, sizes and times of the table files, and their total size."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    digest, total = hashlib.sha256(), 0
-    for name in TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
-        fs = path.getFileSystem(conf)
-        size = fs.getContentSummary(path).getLength()
-        changed = fs.getFileStatus(path).getModificationTime()
-        digest.update(f"{path.toString()} {size} {changed}\n".encode())
-        total += size
-    return digest.hexdigest()[:12], total
+def _path(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}.parquet"

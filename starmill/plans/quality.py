@@ -195,6 +195,10 @@ def after_cleaning_scorecard(ly: Layers) -> DataFrame:
     return scorecard(measure(tables, measures), metrics).drop("checked_object", "recommendation")
 
 
+def after_cleaning_scorecard_in_order(ly: Layers) -> DataFrame:
+    return after_cleaning_scorecard(ly).orderBy("dimension", "metric")
+
+
 def cleaning_summary(ly: Layers) -> DataFrame:
     flags = (
         "rating_missing",

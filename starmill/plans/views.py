@@ -11,6 +11,7 @@ from starmill.operators.bridge import genre_histogram, weight_errors, weight_pre
 from starmill.operators.enrich import not_loaded
 from starmill.plans import analysis, quality, verification
 from starmill.plans.layers import Layers
+from starmill.sources.exports import export_csv
 
 
 def weight_preview_check(ly: Layers) -> DataFrame:
@@ -64,3 +65,9 @@ def register_views(spark: SparkSession, ly: Layers) -> list[str]:
         view(ly).createOrReplaceTempView(temp)
         names.append(temp)
     return names
+
+
+def export_views(ly: Layers, folder: str, names: list[str] | None = None) -> None:
+    """Write views as CSV folders named like them, for BI tools."""
+    for name in names or list(VIEWS):
+        export_csv(VIEWS[name](ly), f"{folder.rstrip('/')}/{name}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _scratch[application]
 
 
+def file_state(spark: SparkSession, paths: Sequence[str]) -> tuple[str, int]:
+    """Digest of the paths with their sizes and times of change, and the sum of the sizes."""
+    conf = spark._jsc.hadoopConfiguration()
+    digest, total = hashlib.sha256(), 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path).getLength()
+        digest.update(f"{name} {size} {fs.getFileStatus(path).getModificationTime()}\n".encode())
+        total += size
+    return digest.hexdigest()[:12], total
+
+
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     """Buckets for tables derived from that many bytes, at least one per core."""
     return max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))

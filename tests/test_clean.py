@@ -10,7 +10,7 @@ from starmill import Config, Layers
 from starmill.functions.numbers import WEIGHT
 from starmill.operators.audit import audit_summary
 from starmill.operators.bridge import bridge_weights, weight_errors
-from starmill.plans import quality, verification
+from starmill.plans import analysis, quality, verification
 from tests.test_reconcile import landing
 
 DAY = dt.date(2018, 1, 7)
@@ -142,3 +142,26 @@ def test_baseline_sees_what_the_parsers_cannot_produce(odd):
     assert issues["core_required_fields_missing"] == 1
     ids = {r.snapshot_id for r in quality.issue_view(odd, "invalid_measures").collect()}
     assert ids == {7, 8}
+
+
+def test_unknown_members_are_an_option_per_dimension(spark):
+    """By default only a missing type maps to Unknown; other missing members drop the fact."""
+    day = "7-Jan-18"
+    raw = landing(
+        spark,
+        [
+            dict(raw_id=1, app="A", category="C", type="Free", content_rating="R", last_updated=day),
+            dict(raw_id=2, app="A", category="C", type=None, content_rating="R", last_updated=day),
+            dict(raw_id=3, app="A", category="", type="Free", content_rating="R", last_updated=day),
+            dict(raw_id=4, app="A", category="C", type="Free", content_rating=None, last_updated=day),
+            dict(raw_id=5, app="A", category="C", type="Free", content_rating="R", last_updated=""),
+        ],
+    )
+    ids = lambda ly: {r.snapshot_id for r in ly["fact"].collect()}
+    assert ids(Layers(raw)) == {1, 2}
+    wide = Layers(raw, Config(unknown_members=("app_type", "category", "content_rating")))
+    assert ids(wide) == {1, 2, 3, 4}
+    names = {r.snapshot_id: r.category_name for r in analysis.enriched_fact(wide).collect()}
+    assert names[3] == "Unknown" and names[4] == "C"
+    status = {r.check_id: r.status for r in verification.count_checks(wide).collect()}
+    assert {status[f"P2-COUNT-{i:02}"] for i in (7, 8, 9, 10, 11)} == {"PASS"}

@@ -5,9 +5,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starmill import Config, Layers
+from starmill import Config
 from starmill.config import LANDING_HEADERS
-from starmill.plans import analysis, quality
+from starmill.plans import analysis, quality, views
+from starmill.plans.catalogue import from_csv
 from starmill.sources import store
 from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv
@@ -64,10 +65,13 @@ def test_many_files_get_distinct_ids(spark, tmp_path):
     assert rows.count() == 12 and rows.select("raw_id").distinct().count() == 12
 
 
-def test_csv_to_star(spark, landed):
-    """From file to KPIs through written layers."""
-    ly = Layers(landed, Config(app_sentinels=("Shifted",)), LayerStore(spark, "csv_to_star", 4))
-    ly.build_all()
+def test_csv_to_star(spark, tmp_path):
+    """From file to KPIs through written layers; a second run replaces them."""
+    path = tmp_path / "extract.csv"
+    path.write_text("\n".join([HEADER, *ROWS]) + "\n")
+    for _ in range(2):
+        ly = from_csv(spark, str(path), "csv_to_star", Config(app_sentinels=("Shifted",)))
+        ly.build_all()
     assert ly["fact"].count() == 3 and ly["raw"].count() == 4
     kpis = {r.genre_name: tuple(r)[1:] for r in analysis.genre_weighted_kpis(ly).collect()}
     assert kpis["Puzzle"] == (
@@ -128,3 +132,9 @@ def test_export_round_trip(spark, ly, tmp_path):
     assert ",null,null,null,INFO," in text and 'or equal to ""Varies with device""' in text
     back = read_export(spark, path, card.schema.simpleString()[7:-1].replace(":", " "))
     assert sorted(map(str, back.collect())) == sorted(map(str, card.collect()))
+
+
+def test_export_views(spark, ly, tmp_path):
+    views.export_views(ly, str(tmp_path), ["dw.v_dw_load_summary"])
+    back = read_export(spark, str(tmp_path / "dw.v_dw_load_summary"), "metric string, value long")
+    assert {r.metric: r.value for r in back.collect()}["fact_app_snapshot_rows"] == 1497
