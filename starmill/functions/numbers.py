@@ -35,16 +35,6 @@ def mean(total: Column, n: Column) -> Column:
     return F.try_divide(total.cast("decimal(26,2)"), n.cast("decimal(14,0)")).cast("decimal(38,14)")
 
 
-def mean_of_decimal(c: Column) -> Column:
-    """Mean of a decimal measure with at most ten digits before the point, to 20 places."""
-    return F.avg(c.cast("decimal(26,16)"))
-
-
-def mean_of_whole(c: Column) -> Column:
-    """Mean of a bigint measure, to 12 places and without going through double."""
-    return F.avg(c.cast("decimal(27,8)"))
-
-
 def score(issues: Column, total: Column) -> Column:
     """Share of rows without an issue, to four places; NULL when nothing was checked."""
     share = F.try_divide(issues.cast("decimal(20,0)"), total.cast("decimal(20,0)"))

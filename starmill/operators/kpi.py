@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.numbers import mean, mean_of_decimal, mean_of_whole, quotient, weighted
+from starmill.functions.numbers import mean, quotient, weighted
 
-# Measure and the decimal its sum needs.
+# Measure and the decimal it is summed as; up to eight digits are added as plain longs.
 SUMS = {
-    "rating": "decimal(28,2)",
+    "rating": "decimal(8,2)",
     "reviews_count": "decimal(28,0)",
     "installs_count": "decimal(28,0)",
     "price_usd": "decimal(28,2)",
@@ -49,19 +49,30 @@ def genre_fractional(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -
 
 
 def genre_weighted_kpis(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
-    """Sums and mean rating per genre that count every snapshot once in total."""
-    weight, rating = F.col("weight"), F.col("rating")
+    """Sums and mean rating per genre that count every snapshot once in total.
+
+    Rows of one genre and one weight are added up before they are multiplied: there are only as
+    many weights as lengths of lists, and the products stay exact.
+    """
     rows = fact.select("app_snapshot_key", "rating", "reviews_count", "installs_count").join(
-        bridge, "app_snapshot_key"
+        bridge.select("app_snapshot_key", "genre_key", "weight"), "app_snapshot_key"
+    )
+    per_weight = rows.groupBy("genre_key", F.col("weight").cast("decimal(13,12)").alias("w")).agg(
+        F.count("*").alias("n"),
+        _sum("reviews_count").alias("reviews"),
+        _sum("installs_count").alias("installs"),
+        _sum("rating").alias("ratings"),
+        F.count("rating").alias("rated"),
     )
-    per_key = rows.groupBy("genre_key").agg(
-        F.sum(weight).alias("weights"),
-        F.sum(weighted(F.col("reviews_count"), weight)).alias("reviews"),
-        F.sum(weighted(F.col("installs_count"), weight)).alias("installs"),
-        F.sum(rating.cast(SUMS["rating"])).alias("ratings"),
-        F.count(rating).alias("rated"),
-        F.sum(rating * weight.cast("decimal(13,12)")).alias("weighted_ratings"),
-        F.sum(F.when(rating.isNotNull(), weight)).alias("rated_weights"),
+    w = F.col("w")
+    per_key = per_weight.groupBy("genre_key").agg(
+        F.sum(weighted(F.col("n"), w)).alias("weights"),
+        F.sum(F.col("reviews").cast("decimal(24,0)") * w).alias("reviews"),
+        F.sum(F.col("installs").cast("decimal(24,0)") * w).alias("installs"),
+        F.sum("ratings").alias("ratings"),
+        F.sum("rated").alias("rated"),
+        F.sum(F.col("ratings").cast("decimal(18,2)") * w).alias("weighted_ratings"),
+        F.sum(F.when(F.col("rated") > 0, weighted(F.col("rated"), w))).alias("rated_weights"),
     )
     return (
         per_key.join(dim_genre.select("genre_key", "genre_name"), "genre_key")
@@ -90,9 +101,9 @@ def genre_membership(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -
         .groupBy("genre_name")
         .agg(
             F.count_distinct("app_snapshot_key").alias("snapshot_membership_count"),
-            mean_of_decimal(F.col("rating")).alias("avg_rating"),
-            mean_of_decimal(F.col("price_usd")).alias("avg_price_usd"),
-            mean_of_whole(F.col("size_bytes")).alias("avg_size_bytes"),
+            mean(_sum("rating"), F.count("rating")).alias("avg_rating"),
+            mean(_sum("price_usd"), F.count("price_usd")).alias("avg_price_usd"),
+            mean(_sum("size_bytes"), F.count("size_bytes")).alias("avg_size_bytes"),
         )
     )
 
@@ -140,10 +151,14 @@ def _summed(fact: DataFrame, key: str) -> DataFrame:
     """Count, sum and non-NULL count of every measure per dimension key."""
     return fact.groupBy(key).agg(
         F.count("*").alias("n"),
-        *[F.sum(F.col(m).cast(number)).alias(f"sum_{m}") for m, number in SUMS.items()],
+        *[_sum(m).alias(f"sum_{m}") for m in SUMS],
         *[F.count(m).alias(f"n_{m}") for m in SUMS],
     )
 
 
+def _sum(measure: str) -> Column:
+    return F.sum(F.col(measure).cast(SUMS[measure]))
+
+
 def _mean_of(measure: str) -> Column:
     return mean(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}"))

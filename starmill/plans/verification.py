@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starmill.operators.bridge import weight_errors
 from starmill.operators.enrich import not_loaded
-from starmill.operators.kpi import genre_fractional
+from starmill.operators.kpi import genre_weighted_kpis
 from starmill.operators.report import (
     Check,
     Measure,
@@ -306,7 +306,7 @@ def weight_checks(ly: Layers, relative: bool = False) -> DataFrame:
         "weight_errors": dw_weight_errors(ly),
         "fact": ly["fact"],
         "dw_bridge": ly["dw_bridge"],
-        "fractional": genre_fractional(ly["fact"], ly["dw_bridge"], ly["dim_genre"]),
+        "genres": genre_weighted_kpis(ly["fact"], ly["dw_bridge"], ly["dim_genre"]),
     }
     total = lambda c: F.coalesce(F.sum(F.col(c).cast("decimal(25,0)")), F.lit(0))
     weighted = lambda c: F.coalesce(F.sum(c), F.lit(0))
@@ -315,8 +315,8 @@ def weight_checks(ly: Layers, relative: bool = False) -> DataFrame:
         Measure("weights", "dw_bridge", F.sum("weight")),
         Measure("reviews", "fact", total("reviews_count")),
         Measure("installs", "fact", total("installs_count")),
-        Measure("weighted_reviews", "fractional", weighted("weighted_reviews_count")),
-        Measure("weighted_installs", "fractional", weighted("weighted_installs_count")),
+        Measure("weighted_reviews", "genres", weighted("weighted_reviews_count")),
+        Measure("weighted_installs", "genres", weighted("weighted_installs_count")),
     ]
     c = F.col
 
