@@ -124,7 +124,7 @@ def audit_log(
 ) -> DataFrame:
     """All rules in one pass over the clean rows and one join with their raw text.
 
-    A flag that is NULL logs nothing.
+    A rule whose flag is not set, or NULL, leaves an empty entry, which is dropped.
     """
     rules = audit_rules() if rules is None else rules
     texts = [c for c in raw.columns if c != "raw_id" and c != "imported_at"]
@@ -147,7 +147,8 @@ def audit_log(
             for rule in rules
         ]
     )
-    return clean.join(before, "raw_id", "left").select(F.inline(F.array_compact(entries)))
+    logged = clean.join(before, "raw_id", "left").select(F.inline(entries))
+    return logged.where(F.col("table_name").isNotNull())
 
 
 def audit_summary(log: DataFrame) -> DataFrame:

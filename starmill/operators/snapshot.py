@@ -78,4 +78,4 @@ def unreadable_cells(raw: DataFrame) -> DataFrame:
             if kind
         ]
     )
-    return raw.select("raw_id", F.inline(F.array_compact(cells)))
+    return raw.select("raw_id", F.inline(cells)).where(F.col("column_name").isNotNull())
