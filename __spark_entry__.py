@@ -135,6 +135,8 @@ def _over_layers() -> dict[str, Callable[[Layers], DataFrame]]:
         "j59_warehouse_checks": verification.warehouse_checks,
         "j60_weight_checks": verification.weight_checks,
         "j61_must_be_empty": verification.must_be_empty_rows,
+        "j61_non_green_metrics": lambda ly: verification.must_be_empty(ly)["non_green_metrics"],
+        "j61_integrity_failures": lambda ly: verification.must_be_empty(ly)["integrity_failures"],
         "j62_stage_one_checks": verification.stage_one_checks,
         "j63_scorecard_in_order": quality.baseline_scorecard_in_order,
         "j63_after_cleaning_in_order": quality.after_cleaning_scorecard_in_order,

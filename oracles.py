@@ -936,6 +936,10 @@ select 'non_green_metrics',
 union all
 select 'integrity_failures',
   (select count(*) from ({_checks(INTEGRITY, id_column=False)}) i where status <> 'PASS')""",
+    "j61_non_green_metrics":
+        f"select * from ({_after_cleaning()}) a where severity not in ('GREEN', 'INFO')",
+    "j61_integrity_failures":
+        f"select * from ({_checks(INTEGRITY, id_column=False)}) i where status <> 'PASS'",
     "j62_stage_one_checks": _metric_rows(STAGE_ONE),
     "j63_scorecard_in_order": _baseline(),
     "j63_after_cleaning_in_order": _after_cleaning(),

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 WEIGHT = "decimal(20,12)"
 
 
-def equal_share(n: Column) -> Column:
-    """``1/n`` to 12 places; NULL for zero."""
+def equal_share(n: Column, number: str = WEIGHT) -> Column:
+    """``1/n``, rounded once, to the places of ``number``; NULL for zero."""
     one = F.lit(1).cast("decimal(2,1)")
-    return (one / F.nullif(n, F.lit(0)).cast("decimal(20,0)")).cast(WEIGHT)
+    return (one / F.nullif(n, F.lit(0)).cast("decimal(20,0)")).cast(number)
 
 
 def weighted(measure: Column, weight: Column) -> Column:

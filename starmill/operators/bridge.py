@@ -11,6 +11,9 @@ from starmill.functions.numbers import equal_share
 from starmill.functions.text import name_key
 from starmill.operators.domains import open_lists
 
+# Fixed value: the preview shows weights to six places.
+PREVIEW_WEIGHT = "decimal(20,6)"
+
 
 def build_bridge(
     raw: DataFrame, snapshot: DataFrame, genre: DataFrame, cfg: Config, column: str = "genres"
@@ -74,9 +77,9 @@ def weight_preview(bridge: DataFrame, genre: DataFrame) -> DataFrame:
         "genre_id",
         "genre_name",
         "genre_count_for_snapshot",
-        F.round(equal_share(F.col("genre_count_for_snapshot")), 6)
-        .cast("decimal(20,6)")
-        .alias("future_dw_bridge_weight"),
+        equal_share(F.col("genre_count_for_snapshot"), PREVIEW_WEIGHT).alias(
+            "future_dw_bridge_weight"
+        ),
     )
 
 

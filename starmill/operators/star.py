@@ -109,6 +109,6 @@ def build_dw_bridge(clean_bridge: DataFrame, fact: DataFrame, dim_genre: DataFra
 
 
 def _unknown_key(dim: DataFrame, entity: str) -> Column:
-    return (
-        dim.where(F.col(f"{entity}_name_norm") == UNKNOWN_NORM).select(f"{entity}_key").scalar()
-    )
+    """Key of the technical member; a source member that is called the same has an id."""
+    technical = F.col(f"{entity}_id").isNull() & (F.col(f"{entity}_name_norm") == UNKNOWN_NORM)
+    return dim.where(technical).select(f"{entity}_key").scalar()

@@ -165,3 +165,18 @@ def test_unknown_members_are_an_option_per_dimension(spark):
     assert names[3] == "Unknown" and names[4] == "C"
     status = {r.check_id: r.status for r in verification.count_checks(wide).collect()}
     assert {status[f"P2-COUNT-{i:02}"] for i in (7, 8, 9, 10, 11)} == {"PASS"}
+
+
+def test_a_source_member_called_unknown_does_not_stop_the_load(spark):
+    raw = landing(
+        spark,
+        [
+            dict(raw_id=i, app="A", category="C", type=t, content_rating="R", last_updated="7-Jan-18")
+            for i, t in enumerate(["Unknown", None, "Free"])
+        ],
+    )
+    ly = Layers(raw)
+    names = {r.snapshot_id: r.app_type_name for r in analysis.enriched_fact(ly).collect()}
+    assert names == {0: "Unknown", 1: "Unknown", 2: "Free"}
+    broken = [r.constraint_name for r in verification.unique_constraints(ly).collect() if r.violations]
+    assert broken == ["unique dim_app_type(app_type_name)"]

@@ -14,6 +14,7 @@ def test_equal_share(spark):
     for n, share in shares.items():
         assert _one(spark, numbers.equal_share(F.lit(n))) == Decimal(share)
     assert _one(spark, numbers.equal_share(F.lit(0))) is None
+    assert _one(spark, numbers.equal_share(F.lit(7), "decimal(20,6)")) == Decimal("0.142857")
 
 
 def test_weighted_keeps_every_digit(spark):
