@@ -48,6 +48,14 @@ class Layers:
         self._source = raw
         self._tables: dict[str, DataFrame] = dict(given or {})
 
+    @classmethod
+    def written(cls, store: LayerStore, config: Config | None = None) -> Layers:
+        """Layers written by an earlier run, from a catalog that still knows their tables."""
+        tables = {
+            name: store.read(name, spec.key, spec.equal_to_key) for name, spec in TABLES.items()
+        }
+        return cls(tables["raw"], config, store, tables)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             spec = TABLES[name]
@@ -136,7 +144,7 @@ TABLES: dict[str, LayerTable] = {
         lambda ly: build_fact(ly["clean"], ly.dims(), ly.config.unknown_members),
         "One row per clean snapshot, on dimension keys.",
         "raw_id",
-        ("snapshot_id", "app_snapshot_key"),
+        ("app_snapshot_key", "snapshot_id"),
     ),
     "dw_bridge": LayerTable(
         lambda ly: build_dw_bridge(ly["clean_bridge"], ly["fact"], ly["dim_genre"]),

@@ -79,7 +79,6 @@ class LayerStore:
         on bucketed tables with that key, so each task already holds one bucket and the rows are
         written where they are; any other ``df`` is shuffled to its buckets first.
         """
-        columns = df.columns
         stored = df.drop(*equal_to_key)
         if key and not in_place:
             stored = stored.repartition(self.buckets, key)
@@ -89,7 +88,11 @@ class LayerStore:
         writer.mode("overwrite").option("path", f"{self.location}/{name}").saveAsTable(table)
         if comment:
             self.spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
-        written = self.spark.table(table)
-        if equal_to_key:
-            written = written.withColumns({c: F.col(key) for c in equal_to_key}).select(*columns)
-        return written
+        return self.read(name, key, equal_to_key)
+
+    def read(
+        self, name: str, key: str | None = None, equal_to_key: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """A table written before, with the aliases of its key in front."""
+        table = self.spark.table(f"{self.namespace}.{name}")
+        return table.select(*[F.col(key).alias(c) for c in equal_to_key], "*")

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starmill import Config
+from starmill import Config, Layers
 from starmill.config import LANDING_HEADERS
 from starmill.plans import analysis, quality, views
 from starmill.plans.catalogue import from_csv
@@ -82,6 +82,9 @@ def test_csv_to_star(spark, tmp_path):
     assert dates["1999-12-31"] == (31, 12, 4, 1999, "December")
     types = {r.app_type_name for r in ly["dim_app_type"].collect()}
     assert types == {"Free", "Paid", "NaN", "Unknown"}
+    again = Layers.written(LayerStore(spark, "csv_to_star", 4))
+    assert sorted(again["fact"].collect()) == sorted(ly["fact"].collect())
+    assert again["fact"].columns[:3] == ["app_snapshot_key", "snapshot_id", "raw_id"]
 
 
 def test_store_replaces_whole_tables(spark):
@@ -92,7 +95,7 @@ def test_store_replaces_whole_tables(spark):
     assert comment.data_type == "Ten ids."
     twice = spark.range(3).withColumn("same", F.col("id"))
     again = st.write(twice, "t", "id", ("same",))
-    assert again.columns == ["id", "same"]
+    assert again.columns == ["same", "id"]
     assert sorted(tuple(r) for r in again.collect()) == [(i, i) for i in range(3)]
 
 
