@@ -76,7 +76,7 @@ def land_orders(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, par
     k = F.col("o_orderkey")
     text = lambda c: c.cast("string")
     shifted = k % 1000 == 999
-    status, types = F.col("o_orderstatus"), F.col("types")
+    status, types = F.col("o_orderstatus"), F.array_join("types", ";")
     priced = F.concat(F.lit("$"), text(F.col("o_totalprice").cast("decimal(12,2)")))
     day = F.date_format(F.col("o_orderdate").cast("date"), "d-MMM-yy")
     # The rules that make the rows dirty.
@@ -110,9 +110,9 @@ def land_orders(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, par
         .otherwise(F.expr("substring(o_orderpriority, 3)"))
         .alias("content_rating"),
         F.when(shifted, "11-Feb-18")
-        .when(k % 13 == 0, F.concat(F.array_join(types, ";"), F.lit(";")))
-        .when(k % 17 == 0, F.lower(F.array_join(types, " ; ")))
-        .otherwise(F.array_join(types, ";"))
+        .when(k % 13 == 0, F.concat(types, F.lit(";")))
+        .when(k % 17 == 0, F.lower(F.replace(types, F.lit(";"), F.lit(" ; "))))
+        .otherwise(types)
         .alias("genres"),
         F.when(k % 997 == 0, "").otherwise(day).alias("last_updated"),
         F.when(k % 50 == 0, "NaN")
