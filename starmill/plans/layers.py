@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -74,8 +75,10 @@ class Layers:
         return {entity: self[f"dim_{entity}"] for entity in DIMENSIONS}
 
     def build_all(self) -> None:
-        for name in TABLES:
-            self[name]
+        """Build every table; those that do not read one another are written at the same time."""
+        for wave in WAVES:
+            with ThreadPoolExecutor(len(wave)) as pool:
+                list(pool.map(self.__getitem__, wave))
 
 
 def _master(entity: str) -> LayerTable:
@@ -153,3 +156,15 @@ TABLES: dict[str, LayerTable] = {
         in_place=True,
     ),
 }
+
+# Tables by the step in which all they read is there.
+WAVES = (
+    ("raw",),
+    (*MASTERS, "genre"),
+    ("snapshot", *[f"dim_{entity}" for entity in (*MASTERS, "genre")]),
+    ("bridge",),
+    ("clean", "clean_bridge"),
+    ("dim_last_updated_date", "audit_log"),
+    ("fact",),
+    ("dw_bridge",),
+)

@@ -397,7 +397,9 @@ def stage_one_checks(ly: Layers) -> DataFrame:
     bad_genre = c("genre_name_norm").rlike(lower_date) | c("genre_name_norm").isin(*cfg.bad_genres)
     measures = [
         Measure("raw_rows", "raw", ROWS()),
-        Measure("sentinel_raw_rows", "raw", F.count_if(c("category").isin(*cfg.category_sentinels))),
+        Measure(
+            "sentinel_raw_rows", "raw", F.count_if(c("category").isin(*cfg.category_sentinels))
+        ),
         Measure("category_rows", "category", ROWS()),
         Measure("app_type_rows", "app_type", ROWS()),
         Measure("content_rating_rows", "content_rating", ROWS()),
@@ -408,7 +410,9 @@ def stage_one_checks(ly: Layers) -> DataFrame:
             "app_type",
             F.count_if(~c("app_type_name_norm").isin(cfg.free_type, cfg.paid_type)),
         ),
-        Measure("sentinel_apps", "app", F.count_if(_starts_with_any("app_name_norm", sentinel_norms))),
+        Measure(
+            "sentinel_apps", "app", F.count_if(_starts_with_any("app_name_norm", sentinel_norms))
+        ),
         Measure("app_snapshot_rows", "snapshot", ROWS()),
         Measure("excluded_raw_rows", "not_loaded", ROWS()),
         *[Measure(f"null_{k}", "snapshot", F.count_if(c(k).isNull())) for k in foreign],
@@ -486,7 +490,8 @@ def foreign_key_constraints(ly: Layers) -> DataFrame:
 
 def check_constraints(ly: Layers) -> DataFrame:
     """(constraint_name, violations): rows that fail a condition; an unknown outcome passes."""
-    at_least_zero = {c: f"{c} >= 0" for c in ("reviews_count", "installs_count", "price_usd", "size_bytes")}
+    counts = ("reviews_count", "installs_count", "price_usd", "size_bytes")
+    at_least_zero = {c: f"{c} >= 0" for c in counts}
     measures_ok = {"rating": "rating between 0 and 5", **at_least_zero}
     rules = {
         "snapshot": measures_ok,

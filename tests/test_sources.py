@@ -9,6 +9,7 @@ from starmill import Config, Layers
 from starmill.config import LANDING_HEADERS
 from starmill.plans import analysis, quality, views
 from starmill.plans.catalogue import from_csv
+from starmill.plans.layers import TABLES, WAVES
 from starmill.sources import store
 from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv
@@ -87,6 +88,18 @@ def test_csv_to_star(spark, tmp_path):
     assert again["fact"].columns[:3] == ["app_snapshot_key", "snapshot_id", "raw_id"]
 
 
+def test_waves_name_every_table_after_what_it_reads(ly):
+    """Each table can be built from the tables of earlier waves alone."""
+    assert sorted(t for wave in WAVES for t in wave) == sorted(TABLES)
+    known = {}
+    for wave in WAVES:
+        for name in wave:
+            alone = Layers(ly["raw"], ly.config, given=known)
+            TABLES[name].build(alone)
+            assert set(alone._tables) <= set(known), name
+        known = {**known, **{name: ly[name] for name in wave}}
+
+
 def test_store_replaces_whole_tables(spark):
     st = LayerStore(spark, "replacing", 4)
     first = st.write(spark.range(10), "t", "id", comment="Ten ids.")
