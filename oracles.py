@@ -123,8 +123,8 @@ select s.snapshot_id, s.raw_id, s.app_id, app_name, app_name_norm, s.category_id
   r.app as raw_app, r.category as raw_category, r.rating as raw_rating, r.reviews as raw_reviews,
   r.size as raw_size, r.installs as raw_installs, r.type as raw_type, r.price as raw_price,
   r.content_rating as raw_content_rating, r.genres as raw_genres,
-  r.last_updated as raw_last_updated, r.current_ver as raw_current_ver,
-  r.android_ver as raw_android_ver
+  r.last_updated as raw_last_updated, r.current_ver as raw_current_version,
+  r.android_ver as raw_android_version
 from snapshot s
 left join app using (app_id)
 left join category using (category_id)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from starmill.operators.star import FACT_FLAGS, FACT_MEASURES
 
+# Raw columns that the view calls by a longer name.
+LONG_NAMES = {"current_ver": "current_version", "android_ver": "android_version"}
+
 
 def enrich_snapshot(
     snapshot: DataFrame, masters: dict[str, DataFrame], raw: DataFrame
@@ -16,10 +19,11 @@ def enrich_snapshot(
     The raw text joins first, on the row id both tables are bucketed by; the app master joins
     last, as it may be large.
     """
-    texts = [c for c in raw.columns if c != "raw_id" and c != "imported_at"]
-    rows = snapshot.join(
-        raw.select("raw_id", *[F.col(c).alias(f"raw_{c}") for c in texts]), "raw_id", "left"
-    )
+    texts = {
+        c: f"raw_{LONG_NAMES.get(c, c)}" for c in raw.columns if c not in ("raw_id", "imported_at")
+    }
+    cells = [F.col(c).alias(name) for c, name in texts.items()]
+    rows = snapshot.join(raw.select("raw_id", *cells), "raw_id", "left")
     for entity in ("category", "app_type", "content_rating", "app"):
         rows = rows.join(masters[entity], f"{entity}_id", "left")
     names = [
@@ -28,7 +32,7 @@ def enrich_snapshot(
         for part in ("id", "name", "name_norm")
     ]
     rest = [c for c in snapshot.columns if not c.endswith("_id")]
-    return rows.select("snapshot_id", "raw_id", *names, *rest, *[f"raw_{c}" for c in texts])
+    return rows.select("snapshot_id", "raw_id", *names, *rest, *texts.values())
 
 
 def enrich_fact(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

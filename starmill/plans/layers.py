@@ -18,7 +18,7 @@ from starmill.operators.star import build_date_dim, build_dim, build_dw_bridge,
 from starmill.sources.store import LayerStore
 
 MASTERS = ("app", "category", "app_type", "content_rating")
-DIMENSIONS = (*MASTERS, "genre", "last_updated_date")
+DIMENSIONS = (*MASTERS, "last_updated_date", "genre")
 
 
 @dataclass(frozen=True)
