@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of source files per bucket: large enough to be worth a task, small enough to sort.
-BUCKET_BYTES = 1024 * 1024 * 1024
+# Bytes of source files per bucket. 100 TB give 25,600 buckets: a few waves of tasks for a large
+# cluster, and rows that a task sorts with little spilling.
+BUCKET_BYTES = 4 * 1024**3
 
 _scratch: dict[str, str] = {}
 
@@ -42,8 +43,10 @@ def file_state(spark: SparkSession, paths: Sequence[str]) -> tuple[str, int]:
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Buckets for tables derived from that many bytes, at least one per core."""
-    return max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))
+    """Buckets for tables derived from that many bytes: at least one per core, at most what
+    Spark allows."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))
+    return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
 class LayerStore:

@@ -137,7 +137,8 @@ def test_scratch_folder_only_in_local_mode():
 def test_bucket_count_grows_with_the_input(spark):
     cores = spark.sparkContext.defaultParallelism
     assert bucket_count(spark, 0) == cores
-    assert bucket_count(spark, 100 * 2**40) == 100 * 2**40 // store.BUCKET_BYTES
+    assert bucket_count(spark, 100 * 2**40) == 100 * 2**40 // store.BUCKET_BYTES == 25_600
+    assert bucket_count(spark, 2**60) == 100_000
 
 
 def test_export_round_trip(spark, ly, tmp_path):
