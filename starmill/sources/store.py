@@ -49,6 +49,16 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
+def size_shuffles(spark: SparkSession, buckets: int) -> None:
+    """Let shuffles start with as many partitions as there are buckets, where nobody has set
+    their number for large data; AQE merges the small ones."""
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if buckets > int(spark.conf.get("spark.sql.shuffle.partitions")) and not spark.conf.get(
+        setting, None
+    ):
+        spark.conf.set(setting, str(buckets))
+
+
 class LayerStore:
     """Writes each layer table once, whole, and hands back the written table.
 
@@ -63,6 +73,7 @@ class LayerStore:
         self.spark = spark
         self.namespace = namespace
         self.buckets = buckets
+        size_shuffles(spark, buckets)
         self.location = f"{shared_folder(spark).rstrip('/')}/{namespace}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{self.location}'")
 

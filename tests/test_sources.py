@@ -141,6 +141,19 @@ def test_bucket_count_grows_with_the_input(spark):
     assert bucket_count(spark, 2**60) == 100_000
 
 
+def test_large_stores_start_from_more_shuffle_partitions(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    store.size_shuffles(spark, 8)
+    assert spark.conf.get(setting, None) is None
+    try:
+        store.size_shuffles(spark, 25_600)
+        assert spark.conf.get(setting) == "25600"
+        store.size_shuffles(spark, 51_200)
+        assert spark.conf.get(setting) == "25600"
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_export_round_trip(spark, ly, tmp_path):
     card = quality.baseline_scorecard(ly)
     path = str(tmp_path / "scorecard")
