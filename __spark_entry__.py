@@ -6,12 +6,18 @@ engines hash the same values.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The modules below lie next to this file, wherever it is loaded from.
+if str(Path(__file__).parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).parent))
+
 from oracles import ORACLES
 from starmill.operators.audit import audit_summary
 from starmill.operators.bridge import genre_histogram, weight_preview
