@@ -127,8 +127,12 @@ def run_checks(measured: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _lines(measured, lines)
 
 
+def row_count() -> Column:
+    return F.count("*")
+
+
 def duplicate_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(key_rows) of every key: the rows that share it."""
+    """The keys with ``key_rows``, the number of rows that share each."""
     return df.groupBy(*keys).agg(F.count("*").alias("key_rows"))
 
 
@@ -142,17 +146,14 @@ def duplicate_keys() -> Column:
     return F.count_if(F.col("key_rows") > 1)
 
 
-def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None):
+def orphans(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
     """(key, key_rows) of the child keys the parent lacks, a NULL key among them.
 
     Child rows are folded per key before they meet the parent, so a key that holds a large part
     of the rows moves as one row per task.
     """
-    parent_key = parent_key or key
     folded = duplicate_counts(child.select(key), [key])
-    return folded.join(
-        parent.select(F.col(parent_key).alias(key)), key, "left_anti"
-    )
+    return folded.join(parent.select(key), key, "left_anti")
 
 
 def orphan_rows() -> Column:

@@ -17,12 +17,11 @@ from starmill.operators.report import (
     duplicate_excess,
     measure,
     metric_rows,
+    row_count,
     scorecard,
 )
 from starmill.plans.layers import Layers
 
-ROWS = lambda: F.count("*")
-
 # Reading order of the quality dimensions.
 DIMENSION_ORDER = (
     "Completeness",
@@ -61,7 +60,7 @@ def reconciliation_counts(ly: Layers) -> DataFrame:
         "reconciled_app_snapshot_genre_rows": ly["bridge"],
         "raw_rows_not_loaded_to_snapshot": not_loaded(ly["raw"], ly["snapshot"]),
     }
-    measures = [Measure(name, name, ROWS()) for name in counted]
+    measures = [Measure(name, name, row_count()) for name in counted]
     return metric_rows(measure(counted, measures), list(counted))
 
 
@@ -122,13 +121,13 @@ def after_cleaning_scorecard(ly: Layers) -> DataFrame:
         ),
     }
     measures = [
-        Measure("clean_rows", "clean", ROWS()),
+        Measure("clean_rows", "clean", row_count()),
         *unflagged_measures(),
         Measure("invalid", "clean", F.count_if("invalid_measure_flag")),
         Measure("conflicts", "clean", F.count_if("type_price_conflict_flag")),
         Measure("without_genre", "clean", F.count_if("genre_missing_flag")),
-        Measure("snapshot_rows", "snapshot", ROWS()),
-        Measure("weight_errors", "weight_errors", ROWS()),
+        Measure("snapshot_rows", "snapshot", row_count()),
+        Measure("weight_errors", "weight_errors", row_count()),
     ]
     rows = F.col("clean_rows")
     parity = F.when(rows == F.col("snapshot_rows"), 0).otherwise(1)
@@ -214,9 +213,9 @@ def cleaning_summary(ly: Layers) -> DataFrame:
     )
     statuses = ("OK", "FLAGGED_OK", "ERROR_REVIEW")
     measures = [
-        Measure("clean_app_snapshot_rows", "clean", ROWS()),
-        Measure("clean_bridge_rows", "clean_bridge", ROWS()),
-        Measure("audit_log_rows", "audit_log", ROWS()),
+        Measure("clean_app_snapshot_rows", "clean", row_count()),
+        Measure("clean_bridge_rows", "clean_bridge", row_count()),
+        Measure("audit_log_rows", "audit_log", row_count()),
         *[Measure(f"{f}_flag_rows", "clean", F.count_if(f"{f}_flag")) for f in flags],
         *[
             Measure(
@@ -260,7 +259,7 @@ def _baseline_measures(cfg: Config) -> list[Measure]:
 
     assess = cfg.assess_null_tokens
     return [
-        Measure("rows", "snapshot", ROWS()),
+        Measure("rows", "snapshot", row_count()),
         on_snapshot("core_missing", core_missing),
         on_snapshot("rating_missing", F.col("rating").isNull()),
         on_snapshot("size_missing", F.col("size_bytes").isNull()),
@@ -280,25 +279,25 @@ def _baseline_measures(cfg: Config) -> list[Measure]:
         Measure("app_excess", "app_names", duplicate_excess()),
         Measure("pair_excess", "pairs", duplicate_excess()),
         Measure("without_genre", "genre_counts", F.count_if(F.col("genre_count") == 0)),
-        Measure("bridge_rows", "bridge", ROWS()),
+        Measure("bridge_rows", "bridge", row_count()),
         Measure(
             "orphan_rows",
             "bridge",
             F.count_if(F.col("has_snapshot").isNull() | F.col("has_genre").isNull()),
         ),
-        Measure("category_rows", "category", ROWS()),
+        Measure("category_rows", "category", row_count()),
         Measure(
             "bad_categories",
             "category",
             F.count_if(F.col("category_name_norm").isin(*cfg.bad_categories)),
         ),
-        Measure("app_type_rows", "app_type", ROWS()),
+        Measure("app_type_rows", "app_type", row_count()),
         Measure(
             "bad_app_types",
             "app_type",
             F.count_if(~F.col("app_type_name_norm").isin(cfg.free_type, cfg.paid_type)),
         ),
-        Measure("content_rating_rows", "content_rating", ROWS()),
+        Measure("content_rating_rows", "content_rating", row_count()),
         Measure(
             "bad_content_ratings",
             "content_rating",

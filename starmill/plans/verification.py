@@ -17,14 +17,13 @@ from starmill.operators.report import (
     metric_rows,
     orphan_rows,
     orphans,
+    row_count,
     run_checks,
 )
 from starmill.operators.star import UNKNOWN_NORM
 from starmill.plans.layers import DIMENSIONS, MASTERS, Layers
 from starmill.plans.quality import after_cleaning_scorecard, unflagged_measures
 
-ROWS = lambda: F.count("*")
-
 # Flags with a rule in the audit log.
 LOGGED_FLAGS = (
     "rating_missing_flag",
@@ -51,9 +50,9 @@ def load_summary(ly: Layers) -> DataFrame:
     tables = {f"dim_{d}": ly[f"dim_{d}"] for d in DIMENSIONS}
     tables |= {"fact": _fact_with_unknown(ly), "dw_bridge": ly["dw_bridge"]}
     measures = [
-        *[Measure(f"dim_{d}_rows", f"dim_{d}", ROWS()) for d in DIMENSIONS],
-        Measure("fact_app_snapshot_rows", "fact", ROWS()),
-        Measure("bridge_app_snapshot_genre_rows", "dw_bridge", ROWS()),
+        *[Measure(f"dim_{d}_rows", f"dim_{d}", row_count()) for d in DIMENSIONS],
+        Measure("fact_app_snapshot_rows", "fact", row_count()),
+        Measure("bridge_app_snapshot_genre_rows", "dw_bridge", row_count()),
         Measure("unknown_app_type_fact_rows", "fact", F.count_if("is_unknown")),
         Measure("fact_rating_missing_flag_rows", "fact", F.count_if("rating_missing_flag")),
         Measure("fact_size_missing_flag_rows", "fact", F.count_if("size_missing_flag")),
@@ -190,7 +189,7 @@ def cleaning_checks(ly: Layers) -> DataFrame:
         Measure("without_genre", "clean", F.count_if("genre_missing_flag")),
         Measure("logged_flags", "clean", logged),
         Measure("error_review", "clean", F.count_if(F.col("dq_status") == "ERROR_REVIEW")),
-        Measure("log_rows", "audit_log", ROWS()),
+        Measure("log_rows", "audit_log", row_count()),
     ]
     tables = {"clean": ly["clean"], "audit_log": ly["audit_log"]}
     c, none = F.col, F.lit(0)
@@ -229,7 +228,7 @@ def bridge_checks(ly: Layers) -> DataFrame:
         Measure("no_genre", "no_genre", orphan_rows()),
         Measure("double_pairs", "pairs", duplicate_keys()),
         Measure("bad_weights", "clean_bridge", F.count_if((weight <= 0) | (weight > 1))),
-        Measure("weight_errors", "weight_errors", ROWS()),
+        Measure("weight_errors", "weight_errors", row_count()),
     ]
     c, none = F.col, F.lit(0)
     # Check ids and names.
@@ -372,7 +371,7 @@ def must_be_empty(ly: Layers) -> dict[str, DataFrame]:
 def must_be_empty_rows(ly: Layers) -> DataFrame:
     """(set_name, row_count) of :func:`must_be_empty`."""
     sets = must_be_empty(ly)
-    measured = measure(sets, [Measure(name, name, ROWS()) for name in sets])
+    measured = measure(sets, [Measure(name, name, row_count()) for name in sets])
     return metric_rows(measured, list(sets)).select(
         F.col("metric").alias("set_name"), F.col("value").cast("bigint").alias("row_count")
     )
@@ -396,14 +395,14 @@ def stage_one_checks(ly: Layers) -> DataFrame:
     lower_date = cfg.date_like.replace("[A-Za-z]", "[a-z]")
     bad_genre = c("genre_name_norm").rlike(lower_date) | c("genre_name_norm").isin(*cfg.bad_genres)
     measures = [
-        Measure("raw_rows", "raw", ROWS()),
+        Measure("raw_rows", "raw", row_count()),
         Measure(
             "sentinel_raw_rows", "raw", F.count_if(c("category").isin(*cfg.category_sentinels))
         ),
-        Measure("category_rows", "category", ROWS()),
-        Measure("app_type_rows", "app_type", ROWS()),
-        Measure("content_rating_rows", "content_rating", ROWS()),
-        Measure("app_rows", "app", ROWS()),
+        Measure("category_rows", "category", row_count()),
+        Measure("app_type_rows", "app_type", row_count()),
+        Measure("content_rating_rows", "content_rating", row_count()),
+        Measure("app_rows", "app", row_count()),
         Measure("dirty_categories", "category", F.count_if(dirty_category)),
         Measure(
             "dirty_app_types",
@@ -413,8 +412,8 @@ def stage_one_checks(ly: Layers) -> DataFrame:
         Measure(
             "sentinel_apps", "app", F.count_if(_starts_with_any("app_name_norm", sentinel_norms))
         ),
-        Measure("app_snapshot_rows", "snapshot", ROWS()),
-        Measure("excluded_raw_rows", "not_loaded", ROWS()),
+        Measure("app_snapshot_rows", "snapshot", row_count()),
+        Measure("excluded_raw_rows", "not_loaded", row_count()),
         *[Measure(f"null_{k}", "snapshot", F.count_if(c(k).isNull())) for k in foreign],
         Measure("bad_rating", "snapshot", F.count_if(bad_rating)),
         Measure("bad_reviews", "snapshot", F.count_if(c("reviews_count") < 0)),
@@ -424,9 +423,9 @@ def stage_one_checks(ly: Layers) -> DataFrame:
         Measure(
             "null_last_updated_date", "snapshot", F.count_if(c("last_updated_date").isNull())
         ),
-        Measure("genre_rows", "genre", ROWS()),
-        Measure("app_snapshot_genre_rows", "bridge", ROWS()),
-        Measure("snapshots_with_genre", "bridge_snapshots", ROWS()),
+        Measure("genre_rows", "genre", row_count()),
+        Measure("app_snapshot_genre_rows", "bridge", row_count()),
+        Measure("snapshots_with_genre", "bridge_snapshots", row_count()),
         Measure("orphan_bridge_snapshots", "no_snapshot", orphan_rows()),
         Measure("orphan_bridge_genres", "no_genre", orphan_rows()),
         Measure("bad_genres", "genre", F.count_if(bad_genre)),
@@ -576,7 +575,7 @@ def _fact_with_unknown(ly: Layers) -> DataFrame:
 
 
 def _row_counts(*tables: str) -> list[Measure]:
-    return [Measure(f"{t}_rows", t, ROWS()) for t in tables]
+    return [Measure(f"{t}_rows", t, row_count()) for t in tables]
 
 
 def _starts_with_any(column: str, prefixes: list[str]) -> Column:
