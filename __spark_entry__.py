@@ -27,6 +27,21 @@ from starmill.operators.snapshot import type_rows, unreadable_cells
 from starmill.plans import analysis, orders, quality, verification, views
 from starmill.plans.layers import Layers
 
+# The operators for training text and the pipeline over them can be left out of a checkout.
+try:
+    from starmill.llm.queries import ORACLES as LLM_ORACLES
+    from starmill.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("starmill.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("starmill.llm"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -39,11 +54,17 @@ def queries() -> dict[str, Query]:
     found["j05_insert_if_absent"] = lambda spark, folder: plain(_segments(spark, folder))
     for name, view in _over_layers().items():
         found[name] = _query(view)
-    return dict(sorted(found.items()))
+    found = dict(sorted(found.items())) | LLM_QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = ORACLES | LLM_ORACLES
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def plain(df: DataFrame) -> DataFrame:
