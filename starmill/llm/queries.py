@@ -6,18 +6,31 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.llm.bpe_codec import bpe_digest
-from starmill.llm.common import read_table
+from starmill.llm.common import read_table, share_library
+from starmill.llm.token_counts import count_tokens
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    share_library(spark)
+    return read_table(spark, folder, "documents")
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = count_tokens(documents(spark, folder), BYTE_BPE)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op5_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe_digest(read_table(spark, folder, "documents"), BYTE_BPE)
+    return bpe_digest(documents(spark, folder), BYTE_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
 }
 
