@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
+from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +21,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(documents(spark, folder))
+    return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(documents(spark, folder), BYTE_BPE)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -30,6 +36,7 @@ def op5_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
 }
