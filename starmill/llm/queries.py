@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.llm import oracles
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
+from starmill.llm.decontamination import contamination
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 
@@ -35,11 +37,24 @@ def op5_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(documents(spark, folder), BYTE_BPE)
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(documents(spark, folder), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
+    "op8_decontamination": op8_decontamination,
 }
 
-# SQL of the results, where SQL can express them.
-ORACLES: dict[str, str] = {}
+
+ORACLES = {"op8_decontamination": oracles.DECONTAMINATION}
