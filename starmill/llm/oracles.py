@@ -38,3 +38,26 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+URL_RULES = r"""
+WITH part AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parsed AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM part
+), rules(verdict, rhost, rpath) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+         ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), best AS (
+  SELECT page_id, host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM parsed LEFT JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id, host, path
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
+"""

@@ -14,6 +14,7 @@ from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
+from starmill.llm.url_rules import judge
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -49,12 +50,31 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The rules the query judges by.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return judge(read_table(spark, folder, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
     "op8_decontamination": op8_decontamination,
+    "op10_url_rules": op10_url_rules,
 }
 
 
-ORACLES = {"op8_decontamination": oracles.DECONTAMINATION}
+ORACLES: dict[str, str] = {
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op10_url_rules": oracles.URL_RULES,
+}
