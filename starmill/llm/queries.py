@@ -12,6 +12,7 @@ from starmill.llm import oracles
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
+from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 from starmill.llm.url_rules import judge
@@ -34,6 +35,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality(documents(spark, folder))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "perplexity", "low", "high")
+
+
 def op5_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(documents(spark, folder), BYTE_BPE)
 
@@ -68,6 +74,7 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_rules": op4_quality_rules,
     "op5_bpe_codec": op5_bpe_codec,
     "op8_decontamination": op8_decontamination,
     "op10_url_rules": op10_url_rules,
