@@ -12,11 +12,13 @@ from starmill.llm import oracles
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
+from starmill.llm.language import identify
 from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 from starmill.llm.url_rules import judge
 
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -30,6 +32,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(documents(spark, folder), PIECE_BPE)
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(documents(spark, folder), BYTE_BPE)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -73,6 +79,7 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe_codec": op5_bpe_codec,
