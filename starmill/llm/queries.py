@@ -14,6 +14,7 @@ from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
 from starmill.llm.language import identify
 from starmill.llm.perplexity import COUNTS, quality
+from starmill.llm.pii import KINDS, find_spans
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 from starmill.llm.url_rules import judge
@@ -50,6 +51,18 @@ def op5_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(documents(spark, folder), BYTE_BPE)
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_spans(documents(spark, folder))
+    plain = F.split("plain", ",")
+    number = lambda kind: F.size(F.filter(plain, lambda s: s.startswith(kind + ":")))
+    return found.select(
+        "doc_id",
+        *[number(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.col("plain").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(documents(spark, folder), read_table(spark, folder, "benchmark"))
     return found.select(
@@ -83,12 +96,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_pii": op6_pii,
     "op8_decontamination": op8_decontamination,
     "op10_url_rules": op10_url_rules,
 }
 
 
 ORACLES: dict[str, str] = {
+    "op6_pii": op6_pii,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_url_rules": oracles.URL_RULES,
 }
