@@ -12,6 +12,7 @@ from starmill.llm import oracles
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
+from starmill.llm.html_text import extract
 from starmill.llm.language import identify
 from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.pii import KINDS, find_spans
@@ -63,6 +64,12 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    share_library(spark)
+    texts = extract(read_table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(documents(spark, folder), read_table(spark, folder, "benchmark"))
     return found.select(
@@ -97,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_pii": op6_pii,
+    "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
     "op10_url_rules": op10_url_rules,
 }
@@ -104,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_pii": op6_pii,
+    "op7_html_text": op7_html_text,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_url_rules": oracles.URL_RULES,
 }
