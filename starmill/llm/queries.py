@@ -14,6 +14,7 @@ from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
 from starmill.llm.html_text import extract
 from starmill.llm.language import identify
+from starmill.llm.licenses import license_notices
 from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.pii import KINDS, find_spans
 from starmill.llm.simhash import hexadecimal, near_duplicates
@@ -82,6 +83,19 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_notices(documents(spark, folder))
+    best = F.try_element_at("notices", F.lit(1))
+    listed = F.transform("notices", lambda n: F.concat_ws(":", n["name"], n["first"], n["end"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        best["name"].alias("license"),
+        F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"),
+        F.array_join(listed, ",").alias("notices"),
+    )
+
+
 # The rules the query judges by.
 URL_RULES = [
     ("allow", "com", "/"),
@@ -106,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": op6_pii,
     "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
+    "op9_license_scans": op9_license_scans,
     "op10_url_rules": op10_url_rules,
 }
 
@@ -114,5 +129,6 @@ ORACLES: dict[str, str] = {
     "op6_pii": op6_pii,
     "op7_html_text": op7_html_text,
     "op8_decontamination": oracles.DECONTAMINATION,
+    "op9_license_scans": op9_license_scans,
     "op10_url_rules": oracles.URL_RULES,
 }
