@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.sources.store import shared_folder
 
@@ -60,6 +61,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` written with a column ``name`` that tells its rows apart, whatever their keys."""
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list]]:
     """A batch as dicts of Python lists, each of a few rows and a few million characters."""
     sizes = batch.column(text).cast(pa.large_string())

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import cut
+from starmill.llm.common import cut, fresh, numbered
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -205,3 +205,19 @@ def contamination(
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),
     )
+
+
+def without_passages(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    size: int = WINDOW,
+) -> DataFrame:
+    """The rows and columns of ``docs`` without a window of an item."""
+    row = fresh(docs, "row_number")
+    rows = numbered(docs, row)
+    index = Index(rows, items, row, text, item, size)
+    hit = index.exact_matches().select("row").distinct()
+    hit = index.rows.join(hit, "row").select(F.col("key").alias(row))
+    return rows.join(hit, row, "left_anti").select(*docs.columns)

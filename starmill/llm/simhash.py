@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import cut, pieces
+from starmill.llm.common import cut, fresh, numbered, pieces
 from starmill.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -270,5 +270,26 @@ def near_duplicates(
     return each.join(ids, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
+def without_copies(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The rows and columns of ``docs``, one of each component: that of the least key, a row with
+    a null key last, and of equal keys any one."""
+    row = fresh(docs, "row_number")
+    rows = numbered(docs, row)
+    rank = F.struct(F.col(key).isNull(), F.col(key), F.col(row))
+    each = rows.select(rank.alias("key"), F.col(text).alias("text"))
+    found = near_duplicates(each, "key", "text", shingle, radius)
+    number = found.schema["key"].dataType.names[-1]
+    copies = found.where(F.col("key") != F.col("component_id"))
+    return rows.join(
+        copies.select(F.col("key").getField(number).alias(row)), row, "left_anti"
+    ).select(*docs.columns)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
