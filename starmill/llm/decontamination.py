@@ -75,9 +75,11 @@ class Index:
             .distinct()
             .select("id", F.size("window").alias("n"), F.posexplode("window").alias("offset", "word"))
         )
-        terms = cut(each.select("word").distinct())
-        # A row without a word stands for each document, so its number of words and its row id
-        # come from the same reading of the text as its postings.
+        # The empty word stands for the document itself. Written, so that Spark knows the size.
+        blank = docs.sparkSession.range(1).select(F.lit("").alias("word"))
+        terms = cut(each.select("word").distinct().unionAll(blank))
+        # Each document has such a word in front, so its number of words and its row id come from
+        # the same reading of the text as its postings.
         listed = (
             docs.select(
                 F.monotonically_increasing_id().alias("row"),
@@ -90,7 +92,7 @@ class Index:
                 F.size("words").alias("n_words"),
                 F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("pos", "word"),
             )
-            .join(terms.unionAll(terms.sparkSession.createDataFrame([("",)], "word string")), "word")
+            .join(terms, "word")
             .select("row", "key", "n_words", (F.col("pos") - 1).alias("pos"), "word")
         )
         listed = cut(listed)
