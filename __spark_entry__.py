@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from oracles import ORACLES
 from starmill.operators.audit import audit_summary
 from starmill.operators.bridge import genre_histogram, weight_preview
 from starmill.operators.domains import build_domain, insert_if_absent
+from starmill.operators.assertions import assert_check, assert_fk, assert_not_null, assert_unique
 from starmill.operators.enrich import not_loaded
+from starmill.operators.keys import dense_key
 from starmill.operators.snapshot import type_rows, unreadable_cells
 from starmill.plans import analysis, orders, quality, verification, views
 from starmill.plans.layers import Layers
@@ -51,6 +54,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = {"a1_landing": lambda spark, folder: plain(orders.landing(spark, folder))}
+    found["k0_assertions"] = lambda spark, folder: plain(_assertions(spark, folder))
+    found["l1_dense_key_sparse"] = lambda spark, folder: plain(_sparse_keys(spark, folder))
     found["j05_insert_if_absent"] = lambda spark, folder: plain(_segments(spark, folder))
     for name, view in _over_layers().items():
         found[name] = _query(view)
@@ -155,6 +160,9 @@ def _over_layers() -> dict[str, Callable[[Layers], DataFrame]]:
         "j51_genre_fractional": analysis.genre_fractional,
         "j52_genre_membership": analysis.genre_membership,
         "j53_genre_weighted_kpis": analysis.genre_weighted_kpis,
+        "j53_weighted_mean_exact": lambda ly: analysis.genre_weighted_kpis(ly).select(
+            "genre_name", F.col("avg_rating_weighted").cast("string").alias("mean")
+        ),
         "j54_dw_weight_errors": verification.dw_weight_errors,
         "j56_count_checks": verification.count_checks,
         "j57_cleaning_checks": verification.cleaning_checks,
@@ -184,4 +192,30 @@ def _segments(spark: SparkSession, folder: str) -> DataFrame:
     customer = orders.read_table(spark, folder, "customer")
     known = build_domain(customer, "c_mktsegment", "category", row_id="c_custkey")
     found = build_domain(orders.layers(spark, folder)["raw"], "category", "category")
-    return insert_if_absent(known, found, ["category_name_norm"], ["category_id"])
+    return insert_if_absent(
+        known, found, ["category_name_norm"], ["category_id"], number="category_id"
+    )
+
+
+def _sparse_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Dense keys over ids scattered over the whole range of a bigint."""
+    scattered = F.expr("o_orderkey * 2654435761 % 9007199254740881 * 1000")
+    ids = orders.read_table(spark, folder, "orders").select(
+        "o_orderkey", scattered.cast("bigint").alias("sparse_id")
+    )
+    return dense_key(ids, "dense_id", ["sparse_id"])
+
+
+def _assertions(spark: SparkSession, folder: str) -> DataFrame:
+    """Constraints that the given tables break, and some that they meet."""
+    read = lambda name: orders.read_table(spark, folder, name)
+    line, customer = read("lineitem"), read("customer")
+    found = [
+        assert_unique(line, "l_orderkey", "l_linenumber", name="line number per order"),
+        assert_unique(customer, "c_custkey", name="customer key"),
+        assert_check(customer, "c_acctbal >= 0", name="balance"),
+        assert_not_null(customer, "c_name", name="customer name"),
+        assert_fk(customer, "c_custkey", read("orders"), "o_custkey", name="customer orders"),
+        assert_fk(read("orders"), "o_custkey", customer, "c_custkey", name="order customer"),
+    ]
+    return reduce(DataFrame.unionAll, found)

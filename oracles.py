@@ -817,7 +817,10 @@ select min(c_custkey) as category_id,
   lower(trim(c_mktsegment)) as category_name_norm
 from customer where trim(c_mktsegment) <> '' group by lower(trim(c_mktsegment))
 union all
-select min(raw_id), arg_min(trim(category), raw_id), lower(trim(category))
+select (select max(id) from (
+    select min(c_custkey) as id from customer where trim(c_mktsegment) <> ''
+    group by lower(trim(c_mktsegment)))) + row_number() over (order by min(raw_id)),
+  arg_min(trim(category), raw_id), lower(trim(category))
 from raw
 where trim(category) <> ''
   and lower(trim(category)) not in (
@@ -916,6 +919,15 @@ select genre_name, count(distinct app_snapshot_key) as snapshot_membership_count
   {_mean('size_bytes')} as avg_size_bytes
 from fractional group by genre_name""",
     "j53_genre_weighted_kpis": KPIS,
+    "j53_weighted_mean_exact": """
+select genre_name, (q // s)::varchar || '.' || lpad((q % s)::varchar, 16, '0') as mean
+from (
+  select genre_name, 10000000000000000::hugeint as s,
+    (2 * top * 100000000000000 + bottom) // (2 * bottom) as q
+  from (
+    select genre_name, sum((rating * 100)::hugeint * units::hugeint) as top,
+      sum(units::hugeint) filter (where rating is not null) as bottom
+    from fractional group by genre_name))""",
     "j54_dw_weight_errors": f"""
 select app_snapshot_key, genre_count, units / 1e12 as weight_sum,
   abs(units - 1000000000000) / 1e12 as weight_error
@@ -951,6 +963,21 @@ select 'integrity_failures',
 select year, quarter, month, count(*) as snapshot_count, {_mean('rating')} as avg_rating,
   {_mean('reviews_count')} as avg_reviews, {_mean('installs_count')} as avg_installs
 from star group by rollup (year, quarter, month)""",
+    "k0_assertions": """
+select 'line number per order' as constraint_name,
+  (select count(*) from lineitem)
+  - (select count(*) from (select distinct l_orderkey, l_linenumber from lineitem)) as violations
+union all select 'customer key', (select count(*) - count(distinct c_custkey) from customer)
+union all select 'balance', (select count(*) from customer where c_acctbal < 0)
+union all select 'customer name', (select count(*) from customer where c_name is null)
+union all select 'customer orders',
+  (select count(*) from customer where c_custkey not in (select o_custkey from orders))
+union all select 'order customer',
+  (select count(*) from orders where o_custkey not in (select c_custkey from customer))""",
+    "l1_dense_key_sparse": """
+select o_orderkey, sparse_id, row_number() over (order by sparse_id) as dense_id
+from (select o_orderkey, o_orderkey * 2654435761 % 9007199254740881 * 1000 as sparse_id
+      from orders)""",
     "k1_unique": _unique(),
     "k2_foreign_keys": _foreign(),
     "k3_checks": _check_constraints(),

@@ -24,10 +24,26 @@ def weighted(measure: Column, weight: Column) -> Column:
 
 
 def quotient(total: Column, by: Column) -> Column:
-    """Mean from two decimal sums: 16 places while both sums fit, 12 beyond 10^10."""
-    fine = F.try_divide(total.try_cast("decimal(24,14)"), by.try_cast("decimal(22,12)"))
-    wide = F.try_divide(total.cast("decimal(26,12)"), by.cast("decimal(26,12)"))
-    return F.coalesce(fine.cast("decimal(26,16)"), wide.cast("decimal(26,16)"))
+    """Mean from two sums with 14 and 12 places, neither negative and both below 10^16: rounded
+    to 16 places, whatever their size; NULL for zero.
+
+    A long division in whole numbers: the whole part, then eight digits from each remainder.
+    """
+    ten = lambda n: F.lit(10**n).cast(f"decimal({n + 1},0)")
+    rest = (total.cast("decimal(30,14)") * ten(14)).cast("decimal(30,0)")
+    divisor = (by.cast("decimal(28,12)") * ten(14)).cast("decimal(30,0)")
+    divisor = F.nullif(divisor, F.lit(0).cast("decimal(30,0)"))
+    digits = []
+    for _ in range(3):
+        digits.append(F.call_function("div", rest, divisor).cast("decimal(20,0)"))
+        rest = ((rest % divisor).cast("decimal(30,0)") * ten(8)).cast("decimal(38,0)")
+    up = F.when(rest >= divisor * 5 * ten(7), 1).otherwise(0).cast("decimal(1,0)")
+    small = lambda c, n: (c * F.lit(f"1e-{n}").cast(f"decimal({n},{n})")).cast(
+        "decimal(36,16)"
+    )
+    return (
+        digits[0].cast("decimal(36,16)") + small(digits[1], 8) + small(digits[2] + up, 16)
+    ).cast("decimal(36,16)")
 
 
 def mean(total: Column, n: Column) -> Column:

@@ -57,11 +57,17 @@ def open_lists(df: DataFrame, key: str, column: str, cfg: Config) -> DataFrame:
 
 
 def insert_if_absent(
-    target: DataFrame, new: DataFrame, keys: list[str], first_by: Sequence[str] = ()
+    target: DataFrame,
+    new: DataFrame,
+    keys: list[str],
+    first_by: Sequence[str] = (),
+    number: str | None = None,
 ) -> DataFrame:
     """``target`` plus the rows of ``new`` whose key it lacks, one row per new key.
 
     Of several new rows with one key the lowest by ``first_by``, then by the other columns, wins.
+    ``number`` names a bigint id that ``new`` counts on its own: added rows get the ids after the
+    highest of ``target``, in the order of the ids they had, so no id is handed out twice.
     """
     rest = [*first_by, *[c for c in new.columns if c not in keys and c not in first_by]]
     if rest:
@@ -70,6 +76,10 @@ def insert_if_absent(
     else:
         firsts = new.select(*keys).distinct()
     added = firsts.join(target.select(*keys), keys, "left_anti")
+    if number:
+        highest = target.agg(F.coalesce(F.max(number), F.lit(0)).alias("_n")).select("_n").scalar()
+        placed = dense_key(added.withColumnRenamed(number, "_old"), "_place", ["_old", *keys])
+        added = placed.withColumn(number, highest + F.col("_place"))
     return target.unionByName(added.select(*target.columns))
 
 

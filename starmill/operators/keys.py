@@ -6,23 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-# Consecutive ids numbered by one task; also how far the per-block counts shrink the table.
+# Consecutive ids numbered by one task; and blocks, then wide blocks, whose counts are added up
+# by one task. With 64-bit ids at most 2**24 counts meet in one task, however sparse the ids.
 BLOCK_SPAN = 1 << 20
+WIDE_SPAN = 1 << 20
 
 
-def dense_key(df: DataFrame, key: str, order_by: list[str], span: int = BLOCK_SPAN) -> DataFrame:
+def dense_key(
+    df: DataFrame,
+    key: str,
+    order_by: list[str],
+    span: int = BLOCK_SPAN,
+    wide: int = WIDE_SPAN,
+) -> DataFrame:
     """Add ``key`` = 1, 2, 3, ... in the order of ``order_by``, whose first column is a bigint.
 
     Blocks of ``span`` consecutive ids are numbered apart and shifted by the number of rows in
-    the blocks before them. Block limits come from the ids alone, so a task that is run again
-    hands out the same keys. Only the block counts, a millionth of the rows, meet in one task.
+    the blocks before them, which are counted on two levels: within a wide block of ``wide``
+    blocks, and over the wide blocks. Block limits come from the ids alone, so a task that is run
+    again hands out the same keys, and sparse ids make no more counts meet than dense ones can.
     """
     blocked = df.withColumn("_block", F.expr(f"`{order_by[0]}` div {span}"))
-    before = W.Window.orderBy("_block").rowsBetween(W.Window.unboundedPreceding, -1)
-    shifts = (
+    before = lambda w: w.rowsBetween(W.Window.unboundedPreceding, -1)
+    sums = lambda w: F.coalesce(F.sum("_rows").over(before(w)), F.lit(0))
+    rows = F.sum("_rows").alias("_rows")
+    counts = (
         blocked.groupBy("_block")
         .agg(F.count("*").alias("_rows"))
-        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+        .withColumn("_wide", F.expr(f"_block div {wide}"))
+    )
+    over = counts.groupBy("_wide").agg(rows).select(
+        "_wide", sums(W.Window.orderBy("_wide")).alias("_above")
+    )
+    beside = sums(W.Window.partitionBy("_wide").orderBy("_block"))
+    shifts = (
+        counts.withColumn("_beside", beside)
+        .join(over, "_wide")
+        .select("_block", (F.col("_above") + F.col("_beside")).alias("_shift"))
     )
     within = W.Window.partitionBy("_block").orderBy(*order_by)
     return (
