@@ -7,6 +7,7 @@ engines hash the same values.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
@@ -23,12 +24,16 @@ from oracles import ORACLES
 from starmill.operators.audit import audit_summary
 from starmill.operators.bridge import genre_histogram, weight_preview
 from starmill.operators.domains import build_domain, insert_if_absent
+from starmill.config import LANDING_HEADERS
 from starmill.operators.assertions import assert_check, assert_fk, assert_not_null, assert_unique
 from starmill.operators.enrich import not_loaded
 from starmill.operators.keys import dense_key
 from starmill.operators.snapshot import type_rows, unreadable_cells
 from starmill.plans import analysis, orders, quality, verification, views
 from starmill.plans.layers import Layers
+from starmill.sources.exports import export_csv, read_export
+from starmill.sources.landing import land_csv, malformed_rows
+from starmill.sources.store import shared_folder, written
 
 # The operators for training text and the pipeline over them can be left out of a checkout.
 try:
@@ -54,6 +59,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = {"a1_landing": lambda spark, folder: plain(orders.landing(spark, folder))}
+    found["a1_csv_landing"] = lambda spark, folder: _as_files(spark, folder, False).drop(
+        "imported_at", "malformed_line"
+    )
+    found["a1_malformed_rows"] = lambda spark, folder: malformed_rows(
+        written(_as_files(spark, folder, True))
+    ).select("raw_id", "app", F.col("malformed_line").endswith(",surplus").alias("surplus"))
+    found["a6_export"] = _exported
     found["k0_assertions"] = lambda spark, folder: plain(_assertions(spark, folder))
     found["l1_dense_key_sparse"] = lambda spark, folder: plain(_sparse_keys(spark, folder))
     found["j05_insert_if_absent"] = lambda spark, folder: plain(_segments(spark, folder))
@@ -169,6 +181,7 @@ def _over_layers() -> dict[str, Callable[[Layers], DataFrame]]:
         "j58_bridge_checks": verification.bridge_checks,
         "j59_warehouse_checks": verification.warehouse_checks,
         "j60_weight_checks": verification.weight_checks,
+        "j60_weight_checks_flat": lambda ly: verification.weight_checks(ly, relative=False),
         "j61_must_be_empty": verification.must_be_empty_rows,
         "j61_non_green_metrics": lambda ly: verification.must_be_empty(ly)["non_green_metrics"],
         "j61_integrity_failures": lambda ly: verification.must_be_empty(ly)["integrity_failures"],
@@ -206,6 +219,32 @@ def _sparse_keys(spark: SparkSession, folder: str) -> DataFrame:
     return dense_key(ids, "dense_id", ["sparse_id"])
 
 
+def _as_files(spark: SparkSession, folder: str, damage: bool) -> DataFrame:
+    """The landing rows written as several CSV files without a header, and landed from them. With
+    ``damage`` some lines have a cell too many or too few."""
+    rows = orders.landing(spark, folder).drop("imported_at")
+    cells = F.struct(*[F.col(c) for c in LANDING_HEADERS])
+    line = F.to_csv(cells, {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    if damage:
+        more = F.concat(line, F.lit(",surplus"))
+        fewer = F.regexp_extract(line, "^[^,]*", 0)
+        line = F.when(F.col("raw_id") % 97 == 0, more).when(
+            F.col("raw_id") % 101 == 0, fewer
+        ).otherwise(line)
+    path = f"{shared_folder(spark).rstrip('/')}/starmill-extract-{uuid.uuid4().hex}"
+    placed = rows.select("raw_id", line.alias("line")).repartitionByRange(5, "raw_id")
+    placed.sortWithinPartitions("raw_id").select("line").write.text(path)
+    return land_csv(spark, path, header=False)
+
+
+def _exported(spark: SparkSession, folder: str) -> DataFrame:
+    """A view written as a CSV folder and read back."""
+    view = plain(analysis.by_category(orders.layers(spark, folder)))
+    path = f"{shared_folder(spark).rstrip('/')}/starmill-export-{uuid.uuid4().hex}"
+    export_csv(view, path)
+    return read_export(spark, path, ", ".join(f"{name} {kind}" for name, kind in view.dtypes))
+
+
 def _assertions(spark: SparkSession, folder: str) -> DataFrame:
     """Constraints that the given tables break, and some that they meet."""
     read = lambda name: orders.read_table(spark, folder, name)

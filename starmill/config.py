@@ -37,6 +37,8 @@ class Config:
 
     # Cell contents that mark a malformed row, per master (exact spelling).
     app_sentinels: tuple[str, ...] = ("Life Made WI-Fi Touchscreen Photo Frame",)
+    # Starts of names that the check after the load looks for; None means the sentinels.
+    app_sentinel_prefixes: tuple[str, ...] | None = ("Life Made WI-Fi",)
     category_sentinels: tuple[str, ...] = ("1.9",)
     app_type_sentinels: tuple[str, ...] = ("0",)
     content_rating_sentinels: tuple[str, ...] = ("0",)

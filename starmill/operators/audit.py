@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.text import labelled
+from starmill.operators.enrich import NO_CELLS
 
 AUDITED_TABLE = "clean.app_snapshot_clean"
 
@@ -127,7 +130,7 @@ def audit_log(
     A rule whose flag is not set, or NULL, leaves an empty entry, which is dropped.
     """
     rules = audit_rules() if rules is None else rules
-    texts = [c for c in raw.columns if c != "raw_id" and c != "imported_at"]
+    texts = [c for c in raw.columns if c not in NO_CELLS]
     before = raw.select("raw_id", *[F.col(c).alias(f"raw_{c}") for c in texts])
     entries = F.array(
         *[
@@ -147,7 +150,9 @@ def audit_log(
             for rule in rules
         ]
     )
-    logged = clean.join(before, "raw_id", "left").select(F.inline(entries))
+    # Rows without a decision to log, most of them, never meet the wide raw text.
+    decided = reduce(or_, [F.coalesce(F.col(rule.flag), F.lit(False)) for rule in rules])
+    logged = clean.where(decided).join(before, "raw_id", "left").select(F.inline(entries))
     return logged.where(F.col("table_name").isNotNull())
 
 

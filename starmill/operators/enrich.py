@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starmill.operators.star import FACT_FLAGS, FACT_MEASURES
 
 # Raw columns that the view calls by a longer name.
+NO_CELLS = ("raw_id", "imported_at", "malformed_line")
 LONG_NAMES = {"current_ver": "current_version", "android_ver": "android_version"}
 
 
@@ -20,7 +21,7 @@ def enrich_snapshot(
     last, as it may be large.
     """
     texts = {
-        c: f"raw_{LONG_NAMES.get(c, c)}" for c in raw.columns if c not in ("raw_id", "imported_at")
+        c: f"raw_{LONG_NAMES.get(c, c)}" for c in raw.columns if c not in NO_CELLS
     }
     cells = [F.col(c).alias(name) for c, name in texts.items()]
     rows = snapshot.join(raw.select("raw_id", *cells), "raw_id", "left")

@@ -92,18 +92,33 @@ def genre_weighted_kpis(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame
 def genre_membership(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
     """Plain means per genre; a snapshot counts in each of its genres.
 
-    Distinct snapshots are found on the partitioning by snapshot that fact and bridge share.
+    Rows are folded per snapshot and genre on the partitioning that fact and bridge share, then
+    per genre, so the genre's name meets one row per genre and a frequent genre is no hot key.
     """
-    return (
-        fact.select("app_snapshot_key", "rating", "price_usd", "size_bytes")
+    measures = ("rating", "price_usd", "size_bytes")
+    pairs = (
+        fact.select("app_snapshot_key", *measures)
         .join(bridge.select("app_snapshot_key", "genre_key"), "app_snapshot_key")
-        .join(dim_genre.select("genre_key", "genre_name"), "genre_key")
+        .groupBy("app_snapshot_key", "genre_key")
+        .agg(
+            *[_sum(m).alias(f"sum_{m}") for m in measures],
+            *[F.count(m).alias(f"n_{m}") for m in measures],
+        )
+    )
+    folded = pairs.groupBy("genre_key").agg(
+        F.count("*").alias("members"),
+        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in measures],
+        *[F.sum(f"n_{m}").alias(f"n_{m}") for m in measures],
+    )
+    return (
+        folded.join(dim_genre.select("genre_key", "genre_name"), "genre_key")
         .groupBy("genre_name")
         .agg(
-            F.count_distinct("app_snapshot_key").alias("snapshot_membership_count"),
-            mean(_sum("rating"), F.count("rating")).alias("avg_rating"),
-            mean(_sum("price_usd"), F.count("price_usd")).alias("avg_price_usd"),
-            mean(_sum("size_bytes"), F.count("size_bytes")).alias("avg_size_bytes"),
+            F.sum("members").alias("snapshot_membership_count"),
+            *[
+                mean(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(f"avg_{m}")
+                for m in measures
+            ],
         )
     )
 

@@ -14,16 +14,17 @@ from starmill.sources.store import LayerStore, bucket_count, file_state
 
 def from_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     namespace: str,
     config: Config | None = None,
     null_tokens: Sequence[str] = (),
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> Layers:
-    """Layers of the extract at ``path``, written as tables of database ``namespace``.
+    """Layers of the extract at ``path`` (paths and globs), written as tables of database
+    ``namespace``.
 
     A second run with the same namespace replaces every table whole.
     """
     raw = land_csv(spark, path, null_tokens=null_tokens, multi_line=multi_line)
-    _, size = file_state(spark, [path])
+    _, size = file_state(spark, [path] if isinstance(path, str) else path)
     return Layers(raw, config, LayerStore(spark, namespace, bucket_count(spark, size)))

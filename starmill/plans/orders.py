@@ -10,7 +10,7 @@ from starmill.sources.landing import land_orders
 from starmill.sources.store import LayerStore, bucket_count, file_state
 
 TABLES = ("orders", "customer", "lineitem", "part")
-CONFIG = Config(app_sentinels=("SHIFTED ROW",))
+CONFIG = Config(app_sentinels=("SHIFTED ROW",), app_sentinel_prefixes=("SHIFTED",))
 
 _built: dict[str, Layers] = {}
 

@@ -107,7 +107,11 @@ def issue_views(cfg: Config) -> dict[str, Column]:
 
 
 def issue_view(ly: Layers, name: str) -> DataFrame:
-    return issue_rows(enriched_snapshot(ly), issue_views(ly.config)[name])
+    """The enriched snapshots a rule finds wanting; only these meet the wide raw text."""
+    snapshot = ly["snapshot"]
+    typed = snapshot.join(ly["app_type"], "app_type_id", "left")
+    found = issue_rows(typed, issue_views(ly.config)[name]).select(*snapshot.columns)
+    return enrich_snapshot(found, ly.masters(), ly["raw"])
 
 
 def after_cleaning_scorecard(ly: Layers) -> DataFrame:

@@ -293,12 +293,12 @@ def warehouse_checks(ly: Layers) -> DataFrame:
     return run_checks(measure(tables, measures), checks).orderBy("check_id")
 
 
-def weight_checks(ly: Layers, relative: bool = False) -> DataFrame:
+def weight_checks(ly: Layers, relative: bool = True) -> DataFrame:
     """Weighted totals over the bridge equal plain totals over the fact.
 
-    Each snapshot's weights are rounded, so the gap grows with the number of snapshots.
-    ``relative`` allows for that: the tolerances then apply per snapshot and per million units,
-    instead of to the whole table.
+    Each snapshot's weights are rounded, so the gap grows with the number of snapshots: the
+    tolerances apply per snapshot and per million units. Without ``relative`` they apply to the
+    whole table, and fail by rounding alone at some millions of snapshots.
     """
     cfg = ly.config
     tables = {
@@ -388,12 +388,11 @@ def stage_one_checks(ly: Layers) -> DataFrame:
         "no_snapshot": orphans(ly["bridge"], "snapshot_id", ly["snapshot"]),
         "no_genre": orphans(ly["bridge"], "genre_id", ly["genre"]),
     }
-    sentinel_norms = [s.lower() for s in cfg.app_sentinels]
+    sentinel_norms = [s.lower() for s in cfg.app_sentinel_prefixes or cfg.app_sentinels]
     foreign = ("app_id", "category_id", "app_type_id", "content_rating_id")
-    dirty_category = c("category_name_norm").isin("1.9", "nan", "null", "0")
+    dirty_category = c("category_name_norm").isin(*[t for t in cfg.bad_categories if t])
     bad_rating = c("rating").isNotNull() & ((c("rating") < 0) | (c("rating") > 5))
-    lower_date = cfg.date_like.replace("[A-Za-z]", "[a-z]")
-    bad_genre = c("genre_name_norm").rlike(lower_date) | c("genre_name_norm").isin(*cfg.bad_genres)
+    bad_genre = c("genre_name_norm").rlike(cfg.date_like) | c("genre_name_norm").isin(*cfg.bad_genres)
     measures = [
         Measure("raw_rows", "raw", row_count()),
         Measure(

@@ -7,8 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import window as W
 
 from starmill.config import LANDING_HEADERS
+from starmill.sources.store import written
+
+MALFORMED = "malformed_line"
 
 
 def land_csv(
@@ -16,21 +20,43 @@ def land_csv(
     path: str | Sequence[str],
     columns: Mapping[str, str] = LANDING_HEADERS,
     null_tokens: Sequence[str] = (),
-    multi_line: bool = True,
+    multi_line: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """CSV with a header line to text columns named by ``columns`` (name -> header).
+    """CSV to text columns named by ``columns`` (name -> header).
 
     The header is kept in each column's metadata. Cells equal to one of ``null_tokens`` become
-    NULL. Row ids follow file order and are settled when the landing table is written, which the
-    layers do first. A multi-line file is read by one task: land large extracts as many files, or
-    with ``multi_line=False`` where no cell holds a line break.
+    NULL. A line with too many or too few cells is kept whole in ``malformed_line``, beside the
+    cells that could be read; see :func:`malformed_rows`.
+
+    Row ids are 1, 2, 3, ... in the order of the files' paths, then of their lines, however Spark
+    splits the files. Where cells hold line breaks, ``multi_line`` is needed, and each file is
+    then read by one task. Without ``header`` the files hold no header line.
     """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in columns.values()])
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    # Column order must be checked against the header line, not assumed.
-    rows = reader.option("multiLine", multi_line).option("enforceSchema", False).csv(
+    schema = schema.add(MALFORMED, T.StringType())
+    reader = spark.read.schema(schema).option("header", header).option("escape", '"')
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+    # All cells are read even to count lines, so that a line is judged alike every time. Column
+    # order must be checked against the header line, not assumed.
+    reader = reader.option("columnPruning", False).option("enforceSchema", not header)
+    lines = reader.option("multiLine", multi_line).csv(
         path if isinstance(path, str) else list(path)
     )
+    lines = lines.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    # One row per split of a file: where it starts among all lines, and at which place its task
+    # found its first line. Written, as its size then tells Spark how to join it.
+    earlier = W.Window.orderBy("_file", "_start").rowsBetween(W.Window.unboundedPreceding, -1)
+    splits = written(
+        lines.groupBy("_file", "_start")
+        .agg(F.count("*").alias("_lines"), F.min("_place").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
+    )
 
     def cell(name: str, header: str) -> Column:
         c = F.col(f"`{header}`")
@@ -38,13 +64,22 @@ def land_csv(
             c = F.when(~c.isin(*null_tokens), c)
         return c.alias(name, metadata={"header": header})
 
-    return rows.select(
-        (F.monotonically_increasing_id() + 1).alias("raw_id"),
+    return lines.join(splits, ["_file", "_start"]).select(
+        (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("raw_id"),
         *[cell(name, header) for name, header in columns.items()],
+        MALFORMED,
         F.current_timestamp().alias("imported_at"),
     )
 
 
+def malformed_rows(raw: DataFrame) -> DataFrame:
+    """The landed lines with too many or too few cells: what could be read, and the whole line.
+
+    Over files that aren't landed as a table yet, Spark wants some cell to be selected, too.
+    """
+    return raw.where(F.col(MALFORMED).isNotNull())
+
+
 def land_orders(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, part: DataFrame):
     """Orders written the way the catalogue extract is: dirty text, one row per order.
 

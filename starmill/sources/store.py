@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,17 +30,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _scratch[application]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: a small table whose size Spark knows."""
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark).rstrip('/')}/starmill-{application}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def file_state(spark: SparkSession, paths: Sequence[str]) -> tuple[str, int]:
-    """Digest of the paths with their sizes and times of change, and the sum of the sizes."""
+    """Digest of all files under the paths, which may be globs, with their sizes and times of
+    change, and the sum of the sizes."""
     conf = spark._jsc.hadoopConfiguration()
-    digest, total = hashlib.sha256(), 0
+    files = []
     for name in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
         fs = path.getFileSystem(conf)
-        size = fs.getContentSummary(path).getLength()
-        digest.update(f"{name} {size} {fs.getFileStatus(path).getModificationTime()}\n".encode())
-        total += size
-    return digest.hexdigest()[:12], total
+        found = fs.globStatus(path)
+        if not found:
+            raise FileNotFoundError(name)
+        for top in found:
+            listing = fs.listFiles(top.getPath(), True)
+            while listing.hasNext():
+                file = listing.next()
+                state = file.getLen(), file.getModificationTime()
+                files.append((file.getPath().toString(), *state))
+    text = "\n".join(f"{name} {size} {time}" for name, size, time in sorted(files))
+    return hashlib.sha256(text.encode()).hexdigest()[:12], sum(size for _, size, _ in files)
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:

@@ -1,4 +1,4 @@
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
@@ -42,6 +42,13 @@ def test_quotient_beyond_the_fine_width(spark):
     assert _one(spark, numbers.quotient(F.col("t"), F.col("w")), schema, row) == Decimal("4")
 
 
+def test_quotient_has_the_same_places_at_every_size(spark):
+    schema, q = "t decimal(37,14), w decimal(38,12)", numbers.quotient(F.col("t"), F.col("w"))
+    for n in (3, 9 * 10**9, 12 * 10**9, 10**14 + 1, 7 * 10**15):
+        want = (Decimal(n + 1) / Decimal(n)).quantize(Decimal("1e-16"), ROUND_HALF_UP)
+        assert _one(spark, q, schema, (Decimal(n + 1), Decimal(n))) == want, n
+
+
 def test_scores_and_bands_of_known_totals(spark):
     # Fixed values: (total, issues) with the published score and band.
     known = [

@@ -105,3 +105,18 @@ def test_unreadable_cells_are_listed_not_fatal(spark):
     got = rows(unreadable_cells(raw), "raw_id", "column_name", "raw_value")
     assert got == [(1, "price_usd", "1.2.3"), (1, "reviews_count", "1" * 30)]
     assert rows(Layers(raw)["snapshot"], "price_usd", "size_bytes") == [(None, 1048576)]
+
+
+def test_sparse_ids_are_numbered_in_small_windows(spark):
+    """Ids all over the range of a bigint: one block each, and few blocks per wide block."""
+    ids = [i * 2654435761 * 1000003 % (2**62) - 2**61 for i in range(3000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["key"] for r in dense_key(df, "key", ["id"]).collect()}
+    assert got == {i: n for n, i in enumerate(sorted(ids), 1)}
+
+
+def test_added_rows_get_ids_of_their_own(spark):
+    target = spark.createDataFrame([(7, "a"), (9, "b")], "id long, name string")
+    new = spark.createDataFrame([(9, "c"), (7, "d"), (3, "a")], "id long, name string")
+    got = insert_if_absent(target, new, ["name"], ["id"], number="id")
+    assert {tuple(r) for r in got.collect()} == {(7, "a"), (9, "b"), (10, "d"), (11, "c")}

@@ -12,7 +12,7 @@ from starmill.plans.catalogue import from_csv
 from starmill.plans.layers import TABLES, WAVES
 from starmill.sources import store
 from starmill.sources.exports import export_csv, read_export
-from starmill.sources.landing import land_csv
+from starmill.sources.landing import land_csv, malformed_rows
 from starmill.sources.store import LayerStore, bucket_count, shared_folder
 
 HEADER = ",".join(LANDING_HEADERS.values())
@@ -30,7 +30,7 @@ ROWS = [
 def landed(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("csv") / "extract.csv"
     path.write_text("\n".join([HEADER, *ROWS]) + "\n")
-    return land_csv(spark, str(path), null_tokens=())
+    return land_csv(spark, str(path), multi_line=True)
 
 
 def test_csv_lands_as_text(landed):
@@ -48,7 +48,8 @@ def test_csv_lands_as_text(landed):
 def test_null_tokens_become_null(spark, tmp_path):
     path = tmp_path / "extract.csv"
     path.write_text("\n".join([HEADER, *ROWS]) + "\n")
-    rows = land_csv(spark, str(path), null_tokens=("NaN",)).orderBy("raw_id").collect()
+    landed = land_csv(spark, str(path), null_tokens=("NaN",), multi_line=True)
+    rows = landed.orderBy("raw_id").collect()
     assert rows[2].type is None and rows[1].rating is None and rows[0].rating == "4.1"
 
 
@@ -62,8 +63,35 @@ def test_wrong_header_is_refused(spark, tmp_path):
 def test_many_files_get_distinct_ids(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"part{i}.csv").write_text("\n".join([HEADER, *ROWS]) + "\n")
-    rows = land_csv(spark, str(tmp_path))
-    assert rows.count() == 12 and rows.select("raw_id").distinct().count() == 12
+    rows = land_csv(spark, str(tmp_path), multi_line=True)
+    assert sorted(r.raw_id for r in rows.collect()) == list(range(1, 13))
+
+
+@pytest.mark.parametrize("split", ["128m", "3k"])
+def test_ids_follow_files_and_lines_whatever_the_splits(spark, tmp_path, split):
+    """A small file comes before a large one by its name, a large file is read in splits."""
+    line = lambda i: f"App {i}" + "," * 12
+    names = {"a.csv": range(3), "b.csv": range(3, 900), "c.csv": range(900, 904)}
+    for name, ids in names.items():
+        (tmp_path / name).write_text("\n".join([HEADER, *map(line, ids)]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = land_csv(spark, f"{tmp_path}/*.csv").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.raw_id: r.app for r in rows} == {i + 1: f"App {i}" for i in range(904)}
+
+
+def test_malformed_lines_are_kept_and_listed(spark, tmp_path):
+    long, short = ROWS[0] + ",14,15", "Only,three,cells"
+    (tmp_path / "x.csv").write_text("\n".join([HEADER, ROWS[0], long, short, ROWS[2]]) + "\n")
+    landed = land_csv(spark, str(tmp_path / "x.csv"))
+    found = malformed_rows(landed).collect()
+    assert sorted((r.raw_id, r.malformed_line) for r in found) == [(2, long), (3, short)]
+    assert [r.app for r in landed.orderBy("raw_id").collect()] == [
+        "Photo Editor", "Photo Editor", "Only", "No Type",
+    ]
 
 
 def test_csv_to_star(spark, tmp_path):
@@ -71,7 +99,8 @@ def test_csv_to_star(spark, tmp_path):
     path = tmp_path / "extract.csv"
     path.write_text("\n".join([HEADER, *ROWS]) + "\n")
     for _ in range(2):
-        ly = from_csv(spark, str(path), "csv_to_star", Config(app_sentinels=("Shifted",)))
+        config = Config(app_sentinels=("Shifted",))
+        ly = from_csv(spark, [str(path)], "csv_to_star", config, multi_line=True)
         ly.build_all()
     assert ly["fact"].count() == 3 and ly["raw"].count() == 4
     kpis = {r.genre_name: tuple(r)[1:] for r in analysis.genre_weighted_kpis(ly).collect()}
