@@ -119,21 +119,24 @@ class Index:
             .where("start >= 0")
         )
 
-    def among(self, places: DataFrame, condition: str) -> DataFrame:
+    def among(self, places: DataFrame, condition: str, lists: DataFrame) -> DataFrame:
         """``places`` once per word of their window whose rank meets ``condition`` and whose list
         holds the place, shifted by the word's offset."""
         some = self.ranked(condition).select("id", "offset", "word")
         wanted = places.join(some, "id").withColumn("pos", F.col("start") + F.col("offset"))
-        lists = self.postings.join(some.select("word").distinct(), "word", "left_semi")
         return wanted.join(lists, ["row", "pos", "word"], "left_semi")
 
     def exact_matches(self) -> DataFrame:
         """``row``, ``id``, ``n`` and ``start`` of all occurrences of windows."""
         place = ["row", "id", "n", "start"]
         starts = self.starts()
-        two = cut(self.among(starts.where("n > 1"), "rank = 2").select(*place))
+        second = self.ranked("rank = 2").select("word").distinct()
+        lists = self.postings.join(second, "word", "left_semi")
+        two = cut(self.among(starts.where("n > 1"), "rank = 2", lists).select(*place))
+        # The long lists of frequent words are only needed of the documents that are left.
+        lists = self.postings.join(two.select("row").distinct(), "row", "left_semi")
         rest = (
-            self.among(two.where("n > 2"), "rank > 2")
+            self.among(two.where("n > 2"), "rank > 2", lists)
             .groupBy(*place)
             .agg(F.count("*").alias("there"))
             .where("there = n - 2")
