@@ -45,7 +45,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 MARK = re.compile(r"[0-9@][^ \t\n\x0b\x0c\r]*")
 BLANK = " \t\n\x0b\x0c\r"
-FEATURES = 1 << 14
+FEATURES, PER_TOKEN = 1 << 14, 8
 SAMPLE, LONGEST, ROUNDS, SURE = 20_000, 100_000, 8, 0.5
 
 Span = tuple[str, int, int]
@@ -244,7 +244,7 @@ def learn(texts: DataFrame, sample: int = SAMPLE) -> Field:
     labels = np.array([x for r in rows for x in r["labels"]], np.int64)
     features = np.array([x for r in rows for x in r["features"]], np.int64)
     meet = np.array([x for r in rows for x in r["meet"]], np.int64)
-    weights = regression(features.reshape(len(labels), -1), labels, size)
+    weights = regression(features.reshape(-1, PER_TOKEN), labels, size)
     tables = np.bincount(meet, minlength=2 * size * size).reshape(2, size, size) + 0.5
     tables = tables + tables.transpose(0, 2, 1)
     single = tables.sum(axis=2) / tables.sum(axis=(1, 2))[:, None]
