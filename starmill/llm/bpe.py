@@ -8,7 +8,8 @@ import re
 import regex
 from tokenizers.pre_tokenizers import ByteLevel
 
-# White space by Unicode, and the pattern the byte-level splitter states.
+# White space by Unicode, as the inside of a character class, and the pattern the
+# byte-level splitter states.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # For characters below U+0250, on which all versions of Unicode agree.
 WORD = regex.compile(

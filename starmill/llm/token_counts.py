@@ -182,9 +182,7 @@ def count_tokens(
     rare = (
         parts.where(F.col("piece").isNotNull())
         .select("row", "piece", "n")
-        .join(
-            table.select("piece", "tokens"), "piece"
-        )
+        .join(table.select("piece", "tokens"), "piece")
         .select(
             "row",
             F.lit(None).cast(kind).alias("key"),
