@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from pathlib import Path
 
@@ -29,8 +30,9 @@ from starmill.operators.assertions import assert_check, assert_fk, assert_not_nu
 from starmill.operators.enrich import not_loaded
 from starmill.operators.keys import dense_key
 from starmill.operators.snapshot import type_rows, unreadable_cells
+from starmill.operators.star import build_fact
 from starmill.plans import analysis, orders, quality, verification, views
-from starmill.plans.layers import Layers
+from starmill.plans.layers import MASTERS, Layers
 from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv, malformed_rows
 from starmill.sources.store import shared_folder, written
@@ -165,6 +167,7 @@ def _over_layers() -> dict[str, Callable[[Layers], DataFrame]]:
         "j43_dim_genre": table("dim_genre"),
         "j45_dim_date": table("dim_last_updated_date"),
         "j46_fact": table("fact"),
+        "j46_fact_unknown_date": _undated,
         "j47_dw_bridge": table("dw_bridge"),
         "j48_load_summary": verification.load_summary,
         "j49_integrity_checks": verification.integrity_checks,
@@ -210,6 +213,17 @@ def _segments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _undated(ly: Layers) -> DataFrame:
+    """Facts with an Unknown date, so that snapshots without one stay."""
+    config = replace(ly.config, unknown_members=("app_type", "last_updated_date"))
+    below = ("clean", *[f"dim_{entity}" for entity in MASTERS])
+    dated = Layers(ly.source, config, given={name: ly[name] for name in below})
+    dims = {entity: dated[f"dim_{entity}"] for entity in (*MASTERS, "last_updated_date")}
+    return build_fact(dated["clean"], dims, config.unknown_members).select(
+        "snapshot_id", "last_updated_date_key"
+    )
+
+
 def _sparse_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Dense keys over ids scattered over the whole range of a bigint."""
     scattered = F.expr("o_orderkey * 2654435761 % 9007199254740881 * 1000")

@@ -520,8 +520,9 @@ INTEGRITY = [
 ]
 
 COUNT_CHECKS = [
-    ("P2-COUNT-01", "raw rows are preserved", "10841", _count("raw")),
-    ("P2-COUNT-02", "reconciled snapshot rows", "10840", _count("snapshot")),
+    ("P2-COUNT-01", "raw rows are preserved", "(select count(*) from orders)", _count("raw")),
+    ("P2-COUNT-02", "reconciled snapshot rows",
+     _count("raw", "trim(app) <> '' and trim(app) <> 'SHIFTED ROW'"), _count("snapshot")),
     ("P2-COUNT-03", "clean snapshot rows match reconciled snapshot rows", _count("snapshot"), _count("clean")),
     ("P2-COUNT-04", "clean bridge rows match reconciled bridge rows", _count("bridge"), _count("clean_bridge")),
     ("P2-COUNT-05", "fact rows match clean snapshot rows", _count("clean"), _count("fact")),
@@ -910,6 +911,11 @@ from clean_weight_sums where {CLEAN_OFF}""",
     "j43_dim_genre": "select * from dim_genre",
     "j45_dim_date": "select * from dim_date",
     "j46_fact": f"select {AS_PLAIN} from fact",
+    "j46_fact_unknown_date": """
+select snapshot_id,
+  coalesce(last_updated_date_key, (select count(*) from dim_date) + 1) as last_updated_date_key
+from clean left join dim_date on full_date = last_updated_date
+where category_id is not null and content_rating_id is not null""",
     "j47_dw_bridge":
         "select app_snapshot_key, genre_key, units::double / 1e12 as weight from dw_bridge",
     "j48_load_summary": _metric_rows(LOAD_SUMMARY),

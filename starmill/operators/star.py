@@ -41,8 +41,9 @@ def build_dim(master: DataFrame, entity: str, unknown: bool = False) -> DataFram
     return dim.unionByName(member)
 
 
-def build_date_dim(df: DataFrame, column: str) -> DataFrame:
-    """Distinct days of ``column`` with their calendar parts."""
+def build_date_dim(df: DataFrame, column: str, unknown: bool = False) -> DataFrame:
+    """Distinct days of ``column`` with their calendar parts, plus an Unknown member without a
+    day on request."""
     days = (
         df.where(F.col(column).isNotNull())
         .select(F.col(column).alias("full_date"))
@@ -50,7 +51,7 @@ def build_date_dim(df: DataFrame, column: str) -> DataFrame:
         .withColumn("_day", F.unix_date("full_date").cast("bigint"))
     )
     day = F.col("full_date")
-    return dense_key(days, "last_updated_date_key", ["_day"]).select(
+    dim = dense_key(days, "last_updated_date_key", ["_day"]).select(
         "last_updated_date_key",
         "full_date",
         F.dayofmonth(day).cast("smallint").alias("day"),
@@ -59,6 +60,12 @@ def build_date_dim(df: DataFrame, column: str) -> DataFrame:
         F.year(day).alias("year"),
         F.date_format(day, "MMMM").alias("month_name"),
     )
+    if not unknown:
+        return dim
+    parts = [F.lit(None).cast(kind).alias(name) for name, kind in dim.dtypes[1:-1]]
+    key = (F.count("*") + 1).cast("bigint").alias("last_updated_date_key")
+    member = days.agg(key).select("*", *parts, F.lit(UNKNOWN_NAME).alias("month_name"))
+    return dim.unionByName(member)
 
 
 def build_fact(
@@ -84,7 +91,15 @@ def build_fact(
     dates = dims["last_updated_date"].select(
         F.col("full_date").alias("last_updated_date"), "last_updated_date_key"
     )
-    return fact.join(dates, "last_updated_date").select(
+    if "last_updated_date" in unknown:
+        none = dims["last_updated_date"].where(F.col("full_date").isNull())
+        fact = fact.join(dates, "last_updated_date", "left").withColumn(
+            "last_updated_date_key",
+            F.coalesce("last_updated_date_key", none.select("last_updated_date_key").scalar()),
+        )
+    else:
+        fact = fact.join(dates, "last_updated_date")
+    return fact.select(
         "app_snapshot_key",
         "snapshot_id",
         "raw_id",

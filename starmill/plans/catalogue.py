@@ -19,12 +19,16 @@ def from_csv(
     config: Config | None = None,
     null_tokens: Sequence[str] = (),
     multi_line: bool = False,
+    location: str | None = None,
 ) -> Layers:
     """Layers of the extract at ``path`` (paths and globs), written as tables of database
     ``namespace``.
 
-    A second run with the same namespace replaces every table whole.
+    The tables lie under ``location``, by default in the folder of checkpoints, which suits trial
+    runs. A second run with the same namespace replaces every table whole.
     """
     raw = land_csv(spark, path, null_tokens=null_tokens, multi_line=multi_line)
     _, size = file_state(spark, [path] if isinstance(path, str) else path)
-    return Layers(raw, config, LayerStore(spark, namespace, bucket_count(spark, size)))
+    comment = "Layers from landing rows to star schema"
+    store = LayerStore(spark, namespace, bucket_count(spark, size), location, comment)
+    return Layers(raw, config, store)

@@ -68,6 +68,11 @@ class Layers:
             self._tables[name] = df
         return self._tables[name]
 
+    @property
+    def source(self) -> DataFrame:
+        """The landing rows as their reader delivers them."""
+        return self._source
+
     def masters(self) -> dict[str, DataFrame]:
         return {entity: self[entity] for entity in MASTERS}
 
@@ -141,7 +146,12 @@ TABLES: dict[str, LayerTable] = {
     "dim_content_rating": _dimension("content_rating"),
     "dim_genre": _dimension("genre"),
     "dim_last_updated_date": LayerTable(
-        lambda ly: build_date_dim(ly["clean"], "last_updated_date"), "Days of update."
+        lambda ly: build_date_dim(
+            ly["clean"],
+            "last_updated_date",
+            "last_updated_date" in ly.config.unknown_members,
+        ),
+        "Days of update.",
     ),
     "fact": LayerTable(
         lambda ly: build_fact(ly["clean"], ly.dims(), ly.config.unknown_members),

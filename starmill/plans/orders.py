@@ -31,7 +31,8 @@ def layers(spark: SparkSession, folder: str) -> Layers:
     files, size = file_state(spark, [_path(folder, t) for t in TABLES])
     namespace = f"starmill_{spark.sparkContext.applicationId}_{files}".replace("-", "_").lower()
     if namespace not in _built:
-        store = LayerStore(spark, namespace, bucket_count(spark, size))
+        store = LayerStore(spark, namespace, bucket_count(spark, size), comment="Order tables")
+        store.drop_at_exit()
         _built[namespace] = Layers(landing(spark, folder), CONFIG, store)
     return _built[namespace]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import hashlib
 import tempfile
 import uuid
@@ -10,11 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of source files per bucket. 100 TB give 25,600 buckets: a few waves of tasks for a large
-# cluster, and rows that a task sorts with little spilling.
-BUCKET_BYTES = 4 * 1024**3
+# Bytes of source files per bucket. Spark allows 100,000 buckets, which is 1 GiB each up to about
+# 98 TiB; beyond that buckets grow with the data, and spark.sql.sources.bucketing.maxBuckets can be
+# raised.
+BUCKET_BYTES = 1024**3
 
 _scratch: dict[str, str] = {}
+_leaving: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,11 +34,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _scratch[application]
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of scratch files when the program ends, once per folder."""
+    if folder in _leaving:
+        return
+    _leaving.add(folder)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove() -> None:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        # Where Spark's JVM has gone before, nothing can be reached any more.
+        with contextlib.suppress(Exception):
+            path.getFileSystem(conf).delete(path, True)
+
+    atexit.register(remove)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: a small table whose size Spark knows."""
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark).rstrip('/')}/starmill-{application}/{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/starmill-{application}"
+    remove_at_exit(spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -67,16 +89,6 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
-def size_shuffles(spark: SparkSession, buckets: int) -> None:
-    """Let shuffles start with as many partitions as there are buckets, where nobody has set
-    their number for large data; AQE merges the small ones."""
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if buckets > int(spark.conf.get("spark.sql.shuffle.partitions")) and not spark.conf.get(
-        setting, None
-    ):
-        spark.conf.set(setting, str(buckets))
-
-
 class LayerStore:
     """Writes each layer table once, whole, and hands back the written table.
 
@@ -87,13 +99,28 @@ class LayerStore:
     AQE can split the lookups of a key that holds a large part of the rows.
     """
 
-    def __init__(self, spark: SparkSession, namespace: str, buckets: int):
+    def __init__(
+        self,
+        spark: SparkSession,
+        namespace: str,
+        buckets: int,
+        location: str | None = None,
+        comment: str = "",
+    ):
+        """Tables of database ``namespace`` under ``location``; by default in the shared folder,
+        which suits tables that nobody needs after the run."""
         self.spark = spark
         self.namespace = namespace
         self.buckets = buckets
-        size_shuffles(spark, buckets)
-        self.location = f"{shared_folder(spark).rstrip('/')}/{namespace}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{self.location}'")
+        self.location = (location or f"{shared_folder(spark).rstrip('/')}/{namespace}").rstrip("/")
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {namespace} COMMENT '{comment}' "
+            f"LOCATION '{self.location}'"
+        )
+
+    def drop_at_exit(self) -> None:
+        """Drop the tables and their files when the program ends."""
+        remove_at_exit(self.spark, self.location)
 
     def write(
         self,

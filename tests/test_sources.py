@@ -166,21 +166,22 @@ def test_scratch_folder_only_in_local_mode():
 def test_bucket_count_grows_with_the_input(spark):
     cores = spark.sparkContext.defaultParallelism
     assert bucket_count(spark, 0) == cores
-    assert bucket_count(spark, 100 * 2**40) == 100 * 2**40 // store.BUCKET_BYTES == 25_600
+    assert bucket_count(spark, 100 * 2**40) == 100_000 < 100 * 2**40 // store.BUCKET_BYTES
+    assert bucket_count(spark, 2**40) == 2**40 // store.BUCKET_BYTES == 1024
     assert bucket_count(spark, 2**60) == 100_000
 
 
-def test_large_stores_start_from_more_shuffle_partitions(spark):
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    store.size_shuffles(spark, 8)
-    assert spark.conf.get(setting, None) is None
-    try:
-        store.size_shuffles(spark, 25_600)
-        assert spark.conf.get(setting) == "25600"
-        store.size_shuffles(spark, 51_200)
-        assert spark.conf.get(setting) == "25600"
-    finally:
-        spark.conf.unset(setting)
+def test_stores_leave_session_options_alone(spark):
+    before = dict(spark.conf.getAll)
+    LayerStore(spark, "no_options", 51_200)
+    assert dict(spark.conf.getAll) == before
+
+
+def test_store_lies_where_the_user_says(spark, tmp_path):
+    st = LayerStore(spark, "elsewhere", 2, f"file://{tmp_path}/kept", "Kept tables")
+    st.write(spark.range(5), "t", "id")
+    assert any((tmp_path / "kept" / "t").glob("*.parquet"))
+    assert "Kept tables" in str(spark.sql("describe database elsewhere").collect())
 
 
 def test_export_round_trip(spark, ly, tmp_path):
