@@ -65,7 +65,6 @@ def test_clean_subset_passes_everything(spark, folder):
         "genres is not null and last_updated <> '' and raw_id % 101 <> 0 and raw_id % 103 <> 0 "
         "and raw_id % 1000 <> 999"
     )
-    rows = raw.count()
     config = orders.Config()
     ly = Layers(raw.checkpoint(), config)
     ly = Layers(raw, config, given={t: ly[t].checkpoint() for t in TABLES})
