@@ -7,7 +7,6 @@ engines hash the same values.
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -35,7 +34,7 @@ from starmill.plans import analysis, orders, quality, verification, views
 from starmill.plans.layers import MASTERS, Layers
 from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv, malformed_rows
-from starmill.sources.store import shared_folder, written
+from starmill.sources.store import scratch_path, written
 
 # The operators for training text and the pipeline over them can be left out of a checkout.
 try:
@@ -245,7 +244,7 @@ def _as_files(spark: SparkSession, folder: str, damage: bool) -> DataFrame:
         line = F.when(F.col("raw_id") % 97 == 0, more).when(
             F.col("raw_id") % 101 == 0, fewer
         ).otherwise(line)
-    path = f"{shared_folder(spark).rstrip('/')}/starmill-extract-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     placed = rows.select("raw_id", line.alias("line")).repartitionByRange(5, "raw_id")
     placed.sortWithinPartitions("raw_id").select("line").write.text(path)
     return land_csv(spark, path, header=False)
@@ -254,7 +253,7 @@ def _as_files(spark: SparkSession, folder: str, damage: bool) -> DataFrame:
 def _exported(spark: SparkSession, folder: str) -> DataFrame:
     """A view written as a CSV folder and read back."""
     view = plain(analysis.by_category(orders.layers(spark, folder)))
-    path = f"{shared_folder(spark).rstrip('/')}/starmill-export-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     export_csv(view, path)
     return read_export(spark, path, ", ".join(f"{name} {kind}" for name, kind in view.dtypes))
 

@@ -50,13 +50,18 @@ def remove_at_exit(spark: SparkSession, folder: str) -> None:
     atexit.register(remove)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: a small table whose size Spark knows."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, for files that go when the program ends."""
     application = spark.sparkContext.applicationId
     folder = f"{shared_folder(spark).rstrip('/')}/starmill-{application}"
     remove_at_exit(spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: a small table whose size Spark knows."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
