@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.sources.store import shared_folder
+from starmill.sources.store import written
 
 # Characters of text that a Python task holds unpacked at a time, and rows at most.
 PIECE_CHARS = 4_000_000
@@ -37,20 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
 
     It ends the lineage: executors lost later cost no work that lies before the cut.
     """
-    path = scratch_path(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def scratch_path(spark: SparkSession) -> str:
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/starmill-llm-{application}/{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a cut that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return written(df)
 
 
 def fresh(df: DataFrame, name: str) -> str:
