@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list]]:
     """A batch as dicts of Python lists, each of a few rows and a few million characters."""
     sizes = batch.column(text).cast(pa.large_string())
-    sizes = [n or 0 for n in pa.compute.binary_length(sizes).to_pylist()]
+    sizes = [n or 0 for n in pc.binary_length(sizes).to_pylist()]
     start = chars = 0
     for i, n in enumerate(sizes):
         chars += n
