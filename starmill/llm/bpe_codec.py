@@ -29,7 +29,7 @@ from starmill.llm.bpe import RUN, ByteBPE
 from starmill.llm.common import pieces
 
 # Runs of text whose ids a task remembers, per generation.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class TrieEncoder:

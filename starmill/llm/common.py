@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from starmill.sources.store import written
 
 # Characters of text that a Python task holds unpacked at a time, and rows at most.
-PIECE_CHARS = 4_000_000
-PIECE_ROWS = 2_000
+PIECE_CHARS = 1_000_000
+PIECE_ROWS = 1_000
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -31,7 +31,7 @@ from starmill.llm.common import cut, pieces
 FREQUENT = 1 << 17
 LONGEST = 64
 # Distinct runs of text a task counts before it hands them on.
-HELD = 300_000
+HELD = 200_000
 
 
 @lru_cache(maxsize=2)
