@@ -5,8 +5,8 @@
    finds it small enough; only (row, position, term) is written.
 2. A window of an item is a phrase of terms at offsets. Its terms are ranked by the length of
    their posting lists. The rarest term's list, shifted by its offset, gives places the phrase can
-   start at; the shifted list of the next rarest is intersected with them, and the places left are
-   compared with the lists of all other terms.
+   start at; the shifted lists of the next three are intersected with them one after the other,
+   and the places left are compared with the lists of all other terms.
 3. Exact matches have every term at its place. ``proximity_matches`` allows each a few words off.
 
 Every step is a join or an aggregation on rows or terms, and no list is ever gathered. A term
@@ -21,6 +21,8 @@ empty tables give no hits, or no rows; other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,21 +131,22 @@ class Index:
     def exact_matches(self) -> DataFrame:
         """``row``, ``id``, ``n`` and ``start`` of all occurrences of windows."""
         place = ["row", "id", "n", "start"]
-        starts = self.starts()
-        second = self.ranked("rank = 2").select("word").distinct()
-        lists = self.postings.join(second, "word", "left_semi")
-        two = cut(self.among(starts.where("n > 1"), "rank = 2", lists).select(*place))
+        left, found = self.starts(), []
+        for rank in (2, 3, 4):
+            found.append(left.where(F.col("n") == rank - 1))
+            own = self.ranked(f"rank = {rank}").select("word").distinct()
+            lists = self.postings.join(own, "word", "left_semi")
+            longer = left.where(F.col("n") >= rank)
+            left = cut(self.among(longer, f"rank = {rank}", lists).select(*place))
         # The long lists of frequent words are only needed of the documents that are left.
-        lists = self.postings.join(two.select("row").distinct(), "row", "left_semi")
+        lists = self.postings.join(left.select("row").distinct(), "row", "left_semi")
         rest = (
-            self.among(two.where("n > 2"), "rank > 2", lists)
+            self.among(left.where("n > 4"), "rank > 4", lists)
             .groupBy(*place)
             .agg(F.count("*").alias("there"))
-            .where("there = n - 2")
-        )
-        return (
-            starts.where("n = 1").unionAll(two.where("n = 2")).unionAll(rest.select(*place))
+            .where("there = n - 4")
         )
+        return reduce(DataFrame.unionAll, [*found, left.where("n = 4"), rest.select(*place)])
 
     def proximity_matches(self, slack: int) -> DataFrame:
         """``row``, ``id``, ``n`` and ``start`` where each word of a window lies at most ``slack``
