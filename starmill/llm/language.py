@@ -2,15 +2,17 @@
 
 A language gives each piece of a fixed public vocabulary a probability. A word's probability is
 the sum over all ways to cut it into pieces, by the forward algorithm, so no segmentation has to
-be chosen; a text's is the product over its words. The pieces are those of a SentencePiece file
-with up to eight bytes, its single bytes among them, so that every word can be cut.
+be chosen; a text's is the product over its words. The pieces are all those of a SentencePiece file
+that hold text, found by 64-bit hashes, and all single bytes, so that every word can be cut.
 
 Learning: expected piece counts (forward-backward) of the words of a sample, summed by Spark, for
 ``rounds`` rounds from equal probabilities. The sample has about ``sample`` labelled documents per
 language, those whose key hashes lowest; it bounds the work of fitting, and prediction reads every
-document whole. Only pieces times languages meet on the driver.
+document whole. Every labelled language is learned; only pieces times languages meet on the driver.
 
-Words lie between ASCII white space; a word longer than 64 bytes counts as stretches of 64.
+Words lie between ASCII white space and may be of any length: they are worked through in blocks of
+places, of which each hands on the sums of the places that its pieces reach beyond it, scaled so
+that they stay within floating point.
 
 Cases: null texts and texts without a letter are ``und`` with score 0, as are all texts when
 nothing is labelled; equally likely languages give the one first by name; equal rows, or rows with
@@ -32,8 +34,11 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import cut, pieces
 
-LONGEST, STRETCH = 8, 64
-SAMPLE, ROUNDS, LANGUAGES = 1_000, 3, 256
+# Places at which pieces start that are worked on between two scalings.
+BLOCK = 16
+SAMPLE, ROUNDS = 1_000, 3
+# An odd factor of which the hashes of pieces are polynomials.
+FACTOR = 0x9E3779B97F4A7C15
 # Of the expected counts of all languages, the share that each language is given.
 SHARED = 0.01
 # Words a task remembers the scores of.
@@ -41,7 +46,7 @@ HELD = 200_000
 
 
 class Pieces:
-    """The vocabulary: pieces as sorted integers of their bytes, ``␣`` for a word's start."""
+    """The vocabulary: pieces by sorted hashes of their bytes, ``␣`` for a word's start."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -51,25 +56,38 @@ class Pieces:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
         }
         words |= {bytes([b]) for b in range(1, 256)}
-        self.codes = np.sort(
-            np.array([packed(w) for w in words if 0 < len(w) <= LONGEST and 0 not in w], np.uint64)
-        )
-        self.size = len(self.codes)
-
-    def find(self, words: np.ndarray) -> list[np.ndarray]:
+        by_code = {packed(w): w for w in words if w and 0 not in w}
+        if len(by_code) < sum(1 for w in words if w and 0 not in w):
+            raise ValueError("two pieces have the same hash")
+        self.codes = np.array(sorted(by_code), np.uint64)
+        self.lengths = np.array([len(by_code[c]) for c in sorted(by_code)])
+        self.size, self.longest = len(self.codes), int(self.lengths.max())
+        self.used = frozenset(self.lengths.tolist())
+
+    def find(self, words: np.ndarray, starts: int | None = None) -> list[np.ndarray]:
         """For words of one length (bytes, [words, length]) and each piece length from one on:
-        the index of the piece that starts at each place, or ``size``."""
-        found, code = [], np.zeros(words.shape, np.uint64)
+        the index of the piece that starts at each of the first ``starts`` places, or ``size``."""
+        width = words.shape[1]
+        starts = width if starts is None else starts
+        found, code = [], np.zeros((len(words), starts), np.uint64)
         wide = words.astype(np.uint64)
-        for n in range(1, min(LONGEST, words.shape[1]) + 1):
-            code = code[:, : words.shape[1] - n + 1] << np.uint64(8) | wide[:, n - 1 :]
-            at = np.minimum(np.searchsorted(self.codes, code), self.size - 1)
-            found.append(np.where(self.codes[at] == code, at, self.size))
+        for n in range(1, min(self.longest, width) + 1):
+            places = min(starts, width - n + 1)
+            code = code[:, :places] * np.uint64(FACTOR) + wide[:, n - 1 : n - 1 + places]
+            if n in self.used:
+                at = np.minimum(np.searchsorted(self.codes, code), self.size - 1)
+                same = (self.codes[at] == code) & (self.lengths[at] == n)
+                found.append(np.where(same, at, self.size))
+            else:
+                found.append(np.full(code.shape, self.size))
         return found
 
 
 def packed(word: bytes) -> int:
-    return int.from_bytes(word, "big")
+    code = 0
+    for byte in word:
+        code = (code * FACTOR + byte) % (1 << 64)
+    return code
 
 
 @lru_cache(maxsize=2)
@@ -77,42 +95,106 @@ def vocabulary(path: str) -> Pieces:
     return Pieces(path)
 
 
-def stretches(word: bytes) -> list[bytes]:
-    """A word as the pieces see it: a blank, then its bytes, in stretches."""
-    word = b" " + word.replace(b"\0", b"\x01")
-    return [word[i : i + STRETCH] for i in range(0, len(word), STRETCH)]
+def framed(word: bytes) -> bytes:
+    """A word as the pieces see it: a blank, then its bytes."""
+    return b" " + word.replace(b"\0", b"\x01")
+
 
+def reached(found: list[np.ndarray], size: int) -> list[list[int]]:
+    """Per place the lengths of pieces that start there in any of the words."""
+    lengths: list[list[int]] = [[] for _ in range(found[0].shape[1])]
+    for n, places in enumerate(found, 1):
+        for start in np.flatnonzero((places != size).any(axis=0)):
+            lengths[start].append(n)
+    return lengths
 
-def forward(found: list[np.ndarray], p: np.ndarray) -> np.ndarray:
-    """Probabilities of all prefixes, [words, length + 1, languages]."""
-    words, length = found[0].shape
-    alpha = np.zeros((words, length + 1, p.shape[1]))
-    alpha[:, 0] = 1.0
-    for end in range(1, length + 1):
-        for n in range(1, min(len(found), end) + 1):
-            alpha[:, end] += alpha[:, end - n] * p[found[n - 1][:, end - n]]
+
+def forward(found: list[np.ndarray], p: np.ndarray, before: np.ndarray, width: int) -> np.ndarray:
+    """Probabilities of all prefixes, [words, width + 1, languages]; those that end beyond the
+    places of ``found`` by the pieces that start in them or before. ``before`` is what earlier
+    blocks give to the first of them."""
+    words = len(before)
+    alpha = np.zeros((words, width + 1, p.shape[1]))
+    alpha[:, : before.shape[1]] = before
+    for start, lengths in enumerate(reached(found, len(p) - 1)):
+        for n in lengths:
+            alpha[:, start + n] += alpha[:, start] * p[found[n - 1][:, start]]
     return alpha
 
 
-def backward(found: list[np.ndarray], p: np.ndarray) -> np.ndarray:
-    """Probabilities of all suffixes, [words, length + 1, languages]."""
-    words, length = found[0].shape
-    beta = np.zeros((words, length + 1, p.shape[1]))
-    beta[:, length] = 1.0
-    for start in range(length - 1, -1, -1):
-        for n in range(1, min(len(found), length - start) + 1):
+def backward(
+    found: list[np.ndarray], p: np.ndarray, after: np.ndarray | None = None
+) -> np.ndarray:
+    """Probabilities of all suffixes from the places of ``found`` on, followed by ``after``, those
+    of the places behind."""
+    words, starts = found[0].shape
+    if after is None:
+        after = np.ones((words, 1, p.shape[1]))
+    beta = np.concatenate([np.zeros((words, starts, p.shape[1])), after], axis=1)
+    for start, lengths in reversed(list(enumerate(reached(found, len(p) - 1)))):
+        for n in lengths:
             beta[:, start] += beta[:, start + n] * p[found[n - 1][:, start]]
     return beta
 
 
+def blocks(own: Pieces, length: int) -> list[tuple[int, int, int]]:
+    """Of words of a length the first place of each block, its number of places, and the number of
+    bytes that its pieces may cover."""
+    return [
+        (at, min(BLOCK, length - at), min(BLOCK + own.longest - 1, length - at))
+        for at in range(0, length, BLOCK)
+    ]
+
+
+def log_totals(own: Pieces, data: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Log probabilities of words of one length, [words, languages]."""
+    before = np.ones((len(data), 1, p.shape[1]))
+    total = np.zeros((len(data), p.shape[1]))
+    for at, starts, width in blocks(own, data.shape[1]):
+        found = own.find(data[:, at : at + width], starts)
+        before = forward(found, p, before, width)[:, starts:]
+        most = before.max(axis=1, keepdims=True)
+        before = before / most
+        total += np.log(most[:, 0])
+    return total
+
+
+def add_expected(
+    own: Pieces, data: np.ndarray, p: np.ndarray, n: np.ndarray, sums: np.ndarray
+) -> None:
+    """Adds to ``sums`` the expected pieces of words of one length, ``n`` times each, in the one
+    language of ``p``."""
+    given, parts = [np.ones((len(data), 1, 1))], blocks(own, data.shape[1])
+    for at, starts, width in parts[:-1]:
+        found = own.find(data[:, at : at + width], starts)
+        before = forward(found, p, given[-1], width)[:, starts:]
+        given.append(before / before.max(axis=1, keepdims=True))
+    beta = np.ones((len(data), 1, 1))
+    for (at, starts, width), before in zip(reversed(parts), reversed(given)):
+        found = own.find(data[:, at : at + width], starts)
+        alpha = forward(found, p, before, width)
+        after = beta[:, : width - starts + 1]
+        after = after / after.max(axis=1, keepdims=True)
+        beta = backward(found, p, after)
+        # Each way to cut a word has one piece that leaves the block.
+        scale = n / (alpha[:, starts:] * after).sum(axis=(1, 2))
+        for size, place in enumerate(found, 1):
+            word, start = np.nonzero(place != own.size)
+            if len(word):
+                piece = place[word, start]
+                used = alpha[word, start, 0] * beta[word, start + size, 0] * p[piece, 0]
+                sums += np.bincount(piece, used * scale[word], len(p))
+
+
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Indices of words of one length and their bytes, some thousand at a time."""
+    """Indices of words of one length and their bytes, some thousand at a time, fewer long ones."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(sizes, kind="stable")
     edges = np.flatnonzero(np.diff(sizes[order])) + 1
     for group in np.split(order, edges):
-        for at in range(0, len(group), 4096):
-            some = group[at : at + 4096]
+        step = max(1, (1 << 16) // max(16, int(sizes[group[0]]))) if len(group) else 1
+        for at in range(0, len(group), step):
+            some = group[at : at + step]
             data = b"".join(words[i] for i in some)
             if data:
                 yield some, np.frombuffer(data, np.uint8).reshape(len(some), -1)
@@ -120,15 +202,10 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def log_likelihoods(words: list[bytes], own: Pieces, p: np.ndarray) -> np.ndarray:
     """Of each word in each language, [words, languages]."""
-    parts = [stretches(w) for w in words]
-    flat = [s for some in parts for s in some]
-    result = np.zeros((len(flat), p.shape[1]))
-    for index, data in by_length(flat):
-        result[index] = np.log(forward(own.find(data), p)[:, -1])
-    owner = np.repeat(np.arange(len(words)), [len(some) for some in parts])
-    total = np.zeros((len(words), p.shape[1]))
-    np.add.at(total, owner, result)
-    return total
+    result = np.zeros((len(words), p.shape[1]))
+    for index, data in by_length([framed(w) for w in words]):
+        result[index] = log_totals(own, data, p)
+    return result
 
 
 # --- learning
@@ -142,23 +219,12 @@ def expected_counts(
     own, sums = vocabulary(path), np.zeros((p.shape[1], len(p)))
     for batch in batches:
         label, n = (np.asarray(batch.column(c).to_pylist(), np.int64) for c in ("label", "n"))
-        words = [w for w in batch.column("word").to_pylist()]
-        parts = [stretches(w) for w in words]
-        flat = [s for some in parts for s in some]
-        owner = np.repeat(np.arange(len(words)), [len(some) for some in parts])
-        label, n = label[owner], n[owner]
-        for index, data in by_length(flat):
-            found, lang = own.find(data), label[index]
+        words = [framed(w) for w in batch.column("word").to_pylist()]
+        for index, data in by_length(words):
+            lang = label[index]
             for one in np.unique(lang):
                 rows = np.flatnonzero(lang == one)
-                some, q = [f[rows] for f in found], p[:, [one]]
-                alpha, beta = forward(some, q)[:, :, 0], backward(some, q)[:, :, 0]
-                scale = n[index[rows]] / alpha[:, -1]
-                for size, place in enumerate(some, 1):
-                    starts = place.shape[1]
-                    used = alpha[:, :starts] * beta[:, size:] * scale[:, None]
-                    used *= q[place, 0]
-                    sums[one] += np.bincount(place.ravel(), used.ravel(), len(p))
+                add_expected(own, data[rows], p[:, [one]], n[index[rows]], sums[one])
     label, piece = np.nonzero(sums)
     yield pa.RecordBatch.from_pydict(
         {"label": pa.array(label), "piece": pa.array(piece), "n": pa.array(sums[label, piece])}
@@ -188,7 +254,7 @@ def learn(
     """Languages by name, and probabilities of pieces [pieces + 1, languages], from ``labelled``
     (``key``, ``lang``, ``text``). The last row, for what is no piece, is zero."""
     spark = labelled.sparkSession
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = labelled.groupBy("lang").count()
     sizes = dict(sorted((r["lang"], r["count"]) for r in sizes.collect()))
     names, size = list(sizes), vocabulary(path).size
     if not names:

@@ -58,3 +58,62 @@ def test_hard_documents(hard, none):
     assert language.identify(none, PATH).count() == 0
     unlabelled = language.identify(hard.where("lang IS NULL"), PATH).collect()
     assert {r["lang_pred"] for r in unlabelled} == {"und"}
+
+
+def plain_log(own, word, q):
+    """Log of the sum over segmentations into pieces of any length, place by place in Python."""
+    index = {int(c): i for i, c in enumerate(own.codes)}
+    data = b" " + word.encode()
+    total = [0.0] + [-np.inf] * len(data)
+    for end in range(1, len(data) + 1):
+        ways = [
+            total[start] + np.log(q[index[code]])
+            for start in range(max(0, end - own.longest), end)
+            if (code := language.packed(data[start:end])) in index
+        ]
+        total[end] = np.logaddexp.reduce(ways)
+    return total[-1]
+
+
+def test_every_text_piece_takes_part(own):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    codes = set(map(int, own.codes))
+    text = [
+        model.id_to_piece(i).replace("▁", " ").encode()
+        for i in range(model.get_piece_size())
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
+    ]
+    assert sum(len(w) > 8 for w in text) > 1000
+    assert all(language.packed(w) in codes for w in text if 0 not in w)
+
+
+def test_long_pieces_and_long_words(own):
+    """Sums and expected counts, for words of many blocks too; no segmentation is lost."""
+    draw = np.random.default_rng(5)
+    p = np.vstack([draw.random((own.size, 2)) / 50, np.zeros((1, 2))])
+    words = ["international", "x" + "international" * 9, "Übersetzungen", "日本語の文章" * 40, "q" * 5000]
+    got = language.log_likelihoods([w.encode() for w in words], own, p)
+    for word, row in zip(words, got):
+        assert row == pytest.approx([plain_log(own, word, p[:, k]) for k in (0, 1)], rel=1e-9)
+    assert own.longest > 8
+    for word in words[:4]:
+        data = np.frombuffer(language.framed(word.encode()), np.uint8)[None]
+        sums = np.zeros(own.size + 1)
+        language.add_expected(own, data, p[:, [0]], np.array([1]), sums)
+        # The pieces cover each byte once, and a piece's count is the slope of the log sum.
+        assert (sums[:-1] * own.lengths).sum() == pytest.approx(data.shape[1], rel=1e-9)
+        for piece in np.argsort(sums)[-3:]:
+            more = p[:, 0].copy()
+            more[piece] *= 1.0001
+            slope = (plain_log(own, word, more) - plain_log(own, word, p[:, 0])) / np.log(1.0001)
+            assert sums[piece] == pytest.approx(slope, rel=1e-3)
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(i, f"word{i % 300} text", f"l{i % 300:03}") for i in range(1200)]
+    rows += [(2000 + i, f"word{i} text", f"l{i:03}") for i in range(299)]  # l299 is the rarest
+    df = spark.createDataFrame(rows, "key long, text string, lang string")
+    names, p = language.learn(df.select("key", "lang", "text"), PATH, rounds=1)
+    assert names == sorted({r[2] for r in rows}) and p.shape[1] == 300
