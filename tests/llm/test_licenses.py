@@ -74,3 +74,43 @@ def test_hard_documents(hard, none):
     assert all(r["notices"] == [] for r in rows)
     assert licenses.license_notices(none).count() == 0
     assert licenses.license_notices(hard, templates={"x": "..."}).count() == len(HARD)
+
+
+def found_in(text, names=None):
+    given = licenses.TEMPLATES | licenses.whole_texts()
+    templates = [licenses.Template(n, t, licenses.COVERAGE) for n, t in given.items()]
+    vocabulary = frozenset(w for t in templates for w in t.words)
+    return licenses.scan(" ".join(text), templates, vocabulary)[1]
+
+
+def filler(n, seed=4):
+    draw = random.Random(seed)
+    return [draw.choice(["the", "of", "river", "word", "any", "and"]) for _ in range(n)]
+
+
+def test_every_place_of_a_notice_is_listed():
+    for name in ("mit", "isc", "mpl-2.0", "gpl-line"):
+        notice = licenses.words(licenses.TEMPLATES[name])
+        n = len(notice)
+        text = filler(50) + notice + filler(70) + notice + notice + filler(30)
+        starts = [50, 120 + n, 120 + 2 * n]
+        assert sorted(found_in(text), key=lambda x: x[2]) == [(name, 1.0, s, s + n) for s in starts]
+
+
+def test_whole_texts_and_kindred_licences_are_named():
+    for name, text in (licenses.TEMPLATES | licenses.whole_texts()).items():
+        own = licenses.words(text)
+        found = found_in(filler(40) + own + filler(40))
+        assert (name, 1.0, 40, 40 + len(own)) in found, (name, found)
+        assert len(found) == 1, (name, found)
+
+
+def test_interrupted_notices():
+    """By more words than the template has, at either side of the rarest words."""
+    for name in ("apache-2.0", "mit", "bsd-2-clause", "agpl"):
+        own = licenses.words(licenses.TEMPLATES[name])
+        for at in (len(own) // 4, len(own) // 2, 3 * len(own) // 4):
+            gap = len(own) + 10
+            text = filler(60) + own[:at] + ["other"] * gap + own[at:] + filler(60)
+            found = found_in(text)
+            assert [(x[0], x[2], x[3]) for x in found] == [(name, 60, 60 + len(own) + gap)], (name, at)
