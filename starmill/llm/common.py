@@ -53,6 +53,15 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return cut(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
+def lowest(rows: DataFrame, rank: str, sample: int) -> DataFrame:
+    """``sample`` rows at most, those of the lowest ``rank``, without that column.
+
+    They are chosen by executors and written, so that no more than these can meet on the driver,
+    however many rows have one rank.
+    """
+    return cut(rows.orderBy(rank).limit(sample)).drop(rank)
+
+
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list]]:
     """A batch as dicts of Python lists, each of a few rows and a few million characters."""
     sizes = batch.column(text).cast(pa.large_string())

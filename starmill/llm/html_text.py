@@ -5,7 +5,7 @@ becomes a vector: the mean of its words' hashed vectors, the mean of its tag pat
 innermost tag, and a few numbers. A bidirectional LSTM in numpy reads a page's blocks in both
 directions and labels each one with all others as context.
 
-It is trained here, on blocks of about ``sample`` pages whose URL hashes lowest: pages that say by
+It is trained here, on blocks of ``sample`` pages at most, whose key, URL and html hash lowest: pages that say by
 their tags which part is the article teach what articles and their surroundings look like. In
 training some pages lose their tag vectors, so words, lengths and neighbours count as well. The
 sample bounds what meets on the driver; extraction reads every page whole.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import pieces
+from starmill.llm.common import lowest, pieces
 
 # How tags behave, and which names tell what a part of a page is.
 RAW = frozenset("script style textarea title noscript template svg iframe".split())
@@ -360,7 +360,20 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 # --- tables
 
 
-def learn(pages: DataFrame, html: str, sample: int = SAMPLE) -> Labeller | None:
+def drawn(pages: DataFrame, html: str, sample: int = SAMPLE, ids: tuple[str, ...] = ()) -> DataFrame:
+    """``html`` of ``sample`` pages at most, those whose ``ids`` and ``html`` hash lowest."""
+    share = min(1.0, sample / max(1, pages.count()))
+    text = F.col(html).cast("string")
+    # Of the ids too, as many pages may hold the same.
+    some = pages.select(text.alias("html"), F.xxhash64(*ids, text).alias("rank")).where(
+        (F.pmod("rank", F.lit(1_000_003)) < share * 1_000_003) & (F.length("html") <= 200_000)
+    )
+    return lowest(some, "rank", sample)
+
+
+def learn(
+    pages: DataFrame, html: str, sample: int = SAMPLE, ids: tuple[str, ...] = ()
+) -> Labeller | None:
     """A labeller from the pages of a sample whose tags name an article; None without any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,13 +393,8 @@ def learn(pages: DataFrame, html: str, sample: int = SAMPLE) -> Labeller | None:
                     names=["x", "y"],
                 )
 
-    share = min(1.0, sample / max(1, pages.count()))
-    text = F.col(html).cast("string")
-    drawn = pages.select(text.alias("html")).where(
-        (F.pmod(F.xxhash64("html"), F.lit(1_000_003)) < share * 1_000_003)
-        & (F.length("html") <= 200_000)
-    )
-    rows = drawn.mapInArrow(run, "x array<double>, y array<long>").collect()
+    some = drawn(pages, html, sample, ids)
+    rows = some.mapInArrow(run, "x array<double>, y array<long>").collect()
     if not rows:
         return None
     own = Labeller()
@@ -415,7 +423,7 @@ def extract(
     sample: int = SAMPLE,
 ) -> DataFrame:
     """Per page its key, its URL and ``text``, the main text."""
-    own = learn(pages_, html, sample)
+    own = learn(pages_, html, sample, (key, url))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,8 +9,8 @@ both gives each node's probabilities; the number of rounds is fixed, so a docume
 not depend on the others it is worked on with.
 
 Learning is piecewise: node weights by logistic regression, edge potentials from how often labels
-meet, on the plain spans of about ``sample`` documents, those whose key hashes lowest and that are
-not longer than ``LONGEST`` characters. The sample bounds what meets on the driver; finding reads
+meet, on the plain spans of ``sample`` documents at most, those whose key and text hash lowest and
+that are not longer than ``LONGEST`` characters. The sample bounds what meets on the driver; finding reads
 every document whole.
 
 Each ``@`` and run of digits is looked at once, so long texts take linear time, and each occurrence
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import pieces
+from starmill.llm.common import lowest, pieces
 
 KINDS = ("email", "ip", "card", "phone")
 # What the plain spans look like.
@@ -206,14 +206,15 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def learn(texts: DataFrame, sample: int = SAMPLE) -> Field:
-    """A field from the plain spans of a sample of ``texts`` (``key``, ``text``)."""
+def examples(texts: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Of a sample of ``texts`` (``key``, ``text``), ``sample`` rows at most: the labels of a
+    document's nodes by its plain spans, their features, and the labels that meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 rows = []
-                for text in part["text"]:
+                for text, rank in zip(part["text"], part["rank"]):
                     graph = Graph(text)
                     if graph.spans:
                         labels = graph.labels(plain_spans(text))
@@ -222,24 +223,30 @@ def learn(texts: DataFrame, sample: int = SAMPLE) -> Field:
                             for kind, edges in enumerate((graph.chain, graph.skip))
                             for a, b in edges
                         ]
-                        rows.append((labels, [x for f in graph.features for x in f], meet))
+                        rows.append((labels, [x for f in graph.features for x in f], meet, rank))
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], kind) for i in range(3)],
-                    names=["labels", "features", "meet"],
+                    [
+                        *[pa.array([r[i] for r in rows], kind) for i in range(3)],
+                        pa.array([r[3] for r in rows], pa.int64()),
+                    ],
+                    names=["labels", "features", "meet", "rank"],
                 )
 
     number = texts.count()
     share = min(1.0, sample / max(1, number))
-    drawn = texts.where(
-        (F.pmod(F.xxhash64("key"), F.lit(1_000_003)) < share * 1_000_003)
-        & (F.length("text") <= LONGEST)
-    )
-    rows = (
-        drawn.select("text")
-        .mapInArrow(run, "labels array<long>, features array<long>, meet array<long>")
-        .collect()
+    # Of key and text, as many rows may have one key, or none.
+    rank = F.xxhash64("key", "text")
+    drawn = texts.select("text", rank.alias("rank")).where(
+        (F.pmod("rank", F.lit(1_000_003)) < share * 1_000_003) & (F.length("text") <= LONGEST)
     )
+    schema = "labels array<long>, features array<long>, meet array<long>, rank long"
+    return lowest(drawn.mapInArrow(run, schema), "rank", sample)
+
+
+def learn(texts: DataFrame, sample: int = SAMPLE) -> Field:
+    """A field from the plain spans of a sample of ``texts`` (``key``, ``text``)."""
+    rows = examples(texts, sample).collect()
     size = len(KINDS) + 1
     labels = np.array([x for r in rows for x in r["labels"]], np.int64)
     features = np.array([x for r in rows for x in r["features"]], np.int64)

@@ -81,3 +81,11 @@ def test_labels_do_not_depend_on_the_other_pages():
     net = html_text.Labeller(2)
     for page, label in zip(pages, net.label(pages)):
         assert (net.label([page])[0] == label).all()
+
+
+def test_the_sample_is_bounded_for_repeated_pages(spark):
+    for page in range(20):  # some of these pages hash low
+        rows = [(i, f"<p>{page}</p>") for i in range(500)]
+        pages = spark.createDataFrame(rows, "page_id long, html string").coalesce(2)
+        assert html_text.drawn(pages, "html", 100).count() <= 100
+    assert html_text.drawn(pages, "html", 100, ("page_id",)).count() > 50

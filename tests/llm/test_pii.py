@@ -117,3 +117,13 @@ def test_redaction(hard, none):
 def test_long_texts_take_linear_time(text):
     pii.plain_spans(text)
     pii.Graph(text)
+
+
+def test_the_sample_is_bounded_whatever_the_keys(spark):
+    """A third of the rows without a key, and all rows of one key and text."""
+    rows = [(None if i % 3 == 0 else i, f"card {i:016}") for i in range(3000)]
+    schema = "key long, text string"
+    some = pii.examples(spark.createDataFrame(rows, schema), 100).count()
+    assert 50 < some <= 100
+    same = spark.createDataFrame([(None, f"call {i % 2}") for i in range(3000)], schema)
+    assert pii.examples(same.union(spark.createDataFrame(rows, schema)), 100).count() <= 100
