@@ -12,9 +12,11 @@ from starmill.llm import oracles
 from starmill.llm.bpe_codec import bpe_digest
 from starmill.llm.common import read_table, share_library
 from starmill.llm.decontamination import contamination
+from starmill.llm.filter_audit import filter_audit
 from starmill.llm.html_text import extract
 from starmill.llm.language import identify
 from starmill.llm.licenses import license_notices
+from starmill.llm.merkle import manifest, shown
 from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.pii import KINDS, find_spans
 from starmill.llm.simhash import hexadecimal, near_duplicates
@@ -111,6 +113,21 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(read_table(spark, folder, "pages"), rules)
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = manifest(documents(spark, folder))
+    digests = ("leaf", "subroot", "root", "folded_root")
+    return found.select(
+        "doc_id",
+        *[shown(F.col(c)).alias(c) for c in digests],
+        F.sha2(shown(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -122,10 +139,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scans": op9_license_scans,
     "op10_url_rules": op10_url_rules,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 # SQL of the results, where SQL can express them.
 ORACLES: dict[str, str] = {
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_url_rules": oracles.URL_RULES,
+    "op11_filter_audit": oracles.FILTER_AUDIT,
+    "op12_merkle_manifest": oracles.MERKLE_MANIFEST,
 }
