@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -40,6 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
     return written(df)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of steps that nothing refers to any more, which it otherwise
+    does when the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever the case."""
     taken = {c.lower() for c in df.columns}

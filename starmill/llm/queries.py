@@ -19,6 +19,7 @@ from starmill.llm.licenses import license_notices
 from starmill.llm.merkle import manifest, shown
 from starmill.llm.perplexity import COUNTS, quality
 from starmill.llm.pii import KINDS, find_spans
+from starmill.llm.repeats import repeat_digests
 from starmill.llm.simhash import hexadecimal, near_duplicates
 from starmill.llm.token_counts import count_tokens
 from starmill.llm.url_rules import judge
@@ -128,6 +129,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digests(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -141,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_rules": op10_url_rules,
     "op11_filter_audit": op11_filter_audit,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 # SQL of the results, where SQL can express them.
