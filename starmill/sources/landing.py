@@ -13,6 +13,8 @@ from starmill.config import LANDING_HEADERS
 from starmill.sources.store import written
 
 MALFORMED = "malformed_line"
+# Fixed value: a text that no cell holds, as it is no character.
+NO_CELL = "\uffff"
 
 
 def land_csv(
@@ -37,6 +39,9 @@ def land_csv(
     schema = schema.add(MALFORMED, T.StringType())
     reader = spark.read.schema(schema).option("header", header).option("escape", '"')
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+    # An empty cell in quotes is an empty text, one without them is missing. By default the reader
+    # takes both for missing, as its mark for missing cells is the empty text.
+    reader = reader.option("nullValue", NO_CELL)
     # All cells are read even to count lines, so that a line is judged alike every time. Column
     # order must be checked against the header line, not assumed.
     reader = reader.option("columnPruning", False).option("enforceSchema", not header)

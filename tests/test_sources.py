@@ -53,6 +53,14 @@ def test_null_tokens_become_null(spark, tmp_path):
     assert rows[2].type is None and rows[1].rating is None and rows[0].rating == "4.1"
 
 
+def test_empty_cells_are_not_missing_cells(spark, tmp_path):
+    cells = ['"Quoted "', '""', "", '" "', '""', ""]
+    line = ",".join([*cells, *[""] * (len(LANDING_HEADERS) - len(cells))])
+    (tmp_path / "x.csv").write_text("\n".join([HEADER, line]) + "\n")
+    (row,) = land_csv(spark, str(tmp_path / "x.csv")).collect()
+    assert list(row)[1:8] == ["Quoted ", "", None, " ", "", None, None]
+
+
 def test_wrong_header_is_refused(spark, tmp_path):
     path = tmp_path / "extract.csv"
     path.write_text("Other," + HEADER.split(",", 1)[1] + "\n" + ROWS[0] + "\n")
