@@ -20,18 +20,20 @@ def build_bridge(
 ) -> DataFrame:
     """Distinct (snapshot_id, genre_id).
 
-    Landing rows meet their snapshots before the lists are opened, so the larger exploded rows
-    are never shuffled when both tables are bucketed by ``raw_id``. Duplicates are dropped per
-    snapshot, on the same partitioning.
+    Duplicates are dropped and genres looked up per landing row; the rows meet their snapshots
+    last, on the partitioning by ``raw_id``. So nothing is shuffled while genres are small enough
+    to be broadcast, and two numbers a row otherwise.
     """
-    listed = raw.select("raw_id", column).join(snapshot.select("raw_id", "snapshot_id"), "raw_id")
-    return (
-        open_lists(listed, "snapshot_id", column, cfg)
-        .select("snapshot_id", name_key(F.col("value")).alias("genre_name_norm"))
+    found = (
+        open_lists(raw, "raw_id", column, cfg)
+        .select("raw_id", name_key(F.col("value")).alias("genre_name_norm"))
         .distinct()
         .join(genre.select("genre_name_norm", "genre_id"), "genre_name_norm")
-        .select("snapshot_id", "genre_id")
+        .select("raw_id", "genre_id")
     )
+    # A merge join, as a broadcast one could leave the partitioning of the landing rows.
+    known = snapshot.select("raw_id", "snapshot_id").hint("merge")
+    return found.join(known, "raw_id").select("snapshot_id", "genre_id")
 
 
 def genre_counts(bridge: DataFrame, key: str = "snapshot_id") -> DataFrame:

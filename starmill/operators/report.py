@@ -136,9 +136,36 @@ def duplicate_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("key_rows"))
 
 
-def duplicate_excess() -> Column:
-    """Rows beyond the first of their key, over :func:`duplicate_counts`."""
-    return F.coalesce(F.sum(F.col("key_rows") - 1), F.lit(0))
+def keys_counts(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """``key_no`` and ``key_rows``: for each of several keys, how many rows share each of its
+    values, those with a NULL left out.
+
+    All keys are counted in one pass, as rows tagged by the number of their key. A single one is
+    grouped by its own columns, which needs no shuffle of a table that is bucketed by one of them.
+    """
+    if len(keys) == 1:
+        counts = duplicate_counts(df.dropna(subset=list(keys[0])), list(keys[0]))
+        return counts.select(F.lit(0).alias("key_no"), "key_rows")
+
+    def value(no: int, columns: Sequence[str]) -> Column:
+        whole = F.lit(True)
+        for c in columns:
+            whole = whole & F.col(c).isNotNull()
+        cells = F.array(*[F.col(c).cast("string") for c in columns])
+        return F.when(whole, F.struct(F.lit(no).alias("key_no"), cells.alias("key_value")))
+
+    tagged = F.inline(F.array_compact(F.array(*[value(no, key) for no, key in enumerate(keys)])))
+    counts = duplicate_counts(df.select(tagged), ["key_no", "key_value"])
+    return counts.select("key_no", "key_rows")
+
+
+def duplicate_excess(key_no: int | None = None) -> Column:
+    """Rows beyond the first of their key, over :func:`duplicate_counts` or, of one of the keys,
+    over :func:`keys_counts`."""
+    surplus = F.col("key_rows") - 1
+    if key_no is not None:
+        surplus = F.when(F.col("key_no") == key_no, surplus)
+    return F.coalesce(F.sum(surplus), F.lit(0))
 
 
 def duplicate_keys() -> Column:

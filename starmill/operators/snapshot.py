@@ -21,6 +21,10 @@ TYPED = {
 }
 
 
+# Masters in the order of their lookups. The app comes first, as it leaves rows out.
+LOOKUPS = {"app": "inner", "category": "left", "app_type": "left", "content_rating": "left"}
+
+
 def type_rows(raw: DataFrame) -> DataFrame:
     """Landing rows with typed measures and the normalised names to look up. No shuffle."""
     return raw.select(
@@ -37,21 +41,17 @@ def build_snapshot(raw: DataFrame, masters: dict[str, DataFrame]) -> DataFrame:
     """Typed rows with the ids of their masters.
 
     The inner join on the app master is what leaves malformed rows out: their app was kept out
-    of the master. Rows are parsed before that join, so the wide text never enters its shuffle.
-    The join is a sort-merge join when the master is large, and one very frequent app is then
-    split by AQE. Masters that are small by the size of their files are broadcast by Spark.
-    A landing row gives at most one snapshot, so the row's id also is the snapshot's.
+    of the master. A landing row gives at most one snapshot, so the row's id also is the
+    snapshot's.
+
+    The measures stay where the landing rows are: only :func:`master_ids` goes through lookups,
+    and what it found meets the measures on the row id, on the partitioning by that id.
     """
-    rows = type_rows(raw)
-    for entity, how in (
-        ("category", "left"),
-        ("app_type", "left"),
-        ("content_rating", "left"),
-        ("app", "inner"),
-    ):
-        ids = masters[entity].select(f"{entity}_name_norm", f"{entity}_id")
-        rows = rows.join(ids, f"{entity}_name_norm", how)
-    return rows.select(
+    typed = type_rows(raw)
+    measures = typed.select("raw_id", *TYPED)
+    # A merge join, as a broadcast one could leave the partitioning of the landing rows.
+    found = master_ids(typed, masters).hint("merge")
+    return measures.join(found, "raw_id").select(
         F.col("raw_id").alias("snapshot_id"),
         "raw_id",
         "app_id",
@@ -62,6 +62,20 @@ def build_snapshot(raw: DataFrame, masters: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def master_ids(typed: DataFrame, masters: dict[str, DataFrame]) -> DataFrame:
+    """``raw_id`` and the master ids of the rows whose app is known.
+
+    A lookup is a sort-merge join when the master is large, and one very frequent name is then
+    split by AQE. Masters that are small by the size of their files are broadcast by Spark. Each
+    name gives way to its id as soon as it is looked up, so what is shuffled gets narrower.
+    """
+    rows = typed.select("raw_id", *[f"{entity}_name_norm" for entity in LOOKUPS])
+    for entity, how in LOOKUPS.items():
+        ids = masters[entity].select(f"{entity}_name_norm", f"{entity}_id")
+        rows = rows.join(ids, f"{entity}_name_norm", how).drop(f"{entity}_name_norm")
+    return rows
+
+
 def unreadable_cells(raw: DataFrame) -> DataFrame:
     """Cells of the right shape that no type can hold: (raw_id, column_name, raw_value).
 

@@ -76,8 +76,31 @@ def build_fact(
     Rows whose category, content rating or date is missing drop out, unless that dimension has
     an Unknown member; the integrity checks count what was lost. The Unknown key is one scalar,
     not a join. The fact is keyed by its snapshot, which needs no numbering of the largest table.
+
+    Measures and flags stay where the clean rows are: only :func:`dimension_keys` goes through
+    lookups, and what it found meets them on the snapshot, on the partitioning by that id.
     """
-    fact = clean.withColumn("app_snapshot_key", F.col("snapshot_id"))
+    found = dimension_keys(clean, dims, unknown).hint("merge")
+    fact = clean.join(found, "snapshot_id").withColumn("app_snapshot_key", F.col("snapshot_id"))
+    return fact.select(
+        "app_snapshot_key",
+        "snapshot_id",
+        "raw_id",
+        *[f"{entity}_key" for entity in ENTITY_DIMENSIONS],
+        "last_updated_date_key",
+        *FACT_MEASURES,
+        *FACT_FLAGS,
+        "dq_status",
+    )
+
+
+def dimension_keys(
+    clean: DataFrame, dims: dict[str, DataFrame], unknown: Sequence[str] = ("app_type",)
+) -> DataFrame:
+    """``snapshot_id`` and dimension keys of the clean snapshots that become facts. Each id gives
+    way to its key as soon as it is looked up."""
+    ids = [f"{entity}_id" for entity in ENTITY_DIMENSIONS]
+    fact = clean.select("snapshot_id", *ids, "last_updated_date")
     for entity in ("category", "app_type", "content_rating", "app"):
         keys = dims[entity].select(f"{entity}_id", f"{entity}_key")
         if entity in unknown:
@@ -88,6 +111,7 @@ def build_fact(
             )
         else:
             fact = fact.join(keys, f"{entity}_id")
+        fact = fact.drop(f"{entity}_id")
     dates = dims["last_updated_date"].select(
         F.col("full_date").alias("last_updated_date"), "last_updated_date_key"
     )
@@ -99,16 +123,7 @@ def build_fact(
         )
     else:
         fact = fact.join(dates, "last_updated_date")
-    return fact.select(
-        "app_snapshot_key",
-        "snapshot_id",
-        "raw_id",
-        *[f"{entity}_key" for entity in ENTITY_DIMENSIONS],
-        "last_updated_date_key",
-        *FACT_MEASURES,
-        *FACT_FLAGS,
-        "dq_status",
-    )
+    return fact.drop("last_updated_date")
 
 
 def build_dw_bridge(clean_bridge: DataFrame, fact: DataFrame, dim_genre: DataFrame) -> DataFrame:

@@ -112,6 +112,7 @@ TABLES: dict[str, LayerTable] = {
         "Typed version of each landing row whose app is known.",
         "raw_id",
         ("snapshot_id",),
+        in_place=True,
     ),
     "genre": LayerTable(
         lambda ly: build_multi_value(ly["raw"], "genres", "genre", ly.config),
@@ -121,6 +122,7 @@ TABLES: dict[str, LayerTable] = {
         lambda ly: build_bridge(ly["raw"], ly["snapshot"], ly["genre"], ly.config),
         "Snapshots and their genres.",
         "snapshot_id",
+        in_place=True,
     ),
     "clean": LayerTable(
         lambda ly: clean_snapshot(
@@ -158,6 +160,7 @@ TABLES: dict[str, LayerTable] = {
         "One row per clean snapshot, on dimension keys.",
         "raw_id",
         ("app_snapshot_key", "snapshot_id"),
+        in_place=True,
     ),
     "dw_bridge": LayerTable(
         lambda ly: build_dw_bridge(ly["clean_bridge"], ly["fact"], ly["dim_genre"]),

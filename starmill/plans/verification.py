@@ -12,7 +12,9 @@ from starmill.operators.report import (
     Check,
     Measure,
     duplicate_counts,
+    duplicate_excess,
     duplicate_keys,
+    keys_counts,
     measure,
     metric_rows,
     orphan_rows,
@@ -21,7 +23,7 @@ from starmill.operators.report import (
     run_checks,
 )
 from starmill.operators.star import UNKNOWN_NORM
-from starmill.plans.layers import DIMENSIONS, MASTERS, Layers
+from starmill.plans.layers import DIMENSIONS, MASTERS, TABLES, Layers
 from starmill.plans.quality import after_cleaning_scorecard, unflagged_measures
 
 # Flags with a rule in the audit log.
@@ -443,7 +445,10 @@ def stage_one_checks(ly: Layers) -> DataFrame:
 
 
 def unique_constraints(ly: Layers) -> DataFrame:
-    """(constraint_name, violations): rows beyond the first of their key; NULL keys are exempt."""
+    """(constraint_name, violations): rows beyond the first of their key; NULL keys are exempt.
+
+    All keys of a table are counted in one pass, and a key once by whatever name it goes.
+    """
     keys = [
         *[(m, [f"{m}_id"]) for m in (*MASTERS, "genre")],
         *[(m, [f"{m}_name_norm"]) for m in (*MASTERS, "genre")],
@@ -461,11 +466,22 @@ def unique_constraints(ly: Layers) -> DataFrame:
         ("fact", ["snapshot_id"]),
         ("dw_bridge", ["app_snapshot_key", "genre_key"]),
     ]
+
+    def stored(table: str, columns: list[str]) -> tuple[str, ...]:
+        same = TABLES[table].equal_to_key
+        return tuple(TABLES[table].key if c in same else c for c in columns)
+
+    by_table: dict[str, list[tuple[str, ...]]] = {}
+    for table, columns in keys:
+        found = by_table.setdefault(table, [])
+        if stored(table, columns) not in found:
+            found.append(stored(table, columns))
+    counted = {table: keys_counts(ly[table], found) for table, found in by_table.items()}
     return _violations(
         {
             f"unique {table}({', '.join(columns)})": (
-                duplicate_counts(ly[table].dropna(subset=columns), columns),
-                F.coalesce(F.sum(F.col("key_rows") - 1), F.lit(0)),
+                counted[table],
+                duplicate_excess(by_table[table].index(stored(table, columns))),
             )
             for table, columns in keys
         }

@@ -1,12 +1,15 @@
 """Plans that must hold at scale, and results that must not depend on them."""
 
 import contextlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from starmill import Config, Layers
-from starmill.plans import analysis, quality
+from starmill.operators.snapshot import TYPED
+from starmill.operators.star import FACT_FLAGS, FACT_MEASURES
+from starmill.plans import analysis, quality, verification
 from starmill.plans.layers import TABLES
 from tests.test_reconcile import landing
 
@@ -33,13 +36,22 @@ def no_broadcast(spark):
 
 
 LOOKUPS = ("app_type", "dim_genre")
+WIDE = ("snapshot", "bridge", "fact")
 
 
-@pytest.mark.parametrize("table", ["clean", "clean_bridge", "dw_bridge"])
+IN_PLACE = [t for t, spec in TABLES.items() if spec.in_place]
+
+
+def test_all_tables_keyed_by_the_row_are_written_where_they_are_computed():
+    assert set(IN_PLACE) == {t for t, spec in TABLES.items() if spec.key} - {"raw"}
+
+
+@pytest.mark.parametrize("table", IN_PLACE)
 def test_tables_keyed_by_the_row_meet_without_a_shuffle(spark, ly, table):
-    """With only the small lookups broadcast, no row leaves its bucket."""
+    """With only the lookups broadcast, no row leaves its bucket."""
     ly.build_all()
-    limit = 2 * max(_stored_bytes(ly[t]) for t in LOOKUPS)
+    lookups = ("app", "dim_app", "genre", "dim_genre") if table in WIDE else LOOKUPS
+    limit = 2 * max(_stored_bytes(ly[t]) for t in lookups)
     with settings(spark, autoBroadcastJoinThreshold=str(limit)):
         text = plan(TABLES[table].build(ly))
     assert "Exchange hashpartitioning" not in text
@@ -47,12 +59,47 @@ def test_tables_keyed_by_the_row_meet_without_a_shuffle(spark, ly, table):
     assert "Bucketed: true" in text
 
 
+def exchanged(text):
+    """Columns that each shuffle moves, by the lines below it in the plan."""
+    lines = text.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = next(x for x in lines[i + 1 :] if "Project [" in x or "FileScan" in x)
+            found.append(set(re.findall(r"(\w+)#\d+", below.split("Project ", 1)[-1])))
+    return found
+
+
+@pytest.mark.parametrize("table, wide", [("snapshot", TYPED), ("fact", (*FACT_MEASURES, *FACT_FLAGS))])
+def test_lookups_without_broadcast_move_ids_alone(spark, ly, table, wide):
+    ly.build_all()
+    with no_broadcast(spark):
+        text = plan(TABLES[table].build(ly))
+    moved = exchanged(text)
+    assert len(moved) >= 5 and not any(columns & set(wide) for columns in moved)
+
+
+def test_bridge_without_broadcast_moves_two_columns(spark, ly):
+    ly.build_all()
+    with no_broadcast(spark):
+        moved = exchanged(plan(TABLES["bridge"].build(ly)))
+    assert moved and not any("genres" in columns for columns in moved)
+
+
+def test_all_unique_keys_of_a_table_take_one_shuffle(spark, ly):
+    """Keyed tables none, each of the eleven others one for its keys and one for the sums."""
+    ly.build_all()
+    text = plan(verification.unique_constraints(ly))
+    others = [t for t in TABLES if not TABLES[t].key and t != "audit_log"]
+    assert text.count("Exchange hashpartitioning") <= len(others)
+
+
 def _stored_bytes(df):
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def test_in_place_tables_have_one_file_per_bucket(spark, ly):
-    for table in ("raw", "snapshot", "clean", "clean_bridge", "dw_bridge"):
+    for table in ("raw", *IN_PLACE):
         ly[table]
         with no_broadcast(spark):
             written = ly.store.write(
