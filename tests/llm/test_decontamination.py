@@ -71,9 +71,8 @@ def test_proximity(spark):
         "doc_id long, text string",
     )
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
-    index = Index(docs, items)
-    keys = index.rows.select("row", "key")
-    found = lambda m: {r["key"] for r in m.join(keys, "row").collect()}
+    index = Index(docs, items, "doc_id")
+    found = lambda m: {r["row"] for r in m.collect()}
     assert found(index.exact_matches()) == {1}
     assert found(index.proximity_matches(0)) == {1}
     assert found(index.proximity_matches(1)) == {1, 2}
