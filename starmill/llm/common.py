@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -44,8 +45,10 @@ def cut(df: DataFrame) -> DataFrame:
 def freed(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of steps that nothing refers to any more, which it otherwise
     does when the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first round lets go of, the second finds unused
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def fresh(df: DataFrame, name: str) -> str:
