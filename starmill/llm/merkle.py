@@ -249,7 +249,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         digest(leaf_text([*rest, text])).alias("hash"),
         F.when(tampered.isNotNull(), digest(leaf_text([*rest, tampered]))).alias("found"),
     ).withColumn("found", F.coalesce("found", "hash"))
-    leaves = ranked(leaves, "src", ["doc_id", "hash"])
+    # Written before they are dealt, as ranges are drawn from a reading of their own.
+    leaves = ranked(cut(leaves), "src", ["doc_id", "hash"])
 
     leaf = F.struct((F.col("idx") % FAN).cast("int").alias("place"), "doc_id", "hash", "found")
     lowest = cut(
