@@ -7,6 +7,7 @@ engines hash the same values.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -34,7 +35,7 @@ from starmill.plans import analysis, orders, quality, verification, views
 from starmill.plans.layers import MASTERS, Layers
 from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv, malformed_rows
-from starmill.sources.store import scratch_path, written
+from starmill.sources.store import LayerStore, scratch_path, written
 
 # The operators for training text and the pipeline over them can be left out of a checkout.
 try:
@@ -66,6 +67,7 @@ def queries() -> dict[str, Query]:
     found["a1_malformed_rows"] = lambda spark, folder: malformed_rows(
         written(_as_files(spark, folder, True))
     ).select("raw_id", "app", F.col("malformed_line").endswith(",surplus").alias("surplus"))
+    found["a2_append"] = lambda spark, folder: plain(_appended(spark, folder))
     found["a6_export"] = _exported
     found["k0_assertions"] = lambda spark, folder: plain(_assertions(spark, folder))
     found["l1_dense_key_sparse"] = lambda spark, folder: plain(_sparse_keys(spark, folder))
@@ -250,6 +252,21 @@ def _as_files(spark: SparkSession, folder: str, damage: bool) -> DataFrame:
     return land_csv(spark, path, header=False)
 
 
+def _appended(spark: SparkSession, folder: str) -> DataFrame:
+    """The enriched facts after all orders were loaded as two extracts, one after the other.
+
+    Extracts are ranges of ids, as a catalogue's extracts follow one another.
+    """
+    rows = orders.landing(spark, folder)
+    ends = orders.read_table(spark, folder, "orders").agg((F.max("o_orderkey") * 0.6).alias("end"))
+    first = F.col("raw_id") <= ends.select("end").scalar()
+    store = LayerStore(spark, f"appended_{uuid.uuid4().hex}", spark.sparkContext.defaultParallelism)
+    store.drop_at_exit()
+    ly = Layers(rows.where(first), orders.CONFIG, store)
+    ly.append(rows.where(~first))
+    return analysis.enriched_fact(ly)
+
+
 def _exported(spark: SparkSession, folder: str) -> DataFrame:
     """A view written as a CSV folder and read back."""
     view = plain(analysis.by_category(orders.layers(spark, folder)))

@@ -921,6 +921,8 @@ where category_id is not null and content_rating_id is not null""",
     "j48_load_summary": _metric_rows(LOAD_SUMMARY),
     "j49_integrity_checks": _checks(INTEGRITY, id_column=False),
     "j50_enriched_fact": f"select {AS_PLAIN} from star",
+    # Loaded in parts, the facts are those of all rows loaded at once.
+    "a2_append": f"select {AS_PLAIN} from star",
     "j51_genre_fractional": """
 select app_snapshot_key, snapshot_id, genre_name, units::double / 1e12 as weight,
   rating::double as rating, reviews_count, installs_count, price_usd::double as price_usd,

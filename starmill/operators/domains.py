@@ -69,6 +69,17 @@ def insert_if_absent(
     ``number`` names a bigint id that ``new`` counts on its own: added rows get the ids after the
     highest of ``target``, in the order of the ids they had, so no id is handed out twice.
     """
+    return target.unionByName(new_members(target, new, keys, number, first_by))
+
+
+def new_members(
+    target: DataFrame,
+    new: DataFrame,
+    keys: list[str],
+    number: str | None = None,
+    first_by: Sequence[str] = (),
+) -> DataFrame:
+    """The rows that :func:`insert_if_absent` adds to ``target``."""
     rest = [*first_by, *[c for c in new.columns if c not in keys and c not in first_by]]
     if rest:
         firsts = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
@@ -80,7 +91,7 @@ def insert_if_absent(
         highest = target.agg(F.coalesce(F.max(number), F.lit(0)).alias("_n")).select("_n").scalar()
         placed = dense_key(added.withColumnRenamed(number, "_old"), "_place", ["_old", *keys])
         added = placed.withColumn(number, highest + F.col("_place"))
-    return target.unionByName(added.select(*target.columns))
+    return added.select(*target.columns)
 
 
 def _first_spelling(spelled: DataFrame) -> DataFrame:

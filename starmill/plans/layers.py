@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starmill.config import MASTER_SOURCES, Config
 from starmill.operators.audit import audit_log
 from starmill.operators.bridge import bridge_weights, build_bridge
 from starmill.operators.clean import clean_snapshot
-from starmill.operators.domains import build_domain, build_multi_value
+from starmill.operators.domains import build_domain, build_multi_value, new_members
 from starmill.operators.snapshot import build_snapshot
 from starmill.operators.star import build_date_dim, build_dim, build_dw_bridge, build_fact
 from starmill.sources.store import LayerStore
@@ -79,11 +81,97 @@ class Layers:
     def dims(self) -> dict[str, DataFrame]:
         return {entity: self[f"dim_{entity}"] for entity in DIMENSIONS}
 
+    def append(self, more: DataFrame) -> None:
+        """Load a further extract into the written layers, without touching what is there.
+
+        ``more`` is landing rows with ids of their own, such as :meth:`after` gives them. Every
+        table gets the rows that both extracts loaded at once would have given besides: names,
+        days and genres that are known keep their ids and keys, and new ones go on from the
+        highest, that of an Unknown member included. No stored row is read but names and days,
+        and no stored file is written again: new files go to the buckets of the new rows.
+
+        All new rows are computed and written aside first, so a load that fails there leaves
+        every table as it was.
+        """
+        if not self.store:
+            raise ValueError("only layers with a store can be appended to")
+        self.build_all()
+        new = Layers(more, self.config)
+
+        def aside(name: str, rows: DataFrame) -> None:
+            spec = TABLES[name]
+            new._tables[name] = self.store.write(rows, _aside(name), spec.key, spec.equal_to_key)
+
+        def members(name: str, found: DataFrame, keys: list[str], number: str | None = None):
+            aside(name, new_members(self[name], found, keys, number))
+
+        def together(name: str) -> DataFrame:
+            return self[name].unionByName(new._tables[name])
+
+        aside("raw", more)
+
+        def master(entity: str) -> None:
+            sentinels = self.config.sentinels(entity)
+            found = build_domain(new["raw"], MASTER_SOURCES[entity], entity, sentinels)
+            members(entity, found, [f"{entity}_name_norm"])
+
+        def genre() -> None:
+            found = build_multi_value(new["raw"], "genres", "genre", self.config)
+            members("genre", found, ["genre_name_norm"], "genre_id")
+
+        at_once(*[partial(master, entity) for entity in MASTERS], genre)
+        known = {name: together(name) for name in (*MASTERS, "genre")}
+        rows = Layers(new["raw"], self.config, given={**known, "raw": new["raw"]})
+
+        def table(name: str) -> None:
+            aside(name, TABLES[name].build(rows))
+            rows._tables[name] = new[name]
+
+        def dimension(entity: str) -> None:
+            found = build_dim(known[entity], entity)
+            members(f"dim_{entity}", found, [f"{entity}_id"], f"{entity}_key")
+
+        def days() -> None:
+            found = build_date_dim(new["clean"], "last_updated_date")
+            members("dim_last_updated_date", found, ["full_date"], "last_updated_date_key")
+
+        at_once(partial(table, "snapshot"), *[partial(dimension, e) for e in (*MASTERS, "genre")])
+        table("bridge")
+        at_once(partial(table, "clean"), partial(table, "clean_bridge"))
+        at_once(partial(table, "audit_log"), days)
+        rows._tables |= {f"dim_{name}": together(f"dim_{name}") for name in DIMENSIONS}
+        table("fact")
+        table("dw_bridge")
+
+        def add(name: str) -> None:
+            spec = TABLES[name]
+            self._tables[name] = self.store.append(
+                new[name], name, spec.key, spec.equal_to_key, in_place=True
+            )
+            self.store.drop(_aside(name))
+
+        at_once(*[partial(add, name) for name in TABLES])
+
+    def after(self, more: DataFrame) -> DataFrame:
+        """Landing rows numbered from 1 on, with ids that go on from the highest stored one."""
+        highest = self["raw"].agg(F.coalesce(F.max("raw_id"), F.lit(0)).alias("_n"))
+        return more.withColumn("raw_id", F.col("raw_id") + highest.select("_n").scalar())
+
     def build_all(self) -> None:
         """Build every table; those that do not read one another are written at the same time."""
         for wave in WAVES:
-            with ThreadPoolExecutor(len(wave)) as pool:
-                list(pool.map(self.__getitem__, wave))
+            at_once(*[partial(self.__getitem__, name) for name in wave])
+
+
+def at_once(*steps: Callable[[], object]) -> None:
+    """Run steps that don't read one another's tables at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
+def _aside(name: str) -> str:
+    return f"{name}__aside"
 
 
 def _master(entity: str) -> LayerTable:

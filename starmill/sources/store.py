@@ -94,6 +94,11 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
+def quoted(text: str) -> str:
+    """A text as a literal of Spark SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class LayerStore:
     """Writes each layer table once, whole, and hands back the written table.
 
@@ -119,8 +124,8 @@ class LayerStore:
         self.buckets = buckets
         self.location = (location or f"{shared_folder(spark).rstrip('/')}/{namespace}").rstrip("/")
         spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {namespace} COMMENT '{comment}' "
-            f"LOCATION '{self.location}'"
+            f"CREATE DATABASE IF NOT EXISTS {namespace} COMMENT {quoted(comment)} "
+            f"LOCATION {quoted(self.location)}"
         )
 
     def drop_at_exit(self) -> None:
@@ -142,18 +147,93 @@ class LayerStore:
         table is bucketed by each of them. ``in_place`` says that ``df`` comes out of operators
         on bucketed tables with that key, so each task already holds one bucket and the rows are
         written where they are; any other ``df`` is shuffled to its buckets first.
+
+        The new rows go to a folder of their own. Only when they are all there the table is
+        pointed at it, and then the former folder goes. So a table can be refreshed from itself,
+        and a write that fails leaves the former table as it was.
         """
-        stored = df.drop(*equal_to_key)
-        if key and not in_place:
-            stored = stored.repartition(self.buckets, key)
+        stored = self._dealt(df, key, equal_to_key, in_place)
+        table, version = f"{self.namespace}.{name}", uuid.uuid4().hex
+        fresh, folder = f"{table}__{version}", f"{self.location}/{name}/{version}"
         writer = stored.write.bucketBy(self.buckets, key) if key else stored.write
-        table = f"{self.namespace}.{name}"
-        # An explicit path also replaces what an earlier session left there.
-        writer.mode("overwrite").option("path", f"{self.location}/{name}").saveAsTable(table)
+        try:
+            writer.option("path", folder).saveAsTable(fresh)
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            self._delete(folder)
+            raise
+        self._publish(table, fresh, folder)
+        self._leave_only(f"{self.location}/{name}", version)
         if comment:
-            self.spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
+            self.spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
         return self.read(name, key, equal_to_key)
 
+    def append(
+        self,
+        df: DataFrame,
+        name: str,
+        key: str | None = None,
+        equal_to_key: tuple[str, ...] = (),
+        in_place: bool = False,
+    ) -> DataFrame:
+        """Add rows to table ``name``, to the buckets they belong to; the files that are there stay
+        as they are. Spark shows the new files when all are written."""
+        stored = self._dealt(df, key, equal_to_key, in_place)
+        table = f"{self.namespace}.{name}"
+        # By name, so that the order of columns doesn't matter.
+        stored = stored.select(*[F.col(f"`{c}`") for c in self.spark.table(table).columns])
+        writer = stored.write.bucketBy(self.buckets, key) if key else stored.write
+        writer.mode("append").format("parquet").saveAsTable(table)
+        return self.read(name, key, equal_to_key)
+
+    def drop(self, name: str) -> None:
+        """Remove a table and its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.namespace}.{name}")
+        self._delete(f"{self.location}/{name}")
+
+    def _dealt(self, df: DataFrame, key: str | None, equal_to_key, in_place: bool) -> DataFrame:
+        stored = df.drop(*equal_to_key)
+        return stored if in_place or not key else stored.repartition(self.buckets, key)
+
+    def _publish(self, table: str, fresh: str, folder: str) -> None:
+        """Point ``table`` at the files of ``fresh``: in one step of the catalog where both have
+        the same columns and buckets, else by giving ``fresh`` the name of the former table. No
+        file is touched by either."""
+        sql = self.spark.sql
+        if not self.spark.catalog.tableExists(table):
+            sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        elif self._shape(table) == self._shape(fresh):
+            sql(f"ALTER TABLE {table} SET LOCATION {quoted(folder)}")
+            sql(f"DROP TABLE {fresh}")
+        else:
+            former = f"{table}__former"
+            sql(f"DROP TABLE IF EXISTS {former}")
+            sql(f"ALTER TABLE {table} RENAME TO {former}")
+            sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+            sql(f"DROP TABLE {former}")
+        self.spark.catalog.refreshTable(table)
+
+    def _shape(self, table: str) -> tuple:
+        """Columns of a table with their metadata, and how it is bucketed."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        buckets = [tuple(r)[:2] for r in described if r.col_name in ("Num Buckets", "Bucket Columns")]
+        return self.spark.table(table).schema.json(), buckets
+
+    def _leave_only(self, folder: str, version: str) -> None:
+        """Delete what lies in a table's folder beside its current version."""
+        path, fs = self._path(folder)
+        for found in fs.listStatus(path):
+            if found.getPath().getName() != version:
+                fs.delete(found.getPath(), True)
+
+    def _delete(self, folder: str) -> None:
+        path, fs = self._path(folder)
+        fs.delete(path, True)
+
+    def _path(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def read(
         self, name: str, key: str | None = None, equal_to_key: tuple[str, ...] = ()
     ) -> DataFrame:

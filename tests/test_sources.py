@@ -125,6 +125,53 @@ def test_csv_to_star(spark, tmp_path):
     assert again["fact"].columns[:3] == ["app_snapshot_key", "snapshot_id", "raw_id"]
 
 
+def test_append_equals_one_load_and_renumbers_nothing(spark, ly):
+    """Of every table the stored rows and files stay, and all rows are those of one load."""
+    first, second, third = (f"raw_id % 8 {part}" for part in ("< 5", "between 5 and 6", "> 6"))
+    raw = ly["raw"]
+    highest = raw.agg(F.max("raw_id")).first()[0]
+    moved = lambda part, no: raw.where(part).withColumn("raw_id", F.col("raw_id") + no * highest)
+    extracts = [moved(part, no) for no, part in enumerate((first, second, third))]
+    store = LayerStore(spark, "appended_parts", 4)
+    parts = Layers(extracts[0], ly.config, store)
+    parts.build_all()
+    names = [t for t in TABLES if t != "audit_log"]
+    before = {t: (set(parts[t].collect()), set(parts[t].inputFiles())) for t in names}
+    for more in extracts[1:]:
+        parts.append(more)
+    whole = Layers(extracts[0].unionByName(extracts[1]).unionByName(extracts[2]), ly.config)
+    whole = Layers(whole["raw"], ly.config, given={t: whole[t].checkpoint() for t in TABLES})
+    for t in names:
+        rows, files = before[t]
+        assert rows <= set(parts[t].collect()) and files <= set(parts[t].inputFiles()), t
+        assert parts[t].count() == whole[t].count(), t
+    for t in ("app", "genre", "snapshot", "bridge", "clean", "clean_bridge"):
+        assert sorted(parts[t].collect(), key=str) == sorted(whole[t].collect(), key=str), t
+    facts = [sorted(analysis.enriched_fact(x).collect(), key=str) for x in (parts, whole)]
+    assert facts[0] == facts[1]
+    with pytest.raises(ValueError, match="store"):
+        whole.append(extracts[1])
+    assert not [t.name for t in spark.catalog.listTables("appended_parts") if "__" in t.name]
+    again = Layers.written(LayerStore(spark, "appended_parts", 4), ly.config)
+    assert again["fact"].count() == whole["fact"].count()
+
+
+def test_an_append_that_fails_leaves_every_table(spark, ly):
+    parts = Layers(ly["raw"].where("raw_id < 500"), ly.config, LayerStore(spark, "append_fails", 4))
+    parts.build_all()
+    counts = {t: parts[t].count() for t in TABLES}
+    bad = ly["raw"].where("raw_id >= 500").withColumn("genres", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        parts.append(bad)
+    assert counts == {t: parts[t].count() for t in TABLES}
+
+
+def test_ids_of_a_further_extract_go_on(spark, ly):
+    highest = ly["raw"].agg(F.max("raw_id")).first()[0]
+    more = ly.after(spark.range(1, 4).withColumnRenamed("id", "raw_id"))
+    assert sorted(r.raw_id for r in more.collect()) == [highest + 1, highest + 2, highest + 3]
+
+
 def test_waves_name_every_table_after_what_it_reads(ly):
     """Each table can be built from the tables of earlier waves alone."""
     assert sorted(t for wave in WAVES for t in wave) == sorted(TABLES)
@@ -149,6 +196,49 @@ def test_store_replaces_whole_tables(spark):
     assert sorted(tuple(r) for r in again.collect()) == [(i, i) for i in range(3)]
 
 
+def failing():
+    return F.when(F.col("id") < 0, F.lit(1)).otherwise(F.raise_error(F.lit("lost")))
+
+
+@pytest.mark.parametrize("key", [None, "id"])
+def test_a_write_that_fails_leaves_the_former_table(spark, key):
+    st = LayerStore(spark, "failing", 2)
+    st.write(spark.range(10), "t", key)
+    with pytest.raises(Exception, match="lost"):
+        st.write(spark.range(5).withColumn("other", failing()), "t", key)
+    assert st.read("t").count() == 10
+    with pytest.raises(Exception, match="lost"):
+        st.write(spark.range(5).withColumn("id", failing()), "t", key)
+    assert sorted(r.id for r in st.read("t").collect()) == list(range(10))
+    assert [t.name for t in spark.catalog.listTables("failing")] == ["t"]
+    with pytest.raises(Exception, match="lost"):
+        st.append(spark.range(5).withColumn("id", failing()), "t", key)
+    assert st.read("t").count() == 10
+
+
+def test_a_table_is_refreshed_from_itself_and_its_former_files_go(spark, tmp_path):
+    st = LayerStore(spark, "refreshed", 2, f"file://{tmp_path}/r", "it's \\ here")
+    st.write(spark.range(10), "t", "id", comment="Ann's \\ table")
+    for _ in range(3):
+        table = st.write(st.read("t").withColumn("id", F.col("id") + 1), "t", "id")
+    assert sorted(r.id for r in table.collect()) == list(range(3, 13))
+    wider = st.write(table.withColumn("more", F.lit("x")), "t", "id", comment="Ann's \\ table")
+    assert wider.columns == ["id", "more"] and wider.count() == 10
+    assert len(list((tmp_path / "r" / "t").iterdir())) == 1
+    said = spark.sql("describe table extended refreshed.t").where("col_name = 'Comment'").first()
+    assert said.data_type == "Ann's \\ table"
+
+
+def test_append_adds_files_to_the_buckets_of_its_rows(spark):
+    st = LayerStore(spark, "appending", 4)
+    before = set(st.write(spark.range(10), "t", "id").inputFiles())
+    after = st.append(spark.range(10, 12), "t", "id")
+    assert sorted(r.id for r in after.collect()) == list(range(12))
+    assert before < set(after.inputFiles()) and len(after.inputFiles()) <= len(before) + 2
+    text = after.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text
+
+
 def test_store_uses_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert LayerStore(spark, "where", 2).location.startswith(shared_folder(spark))
@@ -188,7 +278,7 @@ def test_stores_leave_session_options_alone(spark):
 def test_store_lies_where_the_user_says(spark, tmp_path):
     st = LayerStore(spark, "elsewhere", 2, f"file://{tmp_path}/kept", "Kept tables")
     st.write(spark.range(5), "t", "id")
-    assert any((tmp_path / "kept" / "t").glob("*.parquet"))
+    assert any((tmp_path / "kept" / "t").glob("*/*.parquet"))
     assert "Kept tables" in str(spark.sql("describe database elsewhere").collect())
 
 
