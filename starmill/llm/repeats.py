@@ -29,6 +29,7 @@ character, so what is kept is bytes; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import cut, freed
 from starmill.llm.suffix_array import permuted_common_prefixes, suffix_array
+from starmill.sources.store import LayerStore
 
 LENGTH = 50
 ANCHOR = 24
@@ -393,16 +395,21 @@ def repeated(
     hot_docs: int = HOT,
 ) -> DataFrame:
     """Packed documents with the spans to remove, in pieces, as found. The sizes change no result."""
-    shards = cut(packed(docs, shard_bytes))
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Texts are dealt to buckets by their shard once; what is found out of them goes back there.
+    store = LayerStore(spark, f"starmill_repeats_{uuid.uuid4().hex}", parts)
+    store.drop_at_exit()
+    shards = store.write(packed(docs, shard_bytes), "shards", "shard")
+    freed(spark)
     anchors = cut(shared_anchors(shards, hot_docs))
-    freed(docs.sparkSession)
-    stretches = shards.join(anchors, "shard").mapInArrow(send_stretches, STRETCHES)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    freed(spark)
+    stretches = shards.join(anchors.hint("merge"), "shard").mapInArrow(send_stretches, STRETCHES)
     dealt = stretches.repartition(parts, "deal").sortWithinPartitions("deal")
     spans = cut(dealt.mapInArrow(partial(find_spans, chunk_bytes=chunk_bytes), SPANS))
-    freed(docs.sparkSession)
+    freed(spark)
     per_shard = spans.groupBy("shard").agg(F.collect_list("spans").alias("spans"))
-    return shards.join(per_shard, "shard", "left")
+    return shards.join(per_shard.hint("merge"), "shard", "left")
 
 
 def cut_out(rows: DataFrame, kept: str, schema: str) -> DataFrame:
