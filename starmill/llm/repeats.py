@@ -44,7 +44,7 @@ from starmill.llm.suffix_array import permuted_common_prefixes, suffix_array
 from starmill.sources.store import LayerStore
 
 LENGTH = 50
-ANCHOR = 24
+ANCHOR = 20
 SHARD_BYTES = 2_000_000
 CHUNK_BYTES = 2_000_000
 HOT = 2_000
@@ -56,7 +56,7 @@ SPANS = "shard long, spans binary"
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 # Where a stretch occurs: its document's id, number in the shard and place in the document.
-PLACE = np.dtype([("id", np.int64), ("doc", np.int32), ("start", np.int64)])
+PLACE = np.dtype([("id", np.int64), ("doc", np.int32), ("start", np.int32)])
 SPAN = np.dtype([("doc", np.int32), ("start", np.int64), ("end", np.int64)])
 
 
