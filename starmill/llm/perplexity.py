@@ -414,6 +414,6 @@ def good_documents(
         ]
     )
     judged = rules.judged(
-        named.mapInArrow(run, schema).select(F.struct(*docs.columns).alias("row"), f"{score}.*")
+        named.mapInArrow(run, schema).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), f"{score}.*")
     )
     return judged.where("kept").select("row.*")

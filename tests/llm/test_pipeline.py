@@ -1,12 +1,14 @@
 """Each stage on its own input against the operator's tests' plain versions."""
 
 import corpus_pipeline
+from starmill.llm import near_copies as nc
 from starmill.llm import perplexity
 from starmill.llm.common import cut, read_table
 from tests.llm.test_bpe import PATH, Tokenizer, expected
 from tests.llm.test_decontamination import expected as contaminated
 from tests.llm.test_pii import by_patterns
-from tests.llm.test_simhash import fingerprint, least_reached
+from tests.llm.test_near_copies import apart
+from tests.llm.test_simhash import least_reached
 
 
 def test_stages(spark, folder):
@@ -22,9 +24,11 @@ def test_stages(spark, folder):
             want = {r["doc_id"] for r in perplexity.quality(docs).where("kept").collect()}
             assert set(rows) == want and 0.7 * len(before) < len(want) < len(before)
         elif name == "near_duplicates":
-            prints = {i: fingerprint(r["text"]) for i, r in before.items()}
-            root = least_reached(before, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
-            assert set(rows) == set(root.values())
+            sketches = {i: nc.sketch(nc.shingles(r["text"])) for i, r in before.items()}
+            prints = {i: f for i, (f, _) in sketches.items()}
+            keys = {i: set(k) for i, (_, k) in sketches.items()}
+            near = lambda a, b: keys[a] & keys[b] and apart(prints, a, b) <= nc.RADIUS
+            assert set(rows) == set(least_reached(before, near).values())
         elif name == "decontamination":
             want = {i for i, r in before.items() if not contaminated(r["text"], items)[1]}
             assert set(rows) == want
@@ -48,3 +52,16 @@ def test_empty_documents(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = cut(stage(spark, docs, folder))
     assert docs.count() == 0
+
+
+def test_hard_documents(spark, folder, hard):
+    """Nulls, repeated ids, long texts and other columns pass through every stage."""
+    docs = hard.withColumnRenamed("word", "a.b")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        # Each stage on all hard rows, as the first one leaves few.
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        ids = {r["doc_id"] for r in out.select("doc_id").collect()}
+        assert ids <= {r["doc_id"] for r in docs.select("doc_id").collect()}, name
+    encoded = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert encoded.count() == docs.count()
