@@ -2,16 +2,24 @@
 
 Patterns give the plain spans, which always stay. The field labels what the patterns miss: its
 nodes are the tokens (between ASCII white space) that hold a digit or ``@``, all others are fixed
-as no entity. A node's own potential comes from its shape, its length and its neighbours' shapes.
-Neighbouring nodes share a chain potential; a node and the next equal token of the document, however
-far, share a skip potential, so an entity has one label throughout. Loopy message passing over
-both gives each node's probabilities; the number of rounds is fixed, so a document's result does
-not depend on the others it is worked on with.
+as no entity. A node's own potential comes from its shape, its length, its neighbours' shapes and
+the two words before it. Neighbouring nodes share a chain potential; a node and the next similar
+token of the document, however far, share a skip potential, so an entity has one label throughout.
+Similar are tokens that are equal but for case and marks around them, that have the same five or
+more digits in a row, whatever stands between these, or that have the same part before an ``@``.
+Loopy message passing over both gives each node's probabilities; the number of rounds is fixed, so
+a document's result does not depend on the others it is worked on with.
 
 Learning is piecewise: node weights by logistic regression, edge potentials from how often labels
 meet, on the plain spans of ``sample`` documents at most, those whose key and text hash lowest and
-that are not longer than ``LONGEST`` characters. The sample bounds what meets on the driver; finding reads
-every document whole.
+that are not longer than ``LONGEST`` characters. Each document is learned from twice, as it is and
+with its telephone numbers written without a plus, so that words and shapes around count beside
+the pattern. The sample bounds what meets on the driver; finding reads every document whole.
+
+What the field adds must be able to be what it is called (``plausible``): a card has 13 to 19
+digits and a right check digit, an address four numbers up to 255, a telephone number 7 to 15
+digits and something between them or a known prefix, a mail address an ``@`` between two texts. So
+an ordinary number isn't taken for a card by its shape.
 
 Each ``@`` and run of digits is looked at once, so long texts take linear time, and each occurrence
 is tied to the next alone, never to all others.
@@ -25,7 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,7 +53,9 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 MARK = re.compile(r"[0-9@][^ \t\n\x0b\x0c\r]*")
 BLANK = " \t\n\x0b\x0c\r"
-FEATURES, PER_TOKEN = 1 << 14, 8
+FEATURES, PER_TOKEN = 1 << 14, 10
+# Digits from which on tokens with the same ones are similar.
+SAME_DIGITS = 5
 SAMPLE, LONGEST, ROUNDS, SURE = 20_000, 100_000, 8, 0.5
 
 Span = tuple[str, int, int]
@@ -99,7 +109,7 @@ def joined(spans: list[Span]) -> str:
 
 class Graph:
     """Tokens of a document that may be entities (start, end), their features, and their edges:
-    pairs of neighbours, and pairs of a token and its next occurrence."""
+    pairs of neighbours, and pairs of a token and the next one similar to it."""
 
     def __init__(self, text: str):
         self.spans: list[tuple[int, int]] = []
@@ -117,11 +127,15 @@ class Graph:
             for a, b in zip(self.spans, self.spans[1:])
         ]
         self.chain = [(i, i + 1) for i, close in enumerate(near) if close]
-        self.skip, last = [], {}
-        for i, token in enumerate(t.strip(".,;:!?\"'()").lower() for t in tokens):
-            if token in last:
-                self.skip.append((last[token], i))
-            last[token] = i
+        last: dict[tuple[str, str], int] = {}
+        pairs: dict[tuple[int, int], None] = {}
+        for i, token in enumerate(tokens):
+            for alike in similar(token):
+                if alike in last:
+                    pairs[last[alike], i] = None
+                last[alike] = i
+        self.skip = list(pairs)
+        words = [words_before(text, a) for a, _ in self.spans]
         before = ["", *[s if close else "" for s, close in zip(shapes, near)]]
         after = [*[s if close else "" for s, close in zip(shapes[1:], near)], ""]
         self.features = [
@@ -134,8 +148,10 @@ class Graph:
                 feature("before", b),
                 feature("after", a),
                 feature("around", f"{b} {s} {a}"),
+                feature("word", w[-1]),
+                feature("word before", w[-2]),
             ]
-            for t, s, b, a in zip(tokens, shapes, before, after)
+            for t, s, b, a, w in zip(tokens, shapes, before, after, words)
         ]
 
     def labels(self, spans: list[Span]) -> list[int]:
@@ -151,10 +167,57 @@ class Graph:
         return found
 
 
+def similar(token: str) -> list[tuple[str, str]]:
+    """What a token has in common with those it is tied to."""
+    bare = token.strip(".,;:!?\"'()").lower()
+    found = [("token", bare)]
+    digits = "".join(c for c in bare if c.isdigit())
+    if len(digits) >= SAME_DIGITS:
+        found.append(("digits", digits))
+    name, at, _ = bare.partition("@")
+    if at and name:
+        found.append(("name", name))
+    return found
+
+
+def words_before(text: str, at: int) -> tuple[str, str]:
+    """The two words of letters before a place, as far as they lie within 48 characters."""
+    found = re.findall(r"[^\W\d_]+", text[max(0, at - 48) : at].lower())[-2:]
+    return ("", "", *found)[-2:]
+
+
+def plausible(kind: str, found: str) -> bool:
+    """Whether an added span can be what it is called."""
+    digits = "".join(c for c in found if c in "0123456789")
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "ip":
+        parts = found.split(".")
+        return len(parts) == 4 and all(p.isdigit() and int(p[-4:]) <= 255 for p in parts)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15 and any(c in found for c in "+-.() /")
+    name, at, rest = found.partition("@")
+    return bool(at and name and rest)
+
+
+def without_plus(text: str) -> tuple[str, list[Span]]:
+    """``text`` with its telephone numbers written without the plus, and where all spans are."""
+    spans = plain_spans(text)
+    gone = sorted(start for kind, start, _ in spans if kind == "phone")
+    moved = [
+        (kind, start - bisect_left(gone, start), end - bisect_left(gone, end)) for kind, start, end in spans
+    ]
+    parts, at = [], 0
+    for start in gone:
+        parts.append(text[at:start])
+        at = start + 1
+    return "".join([*parts, text[at:]]), moved
+
+
 def shape(token: str) -> str:
     """Runs of digits as 9, of letters as a, other characters as they are; runs up to four."""
-    kinds = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in token[:64])
-    return re.sub(r"(.)\1{4,}", r"\1\1\1\1", kinds)
+    kinds = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in token)
+    return re.sub(r"(.)\1{4,}", r"\1\1\1\1", kinds, flags=re.DOTALL)
 
 
 def feature(name: str, value) -> int:
@@ -215,15 +278,19 @@ def examples(texts: DataFrame, sample: int = SAMPLE) -> DataFrame:
             for part in pieces(batch):
                 rows = []
                 for text, rank in zip(part["text"], part["rank"]):
-                    graph = Graph(text)
-                    if graph.spans:
-                        labels = graph.labels(plain_spans(text))
-                        meet = [
-                            kind * 25 + labels[a] * 5 + labels[b]
+                    labels, features, meet = [], [], []
+                    for text, spans in {text: plain_spans(text), **dict([without_plus(text)])}.items():
+                        graph = Graph(text)
+                        own = graph.labels(spans)
+                        labels += own
+                        features += [x for f in graph.features for x in f]
+                        meet += [
+                            kind * 25 + own[a] * 5 + own[b]
                             for kind, edges in enumerate((graph.chain, graph.skip))
                             for a, b in edges
                         ]
-                        rows.append((labels, [x for f in graph.features for x in f], meet, rank))
+                    if labels:
+                        rows.append((labels, features, meet, rank))
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -307,7 +374,7 @@ def all_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Spa
                 previous = label
             else:
                 previous = None
-        found.append((spans, added))
+        found.append((spans, [s for s in added if plausible(s[0], text[s[1] : s[2]])]))
     return found
 
 
