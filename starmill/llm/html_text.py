@@ -5,10 +5,13 @@ becomes a vector: the mean of its words' hashed vectors, the mean of its tag pat
 innermost tag, and a few numbers. A bidirectional LSTM in numpy reads a page's blocks in both
 directions and labels each one with all others as context.
 
-It is trained here, on blocks of ``sample`` pages at most, whose key, URL and html hash lowest: pages that say by
-their tags which part is the article teach what articles and their surroundings look like. In
-training some pages lose their tag vectors, so words, lengths and neighbours count as well. The
-sample bounds what meets on the driver; extraction reads every page whole.
+It is trained here, on blocks of ``sample`` pages at most, whose key, URL and html hash lowest and
+that are not longer than ``LONGEST`` characters: pages that say by their tags which part is the
+article teach what articles and their surroundings look like. Every second of them is learned from
+with some runs of its article's blocks put into surroundings (comments, notices, menus, ...), as
+these also lie inside articles. In training some pages lose their tag vectors, so words, lengths
+and neighbours count as well. The sample bounds what meets on the driver; extraction reads every
+page whole. What a browser doesn't show as text (``HIDDEN``) is never main text.
 
 Cases: null or empty pages and pages without a main block give an empty text; broken markup is
 read as far as it goes (a tag that never ends hides what follows; what isn't closed is closed by
@@ -55,6 +58,8 @@ ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\
 WORDS, TAGS = 1 << 12, 1 << 12
 WIDTH, HIDDEN_SIZE = 16, 16
 SAMPLE, EPOCHS, SEED = 400, 30, 7
+# Characters of a page that can be learned from.
+LONGEST = 200_000
 # Blocks of pages labelled together.
 HELD = 1 << 15
 
@@ -186,6 +191,27 @@ def weak_label(block: Block) -> int:
     )
 
 
+def surrounded(page: list[Block]) -> list[Block]:
+    """The page with some runs of its article's blocks inside surroundings, the same every time."""
+    draw = np.random.default_rng(zlib.crc32(" ".join(b.text for b in page).encode()))
+    tags, hints = sorted(AROUND - HIDDEN), sorted(HINTS)
+    found, inside, left = [], "", 0
+    for block in page:
+        if not left:
+            inside, left = "", int(draw.integers(1, 6))
+            if draw.random() < 0.4:
+                inside = str(draw.choice(tags))
+                if draw.random() < 0.7:
+                    inside = str(draw.choice(["div", "section", "ul", "p"])) + "." + str(draw.choice(hints))
+        left -= 1
+        if inside and weak_label(block):
+            own = int(draw.integers(0, 2))  # around the block's own tag, or inside it
+            path = (*block.path[: len(block.path) - own], inside, *block.path[len(block.path) - own :])
+            block = Block(path, block.text, block.linked)
+        found.append(block)
+    return found
+
+
 # --- vectors
 
 
@@ -194,7 +220,9 @@ def hashed(rows: int, seed: int) -> np.ndarray:
 
 
 WORD_VECTORS, TAG_VECTORS = hashed(WORDS, 1), hashed(TAGS, 2)
-INPUT = 3 * WIDTH + 5
+# Two vectors of tags, and whether one of these names a surrounding.
+TAG_INPUT = 2 * WIDTH + 1
+INPUT = TAG_INPUT + WIDTH + 5
 
 
 def mean_vector(table: np.ndarray, words: list[str]) -> np.ndarray:
@@ -207,12 +235,14 @@ def mean_vector(table: np.ndarray, words: list[str]) -> np.ndarray:
 def vectors(page: list[Block]) -> np.ndarray:
     """[blocks, INPUT]"""
     rows = []
-    tags: dict[tuple[str, ...], tuple[np.ndarray, np.ndarray]] = {}
+    tags: dict[tuple[str, ...], tuple[np.ndarray, ...]] = {}
     for i, block in enumerate(page):
         if block.path not in tags:
             names = [part for tag in block.path for part in tag.split(".")]
             own = block.path[-1].split(".") if block.path else []
-            tags[block.path] = 4 * mean_vector(TAG_VECTORS, names), mean_vector(TAG_VECTORS, own)
+            around = any(n in AROUND or n in HINTS for n in names)
+            path = 4 * mean_vector(TAG_VECTORS, names), mean_vector(TAG_VECTORS, own)
+            tags[block.path] = *path, np.array([2.0 * around])
         n = len(block.text)
         numbers = (
             np.log1p(n) / 6,
@@ -319,7 +349,7 @@ class Labeller:
                 x, real = padded([v for v, _ in some])
                 y = padded([label[:, None] for _, label in some])[0][:, :, 0]
                 hide = rng.random(len(some)) < 0.15
-                x[:, hide, : 2 * WIDTH] = 0
+                x[:, hide, :TAG_INPUT] = 0
                 step += 1
                 for k, grad in self.gradients(x, real, y).items():
                     grad = np.clip(grad, -1, 1)
@@ -366,7 +396,7 @@ def drawn(pages: DataFrame, html: str, sample: int = SAMPLE, ids: tuple[str, ...
     text = F.col(html).cast("string")
     # Of the ids too, as many pages may hold the same.
     some = pages.select(text.alias("html"), F.xxhash64(*ids, text).alias("rank")).where(
-        (F.pmod("rank", F.lit(1_000_003)) < share * 1_000_003) & (F.length("html") <= 200_000)
+        (F.pmod("rank", F.lit(1_000_003)) < share * 1_000_003) & (F.length("html") <= LONGEST)
     )
     return lowest(some, "rank", sample)
 
@@ -382,6 +412,8 @@ def learn(
                 rows = []
                 for page in part["html"]:
                     found = blocks(page or "")
+                    if zlib.crc32((page or "").encode()) % 2:
+                        found = surrounded(found)
                     labels = [weak_label(b) for b in found]
                     if any(labels):
                         rows.append((vectors(found).ravel().tolist(), labels))
@@ -408,9 +440,9 @@ def learn(
 
 
 def main_text(pages: list[str], own: Labeller | None) -> list[str]:
-    read = [[b for b in blocks(p)] for p in pages]
+    read = [[b for b in blocks(p) if not b.hidden()] for p in pages]
     if own is None:
-        return [" ".join(b.text for b in page if not b.hidden()) for page in read]
+        return [" ".join(b.text for b in page) for page in read]
     main = own.label([vectors(page) for page in read])
     return [" ".join(b.text for b, keep in zip(p, m) if keep) for p, m in zip(read, main)]
 

@@ -4,6 +4,7 @@ import re
 from html import unescape
 
 import numpy as np
+import pytest
 
 from starmill.llm import html_text
 from starmill.llm.common import read_table
@@ -55,6 +56,59 @@ def test_hard_pages(spark, folder):
     assert untaught == " ".join(["menu"] * 300 + ["word"] * 300)
 
 
+AROUND = {
+    "menu": "<nav><ul><li><a href=/a>Start</a><li><a href=/b>News</a></ul></nav>",
+    "menu by class": "<div class=menu><a href=/a>Start</a> <a href=/b>News</a></div>",
+    "header": "<header><p>The Daily Page</p></header>",
+    "footer": "<footer><p>All rights reserved.</p></footer>",
+    "sidebar": "<aside><p>Read this too.</p></aside>",
+    "sidebar by class": "<div class='right sidebar'><p>Read this too.</p></div>",
+    "notice": "<div class='cookie notice'><p>We use cookies.</p></div>",
+    "advert": "<div class=advert><p>Buy two, get one.</p></div>",
+    "form": "<form><label>Your mail</label><input name=m><button>Send</button></form>",
+    "script": "<script>document.write('<p>written</p>')</script>",
+    "style": "<style>p { color: red }</style>",
+    "noscript": "<noscript><p>Please enable JS now.</p></noscript>",
+    "drawing": "<svg><text>icon label</text></svg>",
+    "comments": "<div class=comments><h3>2 comments</h3><div class=comment><p>Nice one.</p></div></div>",
+}
+
+
+@pytest.fixture(scope="module")
+def taught(spark, folder):
+    pages = read_table(spark, folder.replace("sf0.001", "sf0.01"), "pages")
+    return html_text.learn(pages, "html", ids=("page_id",))
+
+
+@pytest.fixture(scope="module")
+def paragraphs(spark, folder):
+    page = read_table(spark, folder, "pages").where("html like '%<article>%'").orderBy("page_id").first()
+    inner = re.search(r"<article>(.*)</article>", page["html"], re.S)[1]
+    return [p for p in re.findall(r"<p>([^<]*)</p>", inner) if len(p) > 60][:6]
+
+
+@pytest.mark.parametrize("place", ["before", "after", "inside", "at the end"])
+@pytest.mark.parametrize("kind", AROUND)
+def test_surroundings_go_wherever_they_are(taught, paragraphs, kind, place):
+    body = [f"<p>{p}</p>" for p in paragraphs]
+    parts = {
+        "before": [AROUND[kind], "<article>", *body, "</article>"],
+        "after": ["<article>", *body, "</article>", AROUND[kind]],
+        "inside": ["<article>", *body[:3], AROUND[kind], *body[3:], "</article>"],
+        "at the end": ["<article>", *body, AROUND[kind], "</article>"],
+    }[place]
+    page = f"<html><body>{''.join(parts)}</body></html>"
+    want = " ".join(" ".join(unescape(p).split()) for p in paragraphs)
+    assert html_text.main_text([page], taught) == [want]
+
+
+def test_long_pages_are_read_whole(taught, paragraphs):
+    times = html_text.LONGEST // sum(map(len, paragraphs)) + 2
+    page = "<article>" + "".join(f"<p>{p}</p>" for p in paragraphs * times) + "</article>"
+    (text,) = html_text.main_text([page], taught)
+    assert text.count(" ".join(unescape(paragraphs[0]).split())) == times
+
+
 def test_gradient():
     draw = np.random.default_rng(3)
     net = html_text.Labeller(1)
