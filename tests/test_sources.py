@@ -91,6 +91,61 @@ def test_ids_follow_files_and_lines_whatever_the_splits(spark, tmp_path, split):
     assert {r.raw_id: r.app for r in rows} == {i + 1: f"App {i}" for i in range(904)}
 
 
+def _by_one_task(spark, path, null_tokens=()):
+    """The same files read whole by Spark's own reader of records over several lines."""
+    names = list(LANDING_HEADERS.values())
+    schema = ", ".join(f"`{h}` string" for h in (*names, "bad"))
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    reader = reader.option("multiLine", True).option("nullValue", "\uffff")
+    return [tuple(r)[: len(names)] for r in reader.option("columnNameOfCorruptRecord", "bad").csv(path).collect()]
+
+
+@pytest.mark.parametrize("split", ["128m", "1k", "200"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_cells_with_line_breaks_by_many_tasks(spark, tmp_path, split, end):
+    """Files cut anywhere, inside cells too, give the rows that one task reads, in their order."""
+    import random
+
+    random.seed(11)
+    pieces = ["a", "b c", "é", ",", end, end + end, '""', '"",""', " ", "x" * 40]
+    for name in ("a.csv", "b.csv", "empty.csv", "one.csv"):
+        lines = [HEADER]
+        for i in range({"a.csv": 300, "b.csv": 40, "one.csv": 1}.get(name, 0)):
+            cell = lambda: "".join(random.choice(pieces) for _ in range(random.randint(0, 6)))
+            quoted = [f'"{cell()}"' if random.random() < 0.6 else random.choice(["", "y"]) for _ in range(12)]
+            lines.append(",".join([f"App {name} {i}", *quoted]))
+            if i % 50 == 7:
+                lines.append("")
+        (tmp_path / name).write_text(end.join(lines) + end, newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        landed = land_csv(spark, f"{tmp_path}/*.csv", multi_line=True)
+        rows = landed.orderBy("raw_id").collect()
+        parts = landed.select("raw_id").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.raw_id for r in rows] == list(range(1, 342)) and parts > 0
+    expected = [r for n in ("a", "b", "one") for r in _by_one_task(spark, str(tmp_path / f"{n}.csv"))]
+    assert [tuple(r)[1:-2] for r in rows] == expected
+    assert any("\n" in (c or "") for r in expected for c in r)
+
+
+def test_a_cell_that_is_never_closed_ends_with_its_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, ROWS[0], '"open', "still"]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([HEADER, ROWS[2]]) + "\n")
+    rows = land_csv(spark, str(tmp_path), multi_line=True).orderBy("raw_id").collect()
+    assert [(r.raw_id, r.app.split("\n")[0].strip('"')) for r in rows] == [
+        (1, "Photo Editor"), (2, "open"), (3, "No Type"),
+    ]
+
+
+def test_wrong_header_of_records_is_refused(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Other," + HEADER.split(",", 1)[1] + "\n" + ROWS[0] + "\n")
+    with pytest.raises(ValueError, match="header"):
+        land_csv(spark, str(tmp_path / "x.csv"), multi_line=True)
+
+
 def test_malformed_lines_are_kept_and_listed(spark, tmp_path):
     long, short = ROWS[0] + ",14,15", "Only,three,cells"
     (tmp_path / "x.csv").write_text("\n".join([HEADER, ROWS[0], long, short, ROWS[2]]) + "\n")
