@@ -28,7 +28,7 @@ from starmill.operators.domains import build_domain, insert_if_absent
 from starmill.config import LANDING_HEADERS
 from starmill.operators.assertions import assert_check, assert_fk, assert_not_null, assert_unique
 from starmill.operators.enrich import not_loaded
-from starmill.operators.keys import dense_key
+from starmill.operators.keys import dense_key, ordered_key
 from starmill.operators.snapshot import type_rows, unreadable_cells
 from starmill.operators.star import build_fact
 from starmill.plans import analysis, orders, quality, verification, views
@@ -71,6 +71,7 @@ def queries() -> dict[str, Query]:
     found["a6_export"] = _exported
     found["k0_assertions"] = lambda spark, folder: plain(_assertions(spark, folder))
     found["l1_dense_key_sparse"] = lambda spark, folder: plain(_sparse_keys(spark, folder))
+    found["f2_ordered_key"] = lambda spark, folder: plain(_ordered_keys(spark, folder))
     found["j05_insert_if_absent"] = lambda spark, folder: plain(_segments(spark, folder))
     for name, view in _over_layers().items():
         found[name] = _query(view)
@@ -234,6 +235,15 @@ def _sparse_keys(spark: SparkSession, folder: str) -> DataFrame:
     return dense_key(ids, "dense_id", ["sparse_id"])
 
 
+def _ordered_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Dense keys in the order of a status that half of the orders have, then of their dates."""
+    rows = orders.read_table(spark, folder, "orders").select(
+        "o_orderstatus", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey"
+    )
+    keyed = ordered_key(rows, "order_no", ["o_orderstatus", "day", "o_orderkey"])
+    return keyed.select("order_no", "o_orderkey")
+
+
 def _as_files(spark: SparkSession, folder: str, damage: bool) -> DataFrame:
     """The landing rows written as several CSV files without a header, and landed from them. With
     ``damage`` some lines have a cell too many or too few."""

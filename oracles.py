@@ -921,6 +921,10 @@ where category_id is not null and content_rating_id is not null""",
     "j48_load_summary": _metric_rows(LOAD_SUMMARY),
     "j49_integrity_checks": _checks(INTEGRITY, id_column=False),
     "j50_enriched_fact": f"select {AS_PLAIN} from star",
+    "f2_ordered_key": """
+select row_number() over (order by o_orderstatus, o_orderdate::date, o_orderkey) as order_no,
+  o_orderkey
+from orders""",
     # Loaded in parts, the facts are those of all rows loaded at once.
     "a2_append": f"select {AS_PLAIN} from star",
     "j51_genre_fractional": """

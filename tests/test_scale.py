@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill import Config, Layers
+from starmill.operators.keys import ordered_key
 from starmill.operators.snapshot import TYPED
 from starmill.operators.star import FACT_FLAGS, FACT_MEASURES
 from starmill.plans import analysis, quality, verification
@@ -179,6 +180,24 @@ def test_hot_keys_are_split_and_give_the_same_rows(spark, skewed):
     assert len(rows) == HOT
 
 
+def test_keys_in_the_order_of_a_hot_name(spark):
+    """A name on two of three rows is dealt to several tasks and numbered in order."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("n"), F.col("id"))).when(
+            F.col("id") % 500 != 1, F.lit("hot")
+        ).alias("name"),
+        (F.col("id") * 7919 % 3001).alias("no"),
+        F.lit(1).alias("a.b"),
+    )
+    with settings(spark, shuffle__partitions="8"):
+        keyed = ordered_key(rows, "key", ["name", "no"])
+        found = keyed.orderBy("key").collect()
+    want = sorted(rows.collect(), key=lambda r: (r.name is not None, r.name or "", r.no))
+    assert [(r.key, r.name, r.no) for r in found] == [(i + 1, r.name, r.no) for i, r in enumerate(want)]
+    assert keyed.columns == ["key", "name", "no", "a.b"]
+    assert ordered_key(rows.where("no < 0"), "key", ["name"]).count() == 0
+
+
 def test_hot_members_keep_all_their_rows(spark, skewed):
     ly = Layers(skewed)
     ly = Layers(skewed, given={t: ly[t].checkpoint() for t in TABLES})
