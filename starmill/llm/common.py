@@ -59,6 +59,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def plainly_named(df: DataFrame) -> DataFrame:
+    """``df`` with other names for columns whose names hold a dot or a backtick, which Spark's
+    functions over Arrow batches can't look up; ``toDF`` gives the names back."""
+    names: list[str] = []
+    for name in df.columns:
+        odd = "." in name or "`" in name
+        names.append(fresh(df, f"column_{len(names)}") if odd else name)
+    return df.toDF(*names)
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` written with a column ``name`` that tells its rows apart, whatever their keys."""
     return cut(docs.withColumn(name, F.monotonically_increasing_id()))

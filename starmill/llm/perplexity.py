@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.llm.common import cut, fresh, pieces
+from starmill.llm.common import cut, fresh, pieces, plainly_named
 
 ORDER, BITS = 3, 7
 LANGUAGES = 64
@@ -375,6 +375,7 @@ def good_documents(
     need no key; only the bands of all languages are joined.
     """
     rules = rules or Rules()
+    columns, docs = docs.columns, plainly_named(docs)
     model, score = fresh(docs, "model"), fresh(docs, "judged")
     named = docs.withColumn(model, own_language(docs, lang, rules.languages))
     texts = named.select(F.col(model).alias("lang"), F.col(text).cast("string").alias("text"))
@@ -414,6 +415,6 @@ def good_documents(
         ]
     )
     judged = rules.judged(
-        named.mapInArrow(run, schema).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), f"{score}.*")
+        named.mapInArrow(run, schema).select(F.struct(*docs.columns).alias("row"), f"{score}.*")
     )
-    return judged.where("kept").select("row.*")
+    return judged.where("kept").select("row.*").toDF(*columns)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import lowest, pieces
+from starmill.llm.common import lowest, pieces, plainly_named
 
 KINDS = ("email", "ip", "card", "phone")
 # What the plain spans look like.
@@ -441,6 +441,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with its columns, the spans in ``text`` replaced by their kinds; null stays."""
+    columns, docs = docs.columns, plainly_named(docs)
     field = learn(keyed(docs, key, text))
     names = docs.columns
 
@@ -458,4 +459,4 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     names=names,
                 )
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema).toDF(*columns)
