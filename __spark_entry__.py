@@ -37,18 +37,27 @@ from starmill.sources.exports import export_csv, read_export
 from starmill.sources.landing import land_csv, malformed_rows
 from starmill.sources.store import LayerStore, scratch_path, written
 
-# The operators for training text and the pipeline over them can be left out of a checkout.
+
+
+def _needed(missing: ModuleNotFoundError) -> bool:
+    """Whether a module is missing that the rest of the library needs, too."""
+    name = missing.name or ""
+    return name.startswith("starmill") and not name.startswith("starmill.llm")
+
+
+# The operators for training text and the pipeline over them can be left out of a checkout, and are
+# left out where a module that only they need, such as a tokenizer, isn't installed.
 try:
     from starmill.llm.queries import ORACLES as LLM_ORACLES
     from starmill.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith("starmill.llm"):
+    if _needed(missing):
         raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 try:
     import corpus_pipeline
 except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("starmill.llm"):
+    if _needed(missing):
         raise
     corpus_pipeline = None
 
