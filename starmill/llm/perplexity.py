@@ -1,27 +1,33 @@
 """Operator 4: quality rules by plain counts and by the perplexity of an n-gram model.
 
-The model is an interpolated modified Kneser-Ney model over the characters of words, one per
-language, counted by Spark over all documents. A character is one of 128 symbols and an n-gram the
-packed symbols of ``ORDER`` characters, a perfect hash of 21 bits; so a language has ``2**21``
-n-grams at most, whatever the corpus, and its sorted arrays of hashes and probabilities can be
-handed to every task. Only ``languages`` languages, the most frequent, have models of their own,
-others share one; with that the size of the broadcast is bounded.
-
-Lower orders are counted from the distinct n-grams of the order above (continuation counts), so
-the text is read once to count and once to score. A document's score is the log of its perplexity per
-word: the mean negative log probability of its words, each with its end. The scores of all
-documents of a language give a median and a median distance from it; a document is rejected
+The model is an interpolated modified Kneser-Ney model over ``ORDER`` characters of words, as they
+are, one per language, counted by Spark over all documents. Lower orders are counted from the
+distinct n-grams of the order above (continuation counts). It grows with the text and is never
+gathered: it is stored as Parquet, in blocks of sorted arrays of hashes and log probabilities.
+
+As a document is scored by a model that has counted it, each probability leaves one occurrence of
+its n-gram out: a count goes down by one, and where it was the only one the n-gram's continuation
+goes too. So a word that stands once in the corpus is judged by the words that resemble it.
+
+1. Distinct words are counted; their n-grams make the model, and meet it again by hash, which
+   gives each distinct word its score.
+2. Documents are read once more. Scores of the most frequent words, ``FREQUENT`` at most, are
+   handed to every task as one sorted array; all other words are joined by their hash.
+
+A document's score is the log of its perplexity per word: the mean negative log probability of its
+words, each with its end, in millionths, so that sums don't depend on their order. The scores of
+all documents of a language give a median and a median distance from it; a document is rejected
 outside ``median - lower * distance`` and ``median + upper * distance``, both widened by
 ``short / sqrt(words)`` as short documents scatter.
 
-Cases: null texts and texts without words count as empty and fail the plain rules; a null language
-is a language; equal rows, or rows with equal or null keys, are judged one by one; an empty table
-gives an empty one; other columns are not looked at.
+Cases: null texts and texts without words count as empty and fail the plain rules; documents
+without a language share one; a language of one document has a band around that document; equal
+rows, or rows with equal or null keys, are judged one by one; an empty table gives an empty one;
+other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -29,81 +35,88 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from starmill.llm.common import cut, fresh, pieces, plainly_named
-
-ORDER, BITS = 3, 7
-LANGUAGES = 64
-# Distinct words, of all languages together, that a task counts before it hands on their n-grams,
-# and that it remembers scores of.
-HELD = 100_000
+from xxhash import xxh64_intdigest
+
+from starmill.llm.common import cut, fresh, pieces
+
+ORDER = 5
+# Before and after a word; white space is in none.
+START, END = " ", "\n"
+# What no n-gram tells: every code point is as likely.
+UNIFORM = 2.0**-21
+# N-grams in a block of the stored model, about.
+BLOCK = 1 << 14
+# Words whose scores are handed to every task, at 16 bytes each.
+FREQUENT = 1 << 20
+# Distinct words that a task counts before it hands them on, and that it remembers scores of.
+HELD = 200_000
+MILLION = 1_000_000
 LOWER, UPPER, SHORT, LEAST = 1.0, 10.0, 13.0, 0.1
 OTHER = ""
 
-END = 1
-SYMBOLS = np.concatenate(
-    [
-        88 + np.arange(0x20) % 40,  # controls, as other characters below
-        [END],
-        *[[56 + i] for i in range(15)],  # ! to /
-        [2] * 10,  # digits
-        *[[71 + i] for i in range(7)],  # : to @
-        30 + np.arange(26),  # A to Z
-        *[[78 + i] for i in range(6)],  # [ to `
-        4 + np.arange(26),  # a to z
-        *[[84 + i] for i in range(4)],  # { to ~
-        [88 + 0x7F % 40],
-    ]
-).astype(np.int64)
-
-
-def symbols(words: list[bytes]) -> np.ndarray:
-    """Symbols of words, two ends between them and around them all."""
-    line = b"  " + b"  ".join(words) + b"  "
-    points = np.frombuffer(line.decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-    plain = points < 128
-    found = 88 + (points % 40).astype(np.int64)
-    found[plain] = SYMBOLS[points[plain]]
-    return found
-
-
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams that end at each character and each first end of a word, and the index of
-    the word."""
-    s = symbols(words)
-    packed = (s[:-2] << 2 * BITS) | (s[1:-1] << BITS) | s[2:]
-    last, before = s[2:], s[1:-1]
-    keep = ~((last == END) & (before == END))
-    ends = (last == END) & (before != END)
-    word = np.cumsum(ends) - ends
-    return packed[keep], word[keep]
-
-
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For ``mapInArrow``: ``lang`` and ``text`` to n-grams with counts."""
-    held: dict[str, Counter] = defaultdict(Counter)
-    for batch in batches:
-        for part in pieces(batch):
-            for lang, text in zip(part["lang"], part["text"]):
-                held[lang].update((text or "").encode().split())
-            if sum(map(len, held.values())) >= HELD:
-                yield from _emit(held)
-                held.clear()
-    yield from _emit(held)
-
-
-def _emit(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, words in held.items():
-        if words:
-            gram, word = grams(list(words))
-            n = np.fromiter(words.values(), np.int64, len(words))[word]
-            distinct, place = np.unique(gram, return_inverse=True)
-            total = np.bincount(place, weights=n).astype(np.int64)
+
+# --- words and n-grams
+
+
+def word_table(texts: DataFrame) -> DataFrame:
+    """``lang``, ``word`` and its frequency ``n`` over all ``texts`` (``lang``, ``text``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = defaultdict(Counter)
+        for batch in batches:
+            for part in pieces(batch):
+                for lang, text in zip(part["lang"], part["text"]):
+                    held[lang].update((text or "").encode().split())
+                if sum(map(len, held.values())) >= HELD:
+                    yield from emit(held)
+                    held.clear()
+        yield from emit(held)
+
+    def emit(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, words in held.items():
             yield pa.RecordBatch.from_pydict(
-                {"lang": [lang] * len(distinct), "gram": pa.array(distinct), "n": pa.array(total)}
+                {
+                    "lang": pa.array([lang] * len(words), pa.string()),
+                    "word": pa.array(list(words), pa.binary()).cast(pa.string()),
+                    "n": pa.array(words.values(), pa.int64()),
+                }
             )
 
+    counted = texts.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def grams(word: str) -> list[str]:
+    """The n-grams that end at each character of a word and at its end."""
+    line = START * (ORDER - 1) + word + END
+    return [line[i : i + ORDER] for i in range(len(line) - ORDER + 1)]
+
+
+def word_grams(words: DataFrame) -> DataFrame:
+    """``lang``, ``word`` (its hash), ``n``, each distinct ``gram`` of the word and its ``times``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                found = [Counter(grams(word)) for word in part["text"]]
+                sizes = list(map(len, found))
+                lang = pa.array(part["lang"], pa.string()).dictionary_encode()
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": lang.take(pa.array(row)).cast(pa.string()),
+                        "word": pa.array(np.repeat(np.array(part["word"], np.int64), sizes)),
+                        "n": pa.array(np.repeat(np.array(part["n"], np.int64), sizes)),
+                        "gram": pa.array([g for x in found for g in x], pa.string()),
+                        "times": pa.array([k for x in found for k in x.values()], pa.int64()),
+                    }
+                )
+
+    named = words.select(
+        "lang", F.xxhash64("lang", "word").alias("word"), "n", F.col("word").alias("text")
+    )
+    return named.mapInArrow(run, "lang string, word long, n long, gram string, times long")
+
 
 # --- the model
 
@@ -126,85 +139,95 @@ def discounts(table: DataFrame) -> DataFrame:
     )
 
 
+def given(n: str) -> str:
+    """SQL for what a count gives away."""
+    return f"CASE WHEN {n} < 1 THEN 0D WHEN {n} = 1 THEN d1 WHEN {n} = 2 THEN d2 ELSE d3 END"
+
+
 def order_table(table: DataFrame, below: DataFrame | None, order: int) -> DataFrame:
-    """``lang``, ``gram``, ``p`` (probability of its last symbol after the others) of one order,
-    from counts ``table`` and the table of the order below."""
-    give = F.expr("CASE WHEN n = 1 THEN d1 WHEN n = 2 THEN d2 ELSE d3 END")
-    rows = table.join(F.broadcast(discounts(table)), "lang").select(  # a row per language
-        "lang", "gram", F.shiftright("gram", BITS).alias("context"), "n", give.alias("give")
-    )
+    """``lang``, ``gram``, ``p`` (probability of its last character after the others) and ``p_out``
+    (the same with one of its counts left out) of one order, from counts ``table`` and the table
+    of the order below."""
+    context = F.substring("gram", 1, order - 1)
+    rows = table.join(discounts(table), "lang").withColumn("context", context)
+    # Numbers of counts are summed, not discounts, so sums don't depend on their order.
+    ones, twos = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2)]
     total = rows.groupBy("lang", "context").agg(
-        F.sum("n").alias("total"), F.sum("give").alias("given")
+        F.sum("n").alias("total"), ones.alias("ones"), twos.alias("twos"), F.count("*").alias("kinds")
+    )
+    rows = rows.join(total, ["lang", "context"]).withColumn(
+        "free", F.expr("ones * d1 + twos * d2 + (kinds - ones - twos) * d3")
     )
-    rows = rows.join(total, ["lang", "context"]).withColumn("gamma", F.expr("given / total"))
-    own = F.expr("greatest(n - give, 0D) / total")
     if below is None:
-        return rows.select("lang", "gram", (own + F.col("gamma") / 2**BITS).alias("p"), "gamma")
-    rest = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
-    lower = below.select("lang", F.col("gram").alias("rest"), F.col("p").alias("q"))
-    return rows.withColumn("rest", rest).join(lower, ["lang", "rest"]).select(
-        "lang", "gram", (own + F.col("gamma") * F.col("q")).alias("p"), "gamma"
+        rows = rows.withColumn("q", F.lit(UNIFORM)).withColumn("q_out", F.lit(UNIFORM))
+    else:
+        lower = below.select(
+            "lang", F.col("gram").alias("rest"), F.col("p").alias("q"), F.col("p_out").alias("q_out")
+        )
+        rows = rows.withColumn("rest", F.substring("gram", 2, order)).join(lower, ["lang", "rest"])
+    seen = f"(n - ({given('n')})) / total + free / total * q"
+    less = f"greatest(free - ({given('n')}) + ({given('n - 1')}), 0D)"
+    out = (
+        f"CASE WHEN total = 1 THEN q_out ELSE (n - 1 - ({given('n - 1')})) / (total - 1)"
+        f" + {less} / (total - 1) * CASE WHEN n = 1 THEN q_out ELSE q END END"
     )
+    return rows.select("lang", "gram", F.expr(seen).alias("p"), F.expr(out).alias("p_out"))
 
 
-class Arrays:
-    """One language's model: per order sorted n-grams with log probabilities, and sorted contexts
-    with the log weight of the order below."""
-
-    def __init__(self):
-        self.grams = [(np.empty(0, np.int64), np.empty(0))] * ORDER
-        self.weights = [(np.empty(0, np.int64), np.empty(0))] * ORDER
-
-    def log_probability(self, gram: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each n-gram after the others."""
-        total, left = np.zeros(len(gram)), np.arange(len(gram))
-        for order in range(ORDER, 0, -1):
-            now = gram[left] & ((1 << BITS * order) - 1)
-            value, found = lookup(self.grams[order - 1], now)
-            total[left[found]] += value[found]
-            left, now = left[~found], now[~found]
-            if not len(left):
-                return total
-            weight, known = lookup(self.weights[order - 1], now >> BITS)
-            total[left] += np.where(known, weight, 0.0)
-        total[left] -= BITS * math.log(2)
-        return total
-
-
-def lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray):
-    have, value = table
-    if not len(have):
-        return np.zeros(len(keys)), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-    return value[at], have[at] == keys
-
-
-def train(texts: DataFrame) -> dict[str, Arrays]:
-    """Models by language of ``texts`` (``lang``, ``text``)."""
-    counts = cut(
-        texts.mapInArrow(counted, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+def train(words: DataFrame) -> DataFrame:
+    """The models of all languages of ``words`` (``lang``, ``word``, ``n``): blocks of sorted
+    ``hashes`` of language and n-gram, and their ``logs`` with one occurrence left out."""
+    counts = (
+        word_grams(words).groupBy("lang", "gram").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
     )
-    tables = [counts]
+    tables = [cut(counts)]
     for order in range(ORDER - 1, 0, -1):
-        rest = F.col("gram").bitwiseAND((1 << BITS * order) - 1)
-        tables.insert(0, tables[0].groupBy("lang", rest.alias("gram")).agg(F.count("*").alias("n")))
-    models: dict[str, Arrays] = defaultdict(Arrays)
+        rest = F.substring("gram", 2, order).alias("gram")
+        tables.insert(0, cut(tables[0].groupBy("lang", rest).agg(F.count("*").alias("n"))))
     below = None
     for order, table in enumerate(tables, 1):
         below = cut(order_table(table, below, order))
-        rows = below.toPandas()  # 2**21 rows per language at most
-        for lang, own in rows.sort_values("gram").groupby("lang"):
-            gram, log = own["gram"].to_numpy(), np.log(own["p"].to_numpy())
-            context, first = np.unique(gram >> BITS, return_index=True)
-            model = models[lang]
-            model.grams = [*model.grams[: order - 1], (gram, log), *model.grams[order:]]
-            weight = np.log(own["gamma"].to_numpy()[first])
-            model.weights = [
-                *model.weights[: order - 1], (context, weight), *model.weights[order:]
-            ]
-    return dict(models)
+    bits = max(0, (below.count() // BLOCK).bit_length())
+    hashed = F.xxhash64("lang", "gram")
+    block = F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
+    return (
+        below.select(hashed.alias("hash"), F.log("p_out").alias("log"))
+        .groupBy(block.alias("block"))
+        .agg(F.sort_array(F.collect_list(F.struct("hash", "log"))).alias("x"))
+        .select("block", F.col("x.hash").alias("hashes"), F.col("x.log").alias("logs"))
+    )
+
+
+def word_scores(words: DataFrame, model: DataFrame) -> DataFrame:
+    """``word`` (hash of language and word), ``n`` and ``score``: its negative log probability in
+    millionths. All words must be among those the model was counted from."""
+    entries = model.select(F.explode(F.arrays_zip("hashes", "logs")).alias("x")).select(
+        F.col("x.hashes").alias("hash"), F.col("x.logs").alias("log")
+    )
+    own = word_grams(words).select(
+        "word", "n", F.xxhash64("lang", "gram").alias("hash"), "times"
+    )
+    log = F.round(F.col("log") * -MILLION).cast("long")
+    return (
+        own.join(entries, "hash")
+        .groupBy("word")
+        .agg(F.max("n").alias("n"), F.sum(F.col("times") * log).alias("score"))
+    )
+
+
+def frequent_words(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the most frequent words, ``most`` at most, and their scores."""
+    size = F.floor(F.log2("n")).cast("int")
+    by_size = scores.groupBy(size.alias("size")).count().collect()  # 64 rows at most
+    least, total = 63, 0
+    for row in sorted(by_size, reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["size"]
+    rows = scores.where(F.col("n") >= 2**least if least < 63 else F.lit(False))
+    rows = rows.select("word", "score").toPandas().sort_values("word")
+    return rows["word"].to_numpy(np.int64), rows["score"].to_numpy(np.int64)
 
 
 # --- documents
@@ -236,59 +259,94 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 class Scorer:
-    """Plain counts and scores of texts, with a bounded memory of words' probabilities."""
-
-    def __init__(self, models: dict[str, Arrays]):
-        self.models = models
-        self.known: dict[str, dict[bytes, float]] = defaultdict(dict)
-
-    def rows(
-        self, langs: list[str], texts: list[str | None], counts: bool = True
-    ) -> list[dict]:
-        """The ``score`` of each text, None without words, and its plain counts if asked for."""
+    """Plain counts of texts, the sums of their frequent words' scores, and their other words."""
+
+    def __init__(self, hashes: np.ndarray, scores: np.ndarray):
+        self.hashes, self.scores = hashes, scores
+        self.known: dict[str, dict[bytes, tuple[int, int | None]]] = defaultdict(dict)
+
+    def learn(self, lang: str, words: list[bytes]) -> None:
+        """Hashes of words as Spark gives them, and scores of those that are frequent."""
+        seed = xxh64_intdigest(lang.encode(), seed=42)
+        keys = np.array([xxh64_intdigest(w, seed=seed) for w in words], np.uint64).view(np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
+            found, score = (self.hashes[at] == keys).tolist(), self.scores[at].tolist()
+        else:
+            found, score = [False] * len(words), [0] * len(words)
+        values = [s if f else None for f, s in zip(found, score)]
+        self.known[lang].update(zip(words, zip(keys.tolist(), values)))
+
+    def rows(self, langs: list[str], texts: list[str | None]) -> list[dict]:
         texts = [t or "" for t in texts]
-        words = [t.encode().split() for t in texts]
+        words = [Counter(t.encode().split()) for t in texts]
         if sum(map(len, self.known.values())) > HELD:
             self.known.clear()
         for lang in set(langs):
-            own = self.known[lang]
             new = {w for l, ws in zip(langs, words) if l == lang for w in ws}
-            new = list(new - own.keys())
+            new = list(new - self.known[lang].keys())
             if new:
-                gram, word = grams(new)
-                log = self.models[lang].log_probability(gram)
-                own.update(zip(new, np.bincount(word, log, len(new)).tolist()))
+                self.learn(lang, new)
         found = []
         for lang, text, ws in zip(langs, texts, words):
-            total = math.fsum(map(self.known[lang].__getitem__, ws))
-            score = {"score": -total / len(ws) if ws else None}
-            found.append(base_counts(text) | score if counts else score)
+            own, total, rare = self.known[lang], 0, []
+            for word, n in ws.items():
+                key, score = own[word]
+                if score is None:
+                    rare.append({"word": key, "n": n})
+                else:
+                    total += n * score
+            found.append(base_counts(text) | {"total": total, "rare": rare})
         return found
 
 
-def scored(texts: DataFrame, models: dict[str, Arrays], counts: bool = True) -> DataFrame:
-    """``key``, ``lang``, the plain counts if asked for, and ``score``, null without words."""
-    names = COUNTS if counts else ()
-    shared = texts.sparkSession.sparkContext.broadcast(models)
+def scored(texts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """``key``, ``lang``, the plain counts and ``score`` (null without words) of each of ``texts``
+    (``key``, ``lang``, ``text``), by models of these texts."""
+    words = cut(word_table(texts))
+    scores = cut(word_scores(words, cut(train(words))))
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_words(scores, frequent))
+    rare = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Scorer(shared.value)
+        own = Scorer(*shared.value)
         for batch in batches:
             kind = batch.schema.field("key").type
             for part in pieces(batch):
-                rows = own.rows(part["lang"], part["text"], counts)
+                rows = own.rows(part["lang"], part["text"])
                 yield pa.RecordBatch.from_pydict(
                     {
+                        "row": pa.array(part["row"], pa.int64()),
                         "key": pa.array(part["key"], kind),
                         "lang": pa.array(part["lang"], pa.string()),
-                        **{c: pa.array([x[c] for x in rows], pa.int64()) for c in names},
-                        "score": pa.array([x["score"] for x in rows], pa.float64()),
+                        **{c: pa.array([x[c] for x in rows], pa.int64()) for c in COUNTS},
+                        "total": pa.array([x["total"] for x in rows], pa.int64()),
+                        "rare": pa.array([x["rare"] for x in rows], rare),
                     }
                 )
 
     kind = texts.schema["key"].dataType.simpleString()
-    numbers = "".join(f"{c} long, " for c in names)
-    return texts.mapInArrow(run, f"key {kind}, lang string, {numbers}score double")
+    numbers = "".join(f"{c} long, " for c in COUNTS)
+    # Keys may repeat or be null, so rows are told apart by their place in the scan.
+    parts = cut(
+        texts.select(F.monotonically_increasing_id().alias("row"), "key", "lang", "text").mapInArrow(
+            run,
+            f"row long, key {kind}, lang string, {numbers}total long,"
+            " rare array<struct<word: long, n: long>>",
+        )
+    )
+    further = (
+        parts.select("row", F.explode("rare").alias("x"))
+        .select("row", "x.*")
+        .join(scores.select("word", "score"), "word")
+        .groupBy("row")
+        .agg(F.sum(F.col("n") * F.col("score")).alias("more"))
+    )
+    whole = F.col("total") + F.coalesce("more", F.lit(0))
+    score = F.when(F.col("n_words") > 0, whole / F.col("n_words") / MILLION)
+    return parts.drop("rare").join(further, "row", "left").select(
+        "key", "lang", *COUNTS, score.alias("score")
+    )
 
 
 def bands(scores: DataFrame) -> DataFrame:
@@ -307,11 +365,8 @@ def bands(scores: DataFrame) -> DataFrame:
 class Rules:
     """How far from the median a score may lie, and what plain counts fail."""
 
-    def __init__(
-        self, lower: float = LOWER, upper: float = UPPER, short: float = SHORT,
-        languages: int = LANGUAGES,
-    ):
-        self.lower, self.upper, self.short, self.languages = lower, upper, short, languages
+    def __init__(self, lower: float = LOWER, upper: float = UPPER, short: float = SHORT):
+        self.lower, self.upper, self.short = lower, upper, short
 
     def judged(self, rows: DataFrame) -> DataFrame:
         """``rows`` (counts, ``score``, ``median``, ``distance``) with ``base_failed``, the logs
@@ -329,12 +384,11 @@ class Rules:
         )
 
 
-def own_language(docs: DataFrame, lang: str, languages: int):
-    """A column: the document's language if it is frequent enough for a model of its own."""
-    own = F.coalesce(F.col(lang).cast("string"), F.lit(OTHER))
-    by_size = docs.groupBy(own.alias("lang")).count()
-    top = by_size.orderBy(F.desc("count"), "lang").limit(languages).collect()
-    return F.when(own.isin([r["lang"] for r in top]), own).otherwise(F.lit(OTHER))
+def judged(texts: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """``texts`` (``key``, ``lang``, ``text``) without the text, with counts, score and verdict."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(OTHER)).alias("lang")
+    scores = cut(scored(texts.select("key", lang, F.col("text").cast("string"))))
+    return (rules or Rules()).judged(scores.join(bands(scores), "lang", "left"))
 
 
 def quality(
@@ -346,16 +400,10 @@ def quality(
 ) -> DataFrame:
     """Per document its key, the plain counts, ``base_failed``, ``perplexity`` (null without
     words), ``low`` and ``high`` (its band) and ``kept``."""
-    rules = rules or Rules()
     texts = docs.select(
-        F.col(key).alias("key"),
-        own_language(docs, lang, rules.languages).alias("lang"),
-        F.col(text).cast("string").alias("text"),
+        F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")
     )
-    scores = cut(scored(texts, train(texts.select("lang", "text"))))
-    # One row per language that has a model, so the broadcast is bounded.
-    judged = scores.join(F.broadcast(bands(scores)), "lang", "left")
-    return rules.judged(judged).select(
+    return judged(texts, rules).select(
         F.col("key").alias(key),
         *COUNTS,
         "base_failed",
@@ -371,50 +419,15 @@ def good_documents(
 ) -> DataFrame:
     """The rows and columns of ``docs`` that are kept.
 
-    Counts and scores are computed again where the rows are, so no text is shuffled and rows
-    need no key; only the bands of all languages are joined.
+    A verdict follows from language and text, so two hashes of both name what is rejected; rows
+    need no key, and texts are not copied to be numbered.
     """
-    rules = rules or Rules()
-    columns, docs = docs.columns, plainly_named(docs)
-    model, score = fresh(docs, "model"), fresh(docs, "judged")
-    named = docs.withColumn(model, own_language(docs, lang, rules.languages))
-    texts = named.select(F.col(model).alias("lang"), F.col(text).cast("string").alias("text"))
-    models = train(texts)
-    whole = cut(scored(texts.withColumn("key", F.lit(0)), models, counts=False))
-    limits = {r["lang"]: (r["median"], r["distance"]) for r in bands(whole).collect()}
-    shared = docs.sparkSession.sparkContext.broadcast((models, limits))
-    numbers = [pa.field(c, pa.int64()) for c in COUNTS]
-    floats = [pa.field(c, pa.float64()) for c in ("score", "median", "distance")]
-    struct = pa.struct([*numbers, *floats])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, limits = shared.value
-        own = Scorer(models)
-        for batch in batches:
-            for part in pieces(batch, text):
-                rows = own.rows(part[model], part[text])
-                for row, name in zip(rows, part[model]):
-                    row["median"], row["distance"] = limits.get(name, (None, None))
-                columns = [
-                    pa.array(part[n], batch.schema.field(n).type) for n in batch.schema.names
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(rows, struct)], names=[*batch.schema.names, score]
-                )
-
-    schema = T.StructType(
-        [
-            *named.schema.fields,
-            T.StructField(
-                score,
-                T.StructType(
-                    [T.StructField(c, T.LongType()) for c in COUNTS]
-                    + [T.StructField(f.name, T.DoubleType()) for f in floats]
-                ),
-            ),
-        ]
-    )
-    judged = rules.judged(
-        named.mapInArrow(run, schema).select(F.struct(*docs.columns).alias("row"), f"{score}.*")
-    )
-    return judged.where("kept").select("row.*").toDF(*columns)
+    own = F.coalesce(F.col(lang).cast("string"), F.lit(OTHER))
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    hashes = [F.xxhash64(F.lit(seed), own, whole) for seed in (1, 2)]
+    texts = docs.select(F.struct(*hashes).alias("key"), own.alias("lang"), whole.alias("text"))
+    names = [fresh(docs, "first_hash"), fresh(docs, "second_hash")]
+    bad = judged(texts, rules).where("NOT coalesce(kept, false)")
+    bad = cut(bad.select("key.*").toDF(*names).distinct())
+    marked = docs.select("*", *[h.alias(n) for h, n in zip(hashes, names)])
+    return marked.join(bad, names, "left_anti").drop(*names)

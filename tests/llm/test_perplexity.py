@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmill.llm import perplexity
 from starmill.llm.common import read_table
@@ -31,44 +32,48 @@ def plain_counts(text):
 
 
 class Plain:
-    """The model of one language over lists of symbols, by dictionaries."""
+    """The model of one language with one occurrence of an n-gram left out, by dictionaries."""
 
     def __init__(self, words):
-        end = perplexity.END
         counts = Counter()
         for word, n in words.items():
-            line = [end, end, *symbols_of(word), end]
-            for i in range(2, len(line)):
-                counts[tuple(line[i - 2 : i + 1])] += n
-        self.tables = [None, None, None, counts]
-        for order in (2, 1):
-            self.tables[order] = Counter(g[1:] for g in self.tables[order + 1])
-        self.give = [None]
-        for order in (1, 2, 3):
-            n = Counter(self.tables[order].values())
+            for gram in perplexity.grams(word):
+                counts[gram] += n
+        self.counts = counts
+        self.give = {}
+        for order, table in self.tables(counts).items():
+            n = Counter(table.values())
+            self.give[order] = [0.5, 1.0, 1.5]
             if n[1] and n[2] and n[3]:
                 y = n[1] / (n[1] + 2 * n[2])
                 d = [k - (k + 1) * y * n[k + 1] / n[k] for k in (1, 2, 3)]
-                self.give.append([max(0.1, min(k, x)) for k, x in zip((1, 2, 3), d)])
-            else:
-                self.give.append([0.5, 1.0, 1.5])
-
-    def p(self, gram):
+                self.give[order] = [max(0.1, min(k, x)) for k, x in zip((1, 2, 3), d)]
+
+    @staticmethod
+    def tables(counts):
+        found = {perplexity.ORDER: counts}
+        for order in range(perplexity.ORDER - 1, 0, -1):
+            found[order] = Counter(g[1:] for g in found[order + 1])
+        return found
+
+    def p_out(self, gram):
+        """Counted anew without one of the n-gram's occurrences."""
+        left = Counter(self.counts)
+        left[gram] -= 1
+        return self.p(gram, self.tables(+left))
+
+    def p(self, gram, tables):
         if not gram:
-            return 1 / 2**perplexity.BITS
-        order, table = len(gram), self.tables[len(gram)]
+            return perplexity.UNIFORM
+        table = tables[len(gram)]
         same = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
         total = sum(same.values())
         if not total:
-            return self.p(gram[1:])
-        give = lambda n: self.give[order][min(n, 3) - 1]
+            return self.p(gram[1:], tables)
+        give = lambda n: self.give[len(gram)][min(n, 3) - 1]
         rest = sum(map(give, same.values())) / total
         n = same.get(gram, 0)
-        return (max(n - give(n), 0) / total if n else 0) + rest * self.p(gram[1:])
-
-
-def symbols_of(word):
-    return perplexity.symbols([word.encode()])[2:-2].tolist()
+        return ((n - give(n)) / total if n else 0) + rest * self.p(gram[1:], tables)
 
 
 def test_plain_counts(texts):
@@ -76,24 +81,93 @@ def test_plain_counts(texts):
         assert tuple(perplexity.base_counts(text)[c] for c in perplexity.COUNTS) == plain_counts(text)
 
 
-def test_model_equals_its_definition(spark):
-    lines = ["the cat sat on the mat the end", "a cat and a hat on that mat", "then the rat ran"]
-    df = spark.createDataFrame([("en", x) for x in lines], "lang string, text string")
-    model = perplexity.train(df)["en"]
-    plain = Plain(Counter(w for x in lines for w in x.split()))
-    for word in ("the", "cat", "that", "zebra", "hat!", "é"):
-        line = [perplexity.END, perplexity.END, *symbols_of(word), perplexity.END]
-        want = math.fsum(math.log(plain.p(tuple(line[i - 2 : i + 1]))) for i in range(2, len(line)))
-        gram, _ = perplexity.grams([word.encode()])
-        assert math.fsum(model.log_probability(gram)) == pytest.approx(want, rel=1e-9)
+LINES = [
+    "the cat sat on the mat the end",
+    "a cat and a hat on that mat",
+    "then the rat ran \u00e9t\u00e9 \u00e9t\u00e9 \u732b\u732b \U0001f600",
+]
+
+
+def table(spark, lines):
+    return spark.createDataFrame(lines, "lang string, text string")
+
+
+def brute_scores(texts):
+    """Score of each (lang, text), with words, by the definition."""
+    words = defaultdict(Counter)
+    for lang, text in texts:
+        words[lang].update(text.split())
+    models = {lang: Plain(own) for lang, own in words.items()}
+    return [
+        sum(-math.log(models[lang].p_out(g)) for w in text.split() for g in perplexity.grams(w))
+        / len(text.split())
+        for lang, text in texts
+    ]
+
+
+@pytest.mark.parametrize("frequent", [0, 8, 1 << 20])
+def test_scores_equal_the_definition(spark, frequent):
+    """Also where words are too many to be handed to every task."""
+    texts = [*[("en", x) for x in LINES], ("fr", "le chat et le rat"), ("fr", "un chat"), ("xx", "q")]
+    docs = table(spark, texts).selectExpr("text AS key", "lang", "text")
+    got = {(r["lang"], r["key"]): r["score"] for r in perplexity.scored(docs, frequent).collect()}
+    for line, want in zip(texts, brute_scores(texts)):
+        assert got[line] == pytest.approx(want, abs=1e-4)
 
 
 def test_probabilities_add_up(spark):
-    df = spark.createDataFrame([("en", "some words for a small model of words")], "lang string, text string")
-    model = perplexity.train(df)["en"]
-    gram = perplexity.np.arange(2**perplexity.BITS)
-    for context in (0, (7 << 7 | 3) << 7, perplexity.grams([b"so"])[0][1] >> 7 << 7):
-        assert perplexity.np.exp(model.log_probability(gram | context)).sum() == pytest.approx(1)
+    """With nothing left out, over all characters that follow a context and all others."""
+    words = perplexity.word_table(table(spark, [("en", " ".join(LINES))]))
+    counts = perplexity.word_grams(words).groupBy("lang", "gram").agg(F.sum(F.expr("n * times")).alias("n"))
+    tables = [counts]
+    for order in range(perplexity.ORDER - 1, 0, -1):
+        rest = F.substring("gram", 2, order).alias("gram")
+        tables.insert(0, tables[0].groupBy("lang", rest).agg(F.count("*").alias("n")))
+    one = perplexity.order_table(tables[0], None, 1)
+    kinds = one.count()
+    seen = one.agg(F.sum("p")).first()[0]
+    two = perplexity.order_table(tables[1], one, 2)
+    p1 = {r["gram"]: r["p"] for r in one.collect()}
+    p2 = defaultdict(dict)
+    for r in two.collect():
+        p2[r["gram"][0]][r["gram"][1]] = r["p"]
+    plain = Plain(Counter(" ".join(LINES).split()))
+    tables = plain.tables(plain.counts)
+    # What is left belongs to the code points that no word has.
+    assert seen + (1 / perplexity.UNIFORM - kinds) * plain.p("\u2603", tables) == pytest.approx(1)
+    for context, own in p2.items():
+        others = [c for c in p1 if c not in own]
+        total = sum(own.values()) + sum(plain.p(context + c, tables) for c in others)
+        unseen = (1 / perplexity.UNIFORM - kinds) * plain.p(context + "\u2603", tables)
+        assert total + unseen == pytest.approx(1)
+
+
+def test_model_is_sorted_arrays_that_grow(spark):
+    def size(lines):
+        model = perplexity.train(perplexity.word_table(table(spark, lines))).collect()
+        for r in model:
+            assert r["hashes"] == sorted(set(r["hashes"])) and len(r["logs"]) == len(r["hashes"])
+        return sum(len(r["hashes"]) for r in model)
+
+    some = [("en", x) for x in LINES]
+    assert size(some) < size([*some, ("en", "other words make more of them")])
+    assert size([*some, *[("l" + str(i), LINES[0]) for i in range(80)]]) > 80 * 20
+
+
+def test_a_word_seen_once_is_judged_by_others(spark):
+    """It doesn't vouch for itself, in any script."""
+    lines = [("ru", "\u043a\u043e\u0442 \u043a\u043e\u0442\u044b \u043a\u043e\u0442\u0430 \u043a\u043e\u0442\u0443")] * 5
+    odd = "\u0449\u044a\u044b\u0444"
+    docs = table(spark, [*lines, ("ru", odd), ("ru", "\u043a\u043e\u0442")])
+    rows = perplexity.scored(docs.selectExpr("text AS key", "lang", "text")).collect()
+    score = {r["key"]: r["score"] for r in rows}
+    assert score[odd] > 5 * score["\u043a\u043e\u0442"]
+
+
+def test_long_words_and_repeated_characters(spark):
+    docs = table(spark, [("en", "a" * 300_000 + " word"), ("en", "word " * 40_000)])
+    rows = perplexity.scored(docs.selectExpr("length(text) AS key", "lang", "text")).collect()
+    assert all(r["score"] > 0 for r in rows) and {r["n_words"] for r in rows} == {2, 40_000}
 
 
 def test_hard_documents(hard, none):
@@ -107,6 +181,15 @@ def test_hard_documents(hard, none):
     assert perplexity.quality(none).count() == 0
 
 
+def test_other_columns_stay(spark):
+    """Whatever their names."""
+    row = (1, "en", "one two three four five six seven eight nine ten", "x")
+    docs = spark.createDataFrame([row], ["doc_id", "lang", "text", "first_hash"])
+    docs = docs.withColumnRenamed("doc_id", "a.b")
+    kept = perplexity.good_documents(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [row]
+
+
 def test_kept_rows_are_those_of_the_query(small, hard, none):
     for docs in (small, hard):
         kept = perplexity.good_documents(docs)
