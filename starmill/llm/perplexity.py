@@ -9,10 +9,10 @@ As a document is scored by a model that has counted it, each probability leaves
 its n-gram out: a count goes down by one, and where it was the only one the n-gram's continuation
 goes too. So a word that stands once in the corpus is judged by the words that resemble it.
 
-1. Distinct words are counted; their n-grams make the model, and meet it again by hash, which
-   gives each distinct word its score.
-2. Documents are read once more. Scores of the most frequent words, ``FREQUENT`` at most, are
-   handed to every task as one sorted array; all other words are joined by their hash.
+1. Tasks count words, and hand on the n-grams of the distinct ones.
+2. Documents are read once more. The most frequent n-grams, ``FREQUENT`` at most, are handed to
+   every task as one sorted array of hashes and one of log probabilities; all others are joined to
+   the model by their hash.
 
 A document's score is the log of its perplexity per word: the mean negative log probability of its
 words, each with its end, in millionths, so that sums don't depend on their order. The scores of
@@ -46,27 +46,58 @@ START, END = " ", "\n"
 UNIFORM = 2.0**-21
 # N-grams in a block of the stored model, about.
 BLOCK = 1 << 14
-# Words whose scores are handed to every task, at 16 bytes each.
+# N-grams that are handed to every task, at 16 bytes each.
 FREQUENT = 1 << 20
-# Distinct words that a task counts before it hands them on, and that it remembers scores of.
-HELD = 200_000
+# Distinct words that a task counts before it hands on their n-grams, and that it remembers.
+HELD = 100_000
 MILLION = 1_000_000
 LOWER, UPPER, SHORT, LEAST = 1.0, 10.0, 13.0, 0.1
 OTHER = ""
 
 
-# --- words and n-grams
+# --- n-grams
 
 
-def word_table(texts: DataFrame) -> DataFrame:
-    """``lang``, ``word`` and its frequency ``n`` over all ``texts`` (``lang``, ``text``)."""
+def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the n-grams that end at each character of each word and at its end, and the
+    index of the word."""
+    apart = END + START * (ORDER - 1)
+    line = START * (ORDER - 1) + apart.join(b"\0".join(words).decode("utf-8", "replace").split("\0"))
+    points = np.frombuffer((line + END).encode("utf-32-le", "replace"), "<u4")
+    found = np.lib.stride_tricks.sliding_window_view(points, ORDER)
+    last = found[:, -1]
+    found = found[last != ord(START)]
+    ends = found[:, -1] == ord(END)
+    return found, np.cumsum(ends) - ends
+
+
+def hashes(points: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
+    """A hash of 64 bits of each n-gram, from its code points and a seed for its language."""
+    found = np.full(len(points), seed, np.uint64)
+    for column in points.T:
+        found = (found ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        found ^= found >> np.uint64(29)
+    return found.view(np.int64)
+
+
+def seed(lang: str) -> int:
+    return xxh64_intdigest(lang.encode())
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Runs between ASCII white space; the zero character counts as a replacement character."""
+    return (text or "").replace("\0", "\ufffd").encode().split()
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """``lang``, ``gram`` and its frequency ``n`` over all words of ``texts`` (``lang``, ``text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for part in pieces(batch):
                 for lang, text in zip(part["lang"], part["text"]):
-                    held[lang].update((text or "").encode().split())
+                    held[lang].update(plain_words(text))
                 if sum(map(len, held.values())) >= HELD:
                     yield from emit(held)
                     held.clear()
@@ -74,48 +105,24 @@ def word_table(texts: DataFrame) -> DataFrame:
 
     def emit(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, words in held.items():
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([lang] * len(words), pa.string()),
-                    "word": pa.array(list(words), pa.binary()).cast(pa.string()),
-                    "n": pa.array(words.values(), pa.int64()),
-                }
-            )
-
-    counted = texts.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
-    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-
-
-def grams(word: str) -> list[str]:
-    """The n-grams that end at each character of a word and at its end."""
-    line = START * (ORDER - 1) + word + END
-    return [line[i : i + ORDER] for i in range(len(line) - ORDER + 1)]
-
-
-def word_grams(words: DataFrame) -> DataFrame:
-    """``lang``, ``word`` (its hash), ``n``, each distinct ``gram`` of the word and its ``times``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                found = [Counter(grams(word)) for word in part["text"]]
-                sizes = list(map(len, found))
-                lang = pa.array(part["lang"], pa.string()).dictionary_encode()
-                row = np.repeat(np.arange(len(sizes)), sizes)
+            if words:
+                points, word = windows(list(words))
+                n = np.fromiter(words.values(), np.int64, len(words))[word]
+                _, first, place = np.unique(
+                    hashes(points, 0), return_index=True, return_inverse=True
+                )
+                total = np.bincount(place, weights=n).astype(np.int64)
+                own = np.ascontiguousarray(points[first]).view(f"<U{ORDER}").ravel()
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "lang": lang.take(pa.array(row)).cast(pa.string()),
-                        "word": pa.array(np.repeat(np.array(part["word"], np.int64), sizes)),
-                        "n": pa.array(np.repeat(np.array(part["n"], np.int64), sizes)),
-                        "gram": pa.array([g for x in found for g in x], pa.string()),
-                        "times": pa.array([k for x in found for k in x.values()], pa.int64()),
+                        "lang": pa.array([lang] * len(own), pa.string()),
+                        "gram": pa.array(own.tolist(), pa.string()),
+                        "n": pa.array(total),
                     }
                 )
 
-    named = words.select(
-        "lang", F.xxhash64("lang", "word").alias("word"), "n", F.col("word").alias("text")
-    )
-    return named.mapInArrow(run, "lang string, word long, n long, gram string, times long")
+    counted = texts.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 # --- the model
@@ -171,63 +178,71 @@ def order_table(table: DataFrame, below: DataFrame | None, order: int) -> DataFr
         f"CASE WHEN total = 1 THEN q_out ELSE (n - 1 - ({given('n - 1')})) / (total - 1)"
         f" + {less} / (total - 1) * CASE WHEN n = 1 THEN q_out ELSE q END END"
     )
-    return rows.select("lang", "gram", F.expr(seen).alias("p"), F.expr(out).alias("p_out"))
+    return rows.select("lang", "gram", "n", F.expr(seen).alias("p"), F.expr(out).alias("p_out"))
 
 
-def train(words: DataFrame) -> DataFrame:
-    """The models of all languages of ``words`` (``lang``, ``word``, ``n``): blocks of sorted
-    ``hashes`` of language and n-gram, and their ``logs`` with one occurrence left out."""
-    counts = (
-        word_grams(words).groupBy("lang", "gram").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
-    )
-    tables = [cut(counts)]
+def train(texts: DataFrame) -> DataFrame:
+    """The models of all languages of ``texts`` (``lang``, ``text``) in blocks: sorted ``hashes`` of
+    n-grams, their frequencies ``ns``, and ``scores``, the negative log probabilities with one
+    occurrence left out, in millionths."""
+    tables = [cut(gram_counts(texts))]
     for order in range(ORDER - 1, 0, -1):
         rest = F.substring("gram", 2, order).alias("gram")
         tables.insert(0, cut(tables[0].groupBy("lang", rest).agg(F.count("*").alias("n"))))
     below = None
     for order, table in enumerate(tables, 1):
         below = cut(order_table(table, below, order))
-    bits = max(0, (below.count() // BLOCK).bit_length())
-    hashed = F.xxhash64("lang", "gram")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            line = "".join(batch.column("gram").to_pylist()).encode("utf-32-le")
+            points = np.frombuffer(line, "<u4").reshape(-1, ORDER)
+            lang = batch.column("lang").dictionary_encode()
+            seeds = np.array([seed(x) for x in lang.dictionary.to_pylist()], np.uint64)
+            found = hashes(points, seeds[lang.indices.to_numpy()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found), *batch.columns[2:]], names=["hash", "n", "score"]
+            )
+
+    score = F.round(F.log("p_out") * -MILLION).cast("long").alias("score")
+    rows = below.select("lang", "gram", "n", score)
+    bits = (below.count() // BLOCK).bit_length()
     block = F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
     return (
-        below.select(hashed.alias("hash"), F.log("p_out").alias("log"))
+        rows.mapInArrow(run, "hash long, n long, score long")
         .groupBy(block.alias("block"))
-        .agg(F.sort_array(F.collect_list(F.struct("hash", "log"))).alias("x"))
-        .select("block", F.col("x.hash").alias("hashes"), F.col("x.log").alias("logs"))
+        .agg(F.sort_array(F.collect_list(F.struct("hash", "n", "score"))).alias("x"))
+        .select(
+            "block",
+            F.col("x.hash").alias("hashes"),
+            F.col("x.n").alias("ns"),
+            F.col("x.score").alias("scores"),
+        )
     )
 
 
-def word_scores(words: DataFrame, model: DataFrame) -> DataFrame:
-    """``word`` (hash of language and word), ``n`` and ``score``: its negative log probability in
-    millionths. All words must be among those the model was counted from."""
-    entries = model.select(F.explode(F.arrays_zip("hashes", "logs")).alias("x")).select(
-        F.col("x.hashes").alias("hash"), F.col("x.logs").alias("log")
-    )
-    own = word_grams(words).select(
-        "word", "n", F.xxhash64("lang", "gram").alias("hash"), "times"
-    )
-    log = F.round(F.col("log") * -MILLION).cast("long")
-    return (
-        own.join(entries, "hash")
-        .groupBy("word")
-        .agg(F.max("n").alias("n"), F.sum(F.col("times") * log).alias("score"))
+def entries(model: DataFrame) -> DataFrame:
+    """``hash``, ``n`` and ``score`` of each n-gram."""
+    rows = model.select(F.explode(F.arrays_zip("hashes", "ns", "scores")).alias("x"))
+    return rows.select(
+        F.col("x.hashes").alias("hash"), F.col("x.ns").alias("n"), F.col("x.scores").alias("score")
     )
 
 
-def frequent_words(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the most frequent words, ``most`` at most, and their scores."""
+def frequent_grams(model: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the most frequent n-grams, ``most`` at most, and their scores."""
+    rows = entries(model)
     size = F.floor(F.log2("n")).cast("int")
-    by_size = scores.groupBy(size.alias("size")).count().collect()  # 64 rows at most
+    by_size = rows.groupBy(size.alias("size")).count().collect()  # 64 rows at most
     least, total = 63, 0
     for row in sorted(by_size, reverse=True):
         total += row["count"]
         if total > most:
             break
         least = row["size"]
-    rows = scores.where(F.col("n") >= 2**least if least < 63 else F.lit(False))
-    rows = rows.select("word", "score").toPandas().sort_values("word")
-    return rows["word"].to_numpy(np.int64), rows["score"].to_numpy(np.int64)
+    rows = rows.where(F.col("n") >= 2**least if least < 63 else F.lit(False))
+    found = rows.select("hash", "score").toArrow().sort_by("hash")
+    return found["hash"].to_numpy(), found["score"].to_numpy()
 
 
 # --- documents
@@ -259,29 +274,34 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 class Scorer:
-    """Plain counts of texts, the sums of their frequent words' scores, and their other words."""
+    """Plain counts of texts, the sums of their frequent n-grams' scores, and their other n-grams."""
 
-    def __init__(self, hashes: np.ndarray, scores: np.ndarray):
-        self.hashes, self.scores = hashes, scores
-        self.known: dict[str, dict[bytes, tuple[int, int | None]]] = defaultdict(dict)
+    def __init__(self, frequent: np.ndarray, scores: np.ndarray):
+        self.frequent, self.scores = frequent, scores
+        self.known: dict[str, dict[bytes, int]] = defaultdict(dict)
+        self.rare: dict[str, dict[bytes, list[int]]] = defaultdict(dict)
 
     def learn(self, lang: str, words: list[bytes]) -> None:
-        """Hashes of words as Spark gives them, and scores of those that are frequent."""
-        seed = xxh64_intdigest(lang.encode(), seed=42)
-        keys = np.array([xxh64_intdigest(w, seed=seed) for w in words], np.uint64).view(np.int64)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
-            found, score = (self.hashes[at] == keys).tolist(), self.scores[at].tolist()
+        """Sums of words' frequent n-grams, and hashes of their others."""
+        points, word = windows(words)
+        keys = hashes(points, seed(lang))
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, keys), len(self.frequent) - 1)
+            found = self.frequent[at] == keys
+            score = np.where(found, self.scores[at], 0)
         else:
-            found, score = [False] * len(words), [0] * len(words)
-        values = [s if f else None for f, s in zip(found, score)]
-        self.known[lang].update(zip(words, zip(keys.tolist(), values)))
+            found, score = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        first = np.searchsorted(word, np.arange(len(words)))
+        self.known[lang].update(zip(words, np.add.reduceat(score, first).tolist()))
+        rare = self.rare[lang]
+        for i, key in zip(word[~found].tolist(), keys[~found].tolist()):
+            rare.setdefault(words[i], []).append(key)
 
     def rows(self, langs: list[str], texts: list[str | None]) -> list[dict]:
-        texts = [t or "" for t in texts]
-        words = [Counter(t.encode().split()) for t in texts]
+        words = [plain_words(t) for t in texts]
         if sum(map(len, self.known.values())) > HELD:
             self.known.clear()
+            self.rare.clear()
         for lang in set(langs):
             new = {w for l, ws in zip(langs, words) if l == lang for w in ws}
             new = list(new - self.known[lang].keys())
@@ -289,24 +309,23 @@ class Scorer:
                 self.learn(lang, new)
         found = []
         for lang, text, ws in zip(langs, texts, words):
-            own, total, rare = self.known[lang], 0, []
-            for word, n in ws.items():
-                key, score = own[word]
-                if score is None:
-                    rare.append({"word": key, "n": n})
-                else:
-                    total += n * score
-            found.append(base_counts(text) | {"total": total, "rare": rare})
+            known, odd, rare = self.known[lang], self.rare[lang], Counter()
+            if odd:
+                for word in ws:
+                    if word in odd:
+                        rare.update(odd[word])
+            rare = [{"hash": h, "times": n} for h, n in rare.items()]
+            total = sum(map(known.__getitem__, ws))
+            found.append(base_counts(text or "") | {"total": total, "rare": rare})
         return found
 
 
 def scored(texts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """``key``, ``lang``, the plain counts and ``score`` (null without words) of each of ``texts``
     (``key``, ``lang``, ``text``), by models of these texts."""
-    words = cut(word_table(texts))
-    scores = cut(word_scores(words, cut(train(words))))
-    shared = texts.sparkSession.sparkContext.broadcast(frequent_words(scores, frequent))
-    rare = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+    model = cut(train(texts))
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_grams(model, frequent))
+    rare = pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(*shared.value)
@@ -332,15 +351,15 @@ def scored(texts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         texts.select(F.monotonically_increasing_id().alias("row"), "key", "lang", "text").mapInArrow(
             run,
             f"row long, key {kind}, lang string, {numbers}total long,"
-            " rare array<struct<word: long, n: long>>",
+            " rare array<struct<hash: long, times: long>>",
         )
     )
     further = (
         parts.select("row", F.explode("rare").alias("x"))
         .select("row", "x.*")
-        .join(scores.select("word", "score"), "word")
+        .join(entries(model).select("hash", "score"), "hash")
         .groupBy("row")
-        .agg(F.sum(F.col("n") * F.col("score")).alias("more"))
+        .agg(F.sum(F.col("times") * F.col("score")).alias("more"))
     )
     whole = F.col("total") + F.coalesce("more", F.lit(0))
     score = F.when(F.col("n_words") > 0, whole / F.col("n_words") / MILLION)

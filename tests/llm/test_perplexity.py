@@ -31,13 +31,18 @@ def plain_counts(text):
     )
 
 
+def grams(word):
+    line = perplexity.START * (perplexity.ORDER - 1) + word + perplexity.END
+    return [line[i : i + perplexity.ORDER] for i in range(len(word) + 1)]
+
+
 class Plain:
     """The model of one language with one occurrence of an n-gram left out, by dictionaries."""
 
     def __init__(self, words):
         counts = Counter()
         for word, n in words.items():
-            for gram in perplexity.grams(word):
+            for gram in grams(word):
                 counts[gram] += n
         self.counts = counts
         self.give = {}
@@ -99,7 +104,7 @@ def brute_scores(texts):
         words[lang].update(text.split())
     models = {lang: Plain(own) for lang, own in words.items()}
     return [
-        sum(-math.log(models[lang].p_out(g)) for w in text.split() for g in perplexity.grams(w))
+        sum(-math.log(models[lang].p_out(g)) for w in text.split() for g in grams(w))
         / len(text.split())
         for lang, text in texts
     ]
@@ -107,7 +112,7 @@ def brute_scores(texts):
 
 @pytest.mark.parametrize("frequent", [0, 8, 1 << 20])
 def test_scores_equal_the_definition(spark, frequent):
-    """Also where words are too many to be handed to every task."""
+    """Also where n-grams are too many to be handed to every task."""
     texts = [*[("en", x) for x in LINES], ("fr", "le chat et le rat"), ("fr", "un chat"), ("xx", "q")]
     docs = table(spark, texts).selectExpr("text AS key", "lang", "text")
     got = {(r["lang"], r["key"]): r["score"] for r in perplexity.scored(docs, frequent).collect()}
@@ -117,9 +122,7 @@ def test_scores_equal_the_definition(spark, frequent):
 
 def test_probabilities_add_up(spark):
     """With nothing left out, over all characters that follow a context and all others."""
-    words = perplexity.word_table(table(spark, [("en", " ".join(LINES))]))
-    counts = perplexity.word_grams(words).groupBy("lang", "gram").agg(F.sum(F.expr("n * times")).alias("n"))
-    tables = [counts]
+    tables = [perplexity.gram_counts(table(spark, [("en", " ".join(LINES))]))]
     for order in range(perplexity.ORDER - 1, 0, -1):
         rest = F.substring("gram", 2, order).alias("gram")
         tables.insert(0, tables[0].groupBy("lang", rest).agg(F.count("*").alias("n")))
@@ -144,9 +147,9 @@ def test_probabilities_add_up(spark):
 
 def test_model_is_sorted_arrays_that_grow(spark):
     def size(lines):
-        model = perplexity.train(perplexity.word_table(table(spark, lines))).collect()
+        model = perplexity.train(table(spark, lines)).collect()
         for r in model:
-            assert r["hashes"] == sorted(set(r["hashes"])) and len(r["logs"]) == len(r["hashes"])
+            assert r["hashes"] == sorted(set(r["hashes"])) and len(r["scores"]) == len(r["hashes"])
         return sum(len(r["hashes"]) for r in model)
 
     some = [("en", x) for x in LINES]
