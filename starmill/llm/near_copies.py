@@ -11,11 +11,12 @@ bits only compare:
 2. Documents with one fingerprint are one class. Classes that share a key are compared bit-sliced:
    64 fingerprints a word, one word a bit, distances counted by carry-save counters, blocks of 64
    left out once all are beyond the radius. Stars of links become components by Spark joins.
-3. Keys of more than ``BUCKET`` classes are dealt out again by two, then three such keys together,
-   so a task compares BUCKET classes at most. Every class of a large bucket is also compared with
-   the least one of it. Groups so alike that three keys don't part them are tied by that alone.
+3. Buckets of more than ``BUCKET`` classes are cut into blocks of half as many, and tasks compare
+   two blocks at a time: first one block with all, then whatever that left out of the bucket's
+   largest component with the whole bucket. So every two classes that share a key are compared or
+   tied already, however large the bucket; the work is the square of what isn't alike.
 
-The fingerprints decide: a pair counts as near within ``RADIUS`` bits, which tells similarities of
+The fingerprints decide: a pair that shares a key counts as near within ``RADIUS`` bits, which tells similarities of
 0.8 from those below 0.65 or so with few errors; README gives recall and precision.
 
 Cases: texts without words (null and empty ones too) are one class; fewer words than a shingle give
@@ -26,7 +27,6 @@ other columns are kept, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -113,64 +113,67 @@ def sketches(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     return two.mapInArrow(run, "key long, fp binary, bands array<long>")
 
 
-def dealt(classes: DataFrame, together: int) -> DataFrame:
-    """Classes once per combination of their keys: ``bucket``, ``first``, ``fp``."""
-    key = F.col("bands")
-    if together > 1:
-        # Of the keys that are too frequent, twelve at most.
-        places = [F.array(*[F.lit(i) for i in c]) for c in combinations(range(BANDS), together)]
-        chosen = F.filter(F.array(*places), lambda c: F.element_at(c, -1) < F.size("bands"))
-        key = F.transform(
-            chosen, lambda c: F.xxhash64(F.transform(c, lambda i: F.get("bands", i)))
-        )
-    return classes.select(F.explode(F.array_distinct(key)).alias("bucket"), "first", "fp")
-
-
 def near_links(classes: DataFrame, radius: int, most: int) -> DataFrame:
     """``a`` and ``b``: links that connect the near ones of ``classes`` (first, fp, bands)."""
-    links = None
-    for together in (1, 2, 3):
-        buckets = dealt(classes, together)
-        large = cut(
-            buckets.groupBy("bucket")
-            .agg(F.count("*").alias("n"), F.min(F.struct("first", "fp")).alias("least"))
-            .where(F.col("n") > most)
-        )
-        small = buckets.join(large.select("bucket"), "bucket", "left_anti")
-        some = cut(compared(small, radius).unionAll(with_least(buckets, large, radius)))
-        links = links.unionAll(some) if links else some
-        if large.isEmpty():
-            break
-        # What is left to part: the classes of large buckets, by the keys that are too frequent.
-        if together == 1:
-            frequent = large.select(F.col("bucket").alias("band"))
-            of = classes.select("first", "fp", F.explode("bands").alias("band"))
-            classes = cut(
-                of.join(frequent, "band")
-                .groupBy("first", "fp")
-                .agg(F.array_sort(F.collect_set("band")).alias("bands"))
-            )
-    return links
-
-
-def with_least(buckets: DataFrame, large: DataFrame, radius: int) -> DataFrame:
-    """Links of the members of large buckets to the least one, where that is near."""
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("first", "to"))
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in ("fp", "other")]
-            apart = np.bitwise_count(bits[0] ^ bits[1]).reshape(-1, BITS // 8).sum(axis=1, dtype=np.int64)
-            ok = apart <= radius
-            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
-
-    pairs = buckets.join(
-        large.select("bucket", F.col("least.first").alias("to"), F.col("least.fp").alias("other")),
+    bucket = F.explode(F.array_distinct("bands")).alias("bucket")
+    buckets = classes.select(bucket, "first", "fp")
+    large = cut(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > most))
+    small = buckets.join(large.select("bucket"), "bucket", "left_anti")
+    links = cut(compared(small, radius))
+    if large.isEmpty():
+        return links
+    # Large buckets go in blocks, two of which a task compares at a time. The first block meets all
+    # others, which ties most of what is alike.
+    each = max(1, most // 2)
+    members = cut(buckets.join(large, "bucket").withColumn("place", F.xxhash64("first", "bucket")))
+    blocks = F.ceil(F.col("n") / each)
+    block = F.pmod("place", blocks)
+    first = members.select("bucket", "first", "fp", block.alias("block"), blocks.alias("blocks"))
+    first = first.withColumn("open", F.when(F.col("block") == 0, 1).otherwise(0))
+    tied = cut(compared(tiles(first.withColumn("opens", F.lit(1))), radius))
+    links = links.unionAll(tied)
+    # Members already tied to each other need no look. Of each bucket the largest component is left
+    # as it is, and every member out of it meets all of the bucket.
+    roots = cut(components(links))
+    of = members.join(roots.withColumnRenamed("node", "first"), "first", "left")
+    of = cut(of.withColumn("root", F.coalesce("root", "first")))
+    sizes = of.groupBy("bucket", "root").agg(F.count("*").alias("members"))
+    main = sizes.groupBy("bucket").agg(
+        F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("n")
+    )
+    main = main.select(
         "bucket",
-    ).where(F.col("first") != F.col("to"))
-    # A class meets the same least one in several of its buckets.
-    pairs = pairs.select("first", "fp", "to", "other").distinct()
-    return pairs.mapInArrow(near, "a long, b long")
+        F.col("main.root").alias("main"),
+        F.ceil((F.col("n") - F.col("main.members")) / each).alias("opens"),
+        F.ceil(F.col("main.members") / each).alias("rest"),
+    ).where("opens > 0")
+    of = of.drop("n").join(main, "bucket")
+    is_open = F.col("root") != F.col("main")
+    block = F.when(is_open, F.pmod("place", "opens")).otherwise(
+        F.col("opens") + F.pmod("place", "rest")
+    )
+    rest = of.select(
+        "bucket",
+        "first",
+        "fp",
+        block.alias("block"),
+        (F.col("opens") + F.col("rest")).alias("blocks"),
+        is_open.cast("int").alias("open"),
+        "opens",
+    )
+    return links.unionAll(cut(compared(tiles(rest), radius)))
+
+
+def tiles(members: DataFrame) -> DataFrame:
+    """Members of buckets in ``blocks`` blocks, of which the first ``opens`` are open, once per tile
+    of two blocks with an open one: ``bucket``, ``first``, ``fp``."""
+    other = F.sequence(
+        F.lit(0).cast("long"), F.when(F.col("open") == 1, F.col("blocks")).otherwise(F.col("opens")) - 1
+    )
+    tile = F.transform(
+        other, lambda o: F.xxhash64("bucket", F.least("block", o), F.greatest("block", o))
+    )
+    return members.select(F.explode(tile).alias("bucket"), "first", "fp")
 
 
 def compared(buckets: DataFrame, radius: int) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from starmill.llm import near_copies as nc
+from starmill.llm.components import components
 from tests.llm.test_simhash import least_reached
 from tests.llm.texts import FLOW
 
@@ -72,6 +73,30 @@ def test_components_are_those_of_the_bits(spark, small, texts):
     assert {r["key"]: r["component_id"] for r in got} == want
 
 
+@pytest.mark.parametrize("most", [2, 5, 16])
+def test_large_buckets_lose_no_link(spark, most):
+    """Classes that share one key only, in buckets of several groups and chains."""
+    rng = np.random.default_rng(3)
+    rows, bands = {}, {}
+    for bucket in range(3):
+        for _ in range(4):
+            fp = rng.integers(0, 2, nc.BITS)
+            for _ in range(12):
+                fp = fp.copy()
+                fp[rng.choice(nc.BITS, 30, replace=False)] ^= 1
+                i = len(rows)
+                rows[i] = np.packbits(fp).tobytes()
+                bands[i] = [bucket, *range(100 + 20 * i, 111 + 20 * i)]
+    links = lambda a, b: bands[a][0] == bands[b][0] and apart(rows, a, b) <= nc.RADIUS
+    want = least_reached(rows, links)
+    order = rng.permutation(len(rows)).tolist()
+    table = [(i, rows[i], bands[i]) for i in order]
+    classes = spark.createDataFrame(table, "first long, fp binary, bands array<long>")
+    roots = components(nc.near_links(classes, nc.RADIUS, most)).collect()
+    got = {i: i for i in rows} | {r["node"]: r["root"] for r in roots}
+    assert got == want
+
+
 def test_many_copies_of_one_text_are_one_class(spark, planted):
     texts = {i: planted[0] for i in range(500)} | {i + 500: planted[i] for i in range(1, 4)}
     found = components_of(spark, texts, most=2)
