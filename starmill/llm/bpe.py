@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 
 import regex
 from tokenizers.pre_tokenizers import ByteLevel
@@ -16,6 +17,7 @@ WORD = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
+MARKS = frozenset(string.punctuation)
 # The same pattern with everything between white space left together: a run never splits inside
 # the white space in front of it, so words can be looked for in each run alone.
 RUN = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -74,7 +76,13 @@ class ByteBPE:
 
     def words(self, run: str) -> list[bytes]:
         """The words of a run that the merges never cross."""
-        if max(run) < "\u0250":
+        if run.isascii() or max(run) < "\u0250":
+            # Most runs are letters, or letters and one mark, behind at most one space.
+            body = run[1:] if run[0] == " " else run
+            if body.isalpha():
+                return [run.encode()]
+            if body[-1:] in MARKS and body[:-1].isalpha():
+                return [run[:-1].encode(), run[-1:].encode()]
             return [w.encode() for w in WORD.findall(run)]
         # Which later characters are letters or numbers depends on the library's Unicode tables.
         return [run[a:b].encode() for _, (a, b) in self._splitter.pre_tokenize_str(run)]

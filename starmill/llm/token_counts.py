@@ -63,7 +63,9 @@ def frequencies(path: str) -> Callable:
         for batch in batches:
             for part in pieces(batch):
                 for text in part["text"]:
-                    held.update(count_runs(bpe, text or "")[0])
+                    for stretch, number in bpe.split_special(text or ""):
+                        if number is None:
+                            held.update(RUN.findall(stretch))
                     if len(held) >= HELD:
                         yield emit(bpe, held)
                         held = Counter()
@@ -87,10 +89,12 @@ def piece_counts(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = library(path)
         for batch in batches:
-            words = [w.decode() for w in batch.column("piece").to_pylist()]
-            tokens = own.encode_batch(words, add_special_tokens=False)
+            # One by one: a batch's encodings, and the threads and heaps the library takes for them,
+            # are more than all else that a task holds.
+            words = batch.column("piece").to_pylist()
+            tokens = [len(own.encode(w.decode(), add_special_tokens=False).ids) for w in words]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(t.ids) for t in tokens], pa.int64())],
+                [*batch.columns, pa.array(tokens, pa.int64())],
                 names=[*batch.schema.names, "tokens"],
             )
 

@@ -2,12 +2,16 @@
 
 import hashlib
 import random
+import string
 import struct
+import subprocess
+import sys
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from starmill.llm.bpe import ByteBPE
 from starmill.llm.bpe_codec import Codec, bpe_digest, bpe_documents
 from starmill.llm.token_counts import count_tokens
 from tests.llm.texts import HARD
@@ -92,3 +96,33 @@ def test_counts(hard, small, none, texts, library, frequent):
     assert count_tokens(none, PATH).count() == 0
     got = {r["doc_id"]: r["n_tokens"] for r in count_tokens(small, PATH, frequent=frequent).collect()}
     assert got == {i: count(t) for i, t in texts.items()}
+
+
+def test_words_of_plain_runs(library):
+    """Letters behind a space, and one mark after them, as the library splits them."""
+    bpe = ByteBPE(PATH)
+    for body in ["a", "Word", "naïve", "ª", "x1", "don't", "it's", "a'", "'s", "²", "é2", "_", "a_b", ""]:
+        for mark in ["", *string.punctuation, "..", "\x00", "·", "s"]:
+            for run in (body + mark, " " + body + mark):
+                if run:
+                    want = library.pre_tokenizer.pre_tokenize_str(run)
+                    assert bpe.words(run) == [run[a:b].encode() for _, (a, b) in want], run
+
+
+ENCODING = """
+import os, sys
+import pyarrow as pa
+from starmill.llm import token_counts as tc
+words = [f" word{i}".encode() for i in range(20000)]
+batch = pa.RecordBatch.from_pydict({"piece": pa.array(words, pa.binary())})
+tc.library(sys.argv[1]).encode("a")
+threads = len(os.listdir("/proc/self/task"))
+assert sum(b.num_rows for b in tc.piece_counts(sys.argv[1])(iter([batch]))) == len(words)
+print(len(os.listdir("/proc/self/task")) - threads)
+"""
+
+
+def test_encoding_pieces_starts_no_threads():
+    """The library's own threads each take a heap that a worker keeps."""
+    done = subprocess.run([sys.executable, "-c", ENCODING, PATH], capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "0"
