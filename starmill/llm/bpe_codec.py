@@ -4,7 +4,8 @@ The last token of a word's encoding is settled by the last tokens of its prefixe
 encoding of ``p + t`` exactly if the merges leave the last token of ``p`` and ``t`` apart. So a
 depth-first walk over a trie of the distinct words carries one token per depth, and words that
 share a prefix share its states. The sorted words are the walk: a word keeps as many states as it
-has bytes in common with the word before.
+has bytes in common with the word before. A state is settled when an encoding asks for it; most
+depths lie inside a token and are never asked for.
 
 Documents never leave their task: no shuffle. A task keeps the ids of words seen before in two
 generations of bounded size.
@@ -30,6 +31,8 @@ from starmill.llm.common import pieces
 
 # Runs of text whose ids a task remembers, per generation.
 REMEMBERED = 200_000
+# No state yet; -1 is the state of the empty prefix.
+UNSETTLED = -2
 
 
 class TrieEncoder:
@@ -59,8 +62,7 @@ class TrieEncoder:
 
     def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Each distinct word with its ids, in sorted order."""
-        ends, apart = self.ends.get, self.apart
-        states: list[int] = [-1]  # at i the last token of the first i bytes
+        states: list[int] = [-1]  # at i the last token of the first i bytes, UNSETTLED before
         starts: list[int] = [0]  # where that token starts
         before = b""
         for word in sorted(set(words)):
@@ -70,43 +72,66 @@ class TrieEncoder:
                     break
                 shared += 1
             del states[shared + 1 :], starts[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                # Some token ends the encoding, so the last candidate needs no look.
-                token, at, more = -1, 0, None
-                start = end - 1
-                while start >= 0:
-                    number = ends(word[start:end])
-                    if number is None:
-                        break
-                    if number >= 0:
-                        if token >= 0:
-                            more = more or []
-                            more.append((token, at))
-                        token, at = number, start
-                    start -= 1
-                if token < 0:
-                    raise ValueError("a byte is missing in the vocabulary")
-                while more:
-                    pair = (states[at], token)
-                    fits = apart.get(pair)
-                    if fits is None:
-                        if len(apart) >= 4 * REMEMBERED:
-                            apart.clear()
-                        fits = apart[pair] = self._apart(
-                            self.bpe.parts.get(states[at], b""), self.bpe.parts[token]
-                        )
-                    if fits:
-                        break
-                    token, at = more.pop()
-                states.append(token)
-                starts.append(at)
+            states += [UNSETTLED] * (len(word) - shared)
+            starts += [0] * (len(word) - shared)
             ids, at = [], len(word)
             while at:
+                if states[at] == UNSETTLED:
+                    self._settle(word, at, states, starts)
                 ids.append(states[at])
                 at = starts[at]
             yield word, ids[::-1]
             before = word
 
+    def _settle(self, word: bytes, end: int, states: list[int], starts: list[int]) -> None:
+        """Finds the last token of the first ``end`` bytes, and of those prefixes it depends on."""
+        ends, apart = self.ends.get, self.apart
+        waiting: list[tuple] = []  # ends that wait for the state of a shorter prefix
+        token, at, more = self._candidates(ends, word, end)
+        while True:
+            # Some token ends the encoding, so the last candidate needs no look.
+            while more:
+                left = states[at]
+                if left == UNSETTLED:
+                    waiting.append((end, token, at, more))
+                    end = at
+                    token, at, more = self._candidates(ends, word, end)
+                    continue
+                pair = (left, token)
+                fits = apart.get(pair)
+                if fits is None:
+                    if len(apart) >= REMEMBERED:
+                        apart.clear()
+                    fits = apart[pair] = self._apart(
+                        self.bpe.parts.get(left, b""), self.bpe.parts[token]
+                    )
+                if fits:
+                    break
+                token, at = more.pop()
+            states[end], starts[end] = token, at
+            if not waiting:
+                return
+            end, token, at, more = waiting.pop()
+
+    @staticmethod
+    def _candidates(ends: Callable, word: bytes, end: int) -> tuple[int, int, list | None]:
+        """The longest token that ends there, its start, and the shorter ones, longest last."""
+        token, at, more = -1, 0, None
+        start = end - 1
+        while start >= 0:
+            number = ends(word[start:end])
+            if number is None:
+                break
+            if number >= 0:
+                if token >= 0:
+                    more = more or []
+                    more.append((token, at))
+                token, at = number, start
+            start -= 1
+        if token < 0:
+            raise ValueError("a byte is missing in the vocabulary")
+        return token, at, more
+
     def _apart(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of ``left + right``, ``left`` being a token that merges form, form
         these two tokens. Empty ``left``: whether they form ``right``."""

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from starmill.llm.bpe import ByteBPE
-from starmill.llm.bpe_codec import Codec, bpe_digest, bpe_documents
+from starmill.llm.bpe_codec import Codec, TrieEncoder, bpe_digest, bpe_documents
 from starmill.llm.token_counts import count_tokens
 from tests.llm.texts import HARD
 
@@ -126,3 +126,18 @@ def test_encoding_pieces_starts_no_threads():
     """The library's own threads each take a heap that a worker keeps."""
     done = subprocess.run([sys.executable, "-c", ENCODING, PATH], capture_output=True, text=True, check=True)
     assert done.stdout.strip() == "0"
+
+
+def test_states_are_settled_on_demand(codec):
+    """A word that is one token asks for the state at its end alone, a long one for each once."""
+    asked = []
+    trie = TrieEncoder(codec.bpe)
+    candidates = trie._candidates
+    trie._candidates = lambda ends, word, end: asked.append(end) or candidates(ends, word, end)
+    assert list(trie.walk([b" information"])) == [(b" information", [codec.bpe.ids[b" information"]])]
+    assert asked == [len(b" information")]
+    asked.clear()
+    word = bytes(random.Random(5).choices(b"ab=/xyz", k=5000))
+    ((_, ids),) = trie.walk([word])
+    assert b"".join(codec.bpe.parts[i] for i in ids) == word
+    assert len(asked) == len(set(asked))
