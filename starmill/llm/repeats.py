@@ -267,12 +267,15 @@ def stretch_rows(number, shard, deal, doc, first, count) -> Iterator[pa.RecordBa
         keys = deal[order][edge[:-1]]
     for low in range(0, len(stretches), 20_000):
         part = range(low, min(low + 20_000, len(stretches)))
+        here = edge[low : part.stop + 1]
+        offsets = ((here - here[0]) * PLACE.itemsize).astype(np.int32)
+        cells = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(places[here[0] : here[-1]].tobytes())]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys[part.start : part.stop]),
                 pa.array(np.full(len(part), number, np.int64)),
                 pa.array(stretches[part.start : part.stop], pa.binary()),
-                pa.array([places[edge[i] : edge[i + 1]].tobytes() for i in part], pa.binary()),
+                pa.Array.from_buffers(pa.binary(), len(part), cells),
             ],
             names=["deal", "shard", "stretch", "places"],
         )
@@ -282,34 +285,34 @@ def find_spans(
     batches: Iterator[pa.RecordBatch], chunk_bytes: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Rows come in order of their deal; whole deals are taken until a chunk is full."""
-    rows: list[tuple] = []
+    which, shard, places = [], [], []
     seen: dict[bytes, int] = {}
     size, last = 0, None
     for batch in batches:
-        deals = batch.column("deal").to_pylist()
-        shards = batch.column("shard").to_pylist()
-        stretches, places = batch.column("stretch"), batch.column("places")
-        for i, deal in enumerate(deals):
+        columns = [batch.column(c).to_pylist() for c in ("deal", "shard", "stretch", "places")]
+        for deal, of, stretch, at in zip(*columns):
             if deal != last and size >= chunk_bytes:
-                yield judged(rows, list(seen))
-                rows, seen, size = [], {}, 0
+                yield judged(which, shard, places, list(seen))
+                which, shard, places, seen, size = [], [], [], {}, 0
             last = deal
-            stretch = stretches[i].as_py()
             new = len(seen)
-            which = seen.setdefault(stretch, new)
-            size += (len(stretch) if which == new else 0) + 40
-            rows.append((which, shards[i], places[i].as_py()))
-    if rows:
-        yield judged(rows, list(seen))
-
-
-def judged(rows: list[tuple], stretches: list[bytes]) -> pa.RecordBatch:
+            number = seen.setdefault(stretch, new)
+            size += len(stretch) + 40 if number == new else 40
+            which.append(number)
+            shard.append(of)
+            places.append(at)
+    if which:
+        yield judged(which, shard, places, list(seen))
+
+
+def judged(
+    which: list[int], shard: list[int], places: list[bytes], stretches: list[bytes]
+) -> pa.RecordBatch:
     """The spans to remove, by the suffix array of the stretches, per shard."""
-    which = np.array([r[0] for r in rows], np.int64)
-    shard = np.array([r[1] for r in rows], np.int64)
-    n_places = np.array([len(r[2]) // PLACE.itemsize for r in rows], np.int64)
-    places = np.frombuffer(b"".join(r[2] for r in rows), PLACE)
-    which, shard = np.repeat(which, n_places), np.repeat(shard, n_places)
+    n_places = np.fromiter(map(len, places), np.int64, len(places)) // PLACE.itemsize
+    places = np.frombuffer(b"".join(places), PLACE)
+    which = np.repeat(np.array(which, np.int64), n_places)
+    shard = np.repeat(np.array(shard, np.int64), n_places)
 
     sizes = np.array([len(s) for s in stretches], np.int64)
     # Every stretch ends in a mark, 1, the whole in 0; bytes are 2 to 257.

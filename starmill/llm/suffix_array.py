@@ -157,7 +157,7 @@ def doubled(names: np.ndarray) -> np.ndarray:
     Only suffixes whose rank isn't settled are sorted again.
     """
     n = len(names)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     rank = np.empty(n, np.int64)
     first = np.append(True, names[order[1:]] != names[order[:-1]])
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
@@ -170,7 +170,7 @@ def doubled(names: np.ndarray) -> np.ndarray:
         j = order[open_]
         after = np.where(j + step < n, rank[np.minimum(j + step, n - 1)], -1)
         own = rank[j]
-        again = np.lexsort((after, own))
+        again = np.argsort(own * (n + 1) + after + 1)  # by both; both are below n
         j, own, after = j[again], own[again], after[again]
         order[open_] = j
         new = np.append(True, (own[1:] != own[:-1]) | (after[1:] != after[:-1]))
@@ -181,19 +181,30 @@ def doubled(names: np.ndarray) -> np.ndarray:
 
 def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """For each place in text order, how many symbols its suffix shares with the one before it in
-    ``order``, ``most`` at most."""
+    ``order``, ``most`` at most. Symbols are below 2^16."""
+    if int(text.max()) >> 16:
+        raise ValueError("symbols of more than 16 bits")
     before = np.empty(len(text), np.int64)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
-    padded = np.append(text, np.zeros(most, text.dtype))
+    # Four symbols a word, the first one lowest.
+    padded = np.append(text, np.zeros(most + 4, text.dtype)).astype(np.uint64)
+    packed = padded[:-3].copy()
+    for i in (1, 2, 3):
+        packed |= padded[i : len(padded) - 3 + i] << np.uint64(16 * i)
     common = np.zeros(len(text), np.int64)
     left = np.flatnonzero(before >= 0)
     prior = before[left]
-    for step in range(most):
-        same = padded[left + step] == padded[prior + step]
+    for step in range(0, most, 4):
+        differ = packed[left + step] ^ packed[prior + step]
+        same = differ == 0
         # Past the end nothing is shared: the end mark occurs once.
+        differ, at = differ[~same], left[~same]
+        lowest = differ & (~differ + np.uint64(1))
+        common[at] = step + sum((lowest >> np.uint64(16 * i) > 0).astype(np.int64) for i in (1, 2, 3))
         left, prior = left[same], prior[same]
         if not len(left):
             break
-        common[left] = step + 1
+    common[left] = most
+    np.minimum(common, most, out=common)
     return common

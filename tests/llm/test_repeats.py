@@ -96,3 +96,37 @@ def test_suffix_arrays(monkeypatch, crowded):
 def test_long_runs_of_one_symbol():
     text = np.append(np.ones(20_000, np.uint16), np.uint16(0))
     assert sa.suffix_array(text).tolist() == list(range(20_000, -1, -1))
+
+
+def symbol_by_symbol(text, order, most):
+    before = np.empty(len(text), np.int64)
+    before[order[1:]], before[order[0]] = order[:-1], -1
+    padded, common = np.append(text, np.zeros(most, text.dtype)), np.zeros(len(text), np.int64)
+    left = np.flatnonzero(before >= 0)
+    for step in range(most):
+        left = left[padded[left + step] == padded[before[left] + step]]
+        common[left] = step + 1
+    return common
+
+
+def test_common_prefixes_go_several_symbols_at_a_time(monkeypatch):
+    """As symbol by symbol, for any length, and in fewer steps."""
+    rng = np.random.default_rng(2)
+    passage = rng.integers(1, 2**16, 3000)
+    parts = [p for i in range(40) for p in (passage[i : 2900 + i], rng.integers(1, 2**16, 7))]
+    text = np.append(np.concatenate(parts), 0).astype(np.uint16)
+    order = sa.suffix_array(text.astype(np.int64))
+    for most in (1, 3, 4, 5, 50):
+        got = sa.permuted_common_prefixes(text, order, most)
+        assert got.tolist() == symbol_by_symbol(text, order, most).tolist()
+
+    steps = []
+
+    def counted(*limits):
+        for step in range(*limits):
+            steps.append(step)
+            yield step
+
+    monkeypatch.setattr(sa, "range", counted, raising=False)
+    sa.permuted_common_prefixes(text, order, 50)
+    assert len(steps) <= 13
