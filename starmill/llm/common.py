@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import time
@@ -18,6 +19,8 @@ from starmill.sources.store import written
 # Characters of text that a Python task holds unpacked at a time, and rows at most.
 PIECE_CHARS = 1_000_000
 PIECE_ROWS = 1_000
+# Only some C libraries have it.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,8 +86,17 @@ def lowest(rows: DataFrame, rank: str, sample: int) -> DataFrame:
     return cut(rows.orderBy(rank).limit(sample)).drop(rank)
 
 
+def given_back() -> None:
+    """Returns the memory of batches that are gone to the system. Arrow's pool and the C library
+    would keep it as long as the worker lives, beside whatever the worker does next."""
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list]]:
     """A batch as dicts of Python lists, each of a few rows and a few million characters."""
+    given_back()
     sizes = batch.column(text).cast(pa.large_string())
     sizes = [n or 0 for n in pc.binary_length(sizes).to_pylist()]
     start = chars = 0
