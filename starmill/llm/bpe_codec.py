@@ -18,7 +18,6 @@ rows give equal rows; an empty table gives an empty one; other columns are not l
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -43,25 +42,66 @@ class TrieEncoder:
     the two sides of a border happen in the order of their ranks, and ``_apart`` only has to
     follow the part at the end of the left token and the part at the start of the right one while
     they grow: a merge across the border happens if it ranks before the next growth of both.
+
+    The tokens that may end a prefix come from an automaton of the tokens' prefixes, one step a byte.
     """
 
     def __init__(self, bpe: ByteBPE):
         self.bpe = bpe
-        self.sides = {left + right: (left, right) for left, right in bpe.ranks}
-        self.rank = {left + right: rank for (left, right), rank in bpe.ranks.items()}
+        self.sides, self.rank = {}, {}
+        for pair, rank in bpe.ranks.items():
+            token = pair[0] + pair[1]
+            self.sides[token], self.rank[token] = pair, rank
         early = lambda part, rank: len(part) == 1 or self.rank.get(part, rank) < rank
         if len(self.sides) < len(bpe.ranks) or not all(
             early(left, rank) and early(right, rank) for (left, right), rank in bpe.ranks.items()
         ):
             raise ValueError("the merges aren't in the order they were learned")
-        # Ends of tokens with the token's id, or -1 for what only ends longer tokens.
-        self.ends = {token[i:]: -1 for token in bpe.ids for i in range(len(token))} | bpe.ids
-        self.apart: dict[tuple[int, int], bool] = {}
+        most = max(bpe.parts, default=0) + 1
+        self.size = [len(bpe.parts.get(i, b"")) for i in range(most)]
+        self.many = most
+        self._prefixes(most)
+        self.jumps: dict[int, int] = {}
+        self.apart: dict[int, bool] = {}
         self.stable: dict[bytes, bool] = {}
         self.edges: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
 
+    def _prefixes(self, most: int) -> None:
+        """The automaton of the tokens' prefixes, level by level. ``longest``: the longest token a
+        prefix ends with; ``shorter``: the longest token that a token ends with besides itself."""
+        self.children: dict[int, int] = {}  # by prefix << 8 | byte
+        self.fails = [0]  # the longest other prefix that a prefix ends with
+        self.longest, self.shorter = [-1], [-1] * most
+        level = [(token, i, 0) for token, i in self.bpe.ids.items() if token]
+        depth = 0
+        while level:
+            further = []
+            for token, i, node in level:
+                key = node << 8 | token[depth]
+                child = self.children.get(key)
+                if child is None:
+                    child = len(self.fails)
+                    fail = self._fallen(self.fails[node], token[depth]) if node else 0
+                    self.children[key] = child
+                    self.fails.append(fail)
+                    self.longest.append(self.longest[fail])
+                if len(token) == depth + 1:
+                    self.longest[child], self.shorter[i] = i, self.longest[self.fails[child]]
+                else:
+                    further.append((token, i, child))
+            level, depth = further, depth + 1
+
+    def _fallen(self, node: int, byte: int) -> int:
+        """The longest prefix that ``node`` and a further byte end with."""
+        while True:
+            child = self.children.get(node << 8 | byte)
+            if child is not None or not node:
+                return child or 0
+            node = self.fails[node]
+
     def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Each distinct word with its ids, in sorted order."""
+        nodes: list[int] = [0]  # at i the longest prefix of a token that the first i bytes end with
         states: list[int] = [-1]  # at i the last token of the first i bytes, UNSETTLED before
         starts: list[int] = [0]  # where that token starts
         before = b""
@@ -71,33 +111,46 @@ class TrieEncoder:
                 if a != b:
                     break
                 shared += 1
-            del states[shared + 1 :], starts[shared + 1 :]
+            del nodes[shared + 1 :], states[shared + 1 :], starts[shared + 1 :]
+            if len(self.jumps) >= REMEMBERED:
+                self.jumps = {}
+            jumps, node = self.jumps, nodes[shared]
+            for byte in word[shared:]:
+                key = node << 8 | byte
+                node = jumps.get(key)
+                if node is None:
+                    node = jumps[key] = self._fallen(key >> 8, byte)
+                nodes.append(node)
             states += [UNSETTLED] * (len(word) - shared)
             starts += [0] * (len(word) - shared)
             ids, at = [], len(word)
             while at:
                 if states[at] == UNSETTLED:
-                    self._settle(word, at, states, starts)
+                    self._settle(word, at, nodes, states, starts)
                 ids.append(states[at])
                 at = starts[at]
             yield word, ids[::-1]
             before = word
 
-    def _settle(self, word: bytes, end: int, states: list[int], starts: list[int]) -> None:
+    def _settle(
+        self, word: bytes, end: int, nodes: list[int], states: list[int], starts: list[int]
+    ) -> None:
         """Finds the last token of the first ``end`` bytes, and of those prefixes it depends on."""
-        ends, apart = self.ends.get, self.apart
-        waiting: list[tuple] = []  # ends that wait for the state of a shorter prefix
-        token, at, more = self._candidates(ends, word, end)
+        size, shorter, apart, many = self.size, self.shorter, self.apart, self.many
+        waiting: list[tuple[int, int]] = []  # ends that wait for the state of a shorter prefix
+        token = self._candidates(nodes, word, end)
         while True:
+            at = end - size[token]
+            less = shorter[token]
             # Some token ends the encoding, so the last candidate needs no look.
-            while more:
+            if less >= 0:
                 left = states[at]
                 if left == UNSETTLED:
-                    waiting.append((end, token, at, more))
+                    waiting.append((end, token))
                     end = at
-                    token, at, more = self._candidates(ends, word, end)
+                    token = self._candidates(nodes, word, end)
                     continue
-                pair = (left, token)
+                pair = left * many + token
                 fits = apart.get(pair)
                 if fits is None:
                     if len(apart) >= REMEMBERED:
@@ -105,32 +158,20 @@ class TrieEncoder:
                     fits = apart[pair] = self._apart(
                         self.bpe.parts.get(left, b""), self.bpe.parts[token]
                     )
-                if fits:
-                    break
-                token, at = more.pop()
+                if not fits:
+                    token = less
+                    continue
             states[end], starts[end] = token, at
             if not waiting:
                 return
-            end, token, at, more = waiting.pop()
-
-    @staticmethod
-    def _candidates(ends: Callable, word: bytes, end: int) -> tuple[int, int, list | None]:
-        """The longest token that ends there, its start, and the shorter ones, longest last."""
-        token, at, more = -1, 0, None
-        start = end - 1
-        while start >= 0:
-            number = ends(word[start:end])
-            if number is None:
-                break
-            if number >= 0:
-                if token >= 0:
-                    more = more or []
-                    more.append((token, at))
-                token, at = number, start
-            start -= 1
+            end, token = waiting.pop()
+
+    def _candidates(self, nodes: list[int], word: bytes, end: int) -> int:
+        """The longest token that ends there; ``shorter`` leads to the others."""
+        token = self.longest[nodes[end]]
         if token < 0:
-            raise ValueError("a byte is missing in the vocabulary")
-        return token, at, more
+            raise ValueError(f"byte {word[end - 1]} is missing in the vocabulary")
+        return token
 
     def _apart(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of ``left + right``, ``left`` being a token that merges form, form
@@ -173,9 +214,10 @@ class Codec:
     def __init__(self, path: str):
         self.bpe = ByteBPE(path)
         self.trie = TrieEncoder(self.bpe)
+        self.parts = [self.bpe.parts.get(i, b"") for i in range(self.trie.many)]
+        self.codes = [i.to_bytes(4, "little") for i in range(self.trie.many)]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.parts = [self.bpe.parts.get(i, b"") for i in range(max(self.bpe.parts) + 1)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
@@ -201,24 +243,22 @@ class Codec:
         return b"".join(map(self.parts.__getitem__, numbers)).decode("utf-8", "replace")
 
     def _runs(self, runs: set[str]) -> dict[str, bytes]:
-        known, new = {}, {}
-        for run in runs:
-            ids = self.young.get(run)
+        known, new = self.young, {}
+        for run in runs.difference(known):
+            ids = self.old.get(run)
             if ids is None:
-                ids = self.old.get(run)
-                if ids is None:
-                    new[run] = self.bpe.words(run)
-                    continue
-                self.young[run] = ids
-            known[run] = ids
+                new[run] = self.bpe.words(run)
+            else:
+                known[run] = ids
+        code = self.codes.__getitem__
         encoded = {
-            word: array("I", ids).tobytes()
+            word: b"".join(map(code, ids))
             for word, ids in self.trie.walk(w for words in new.values() for w in words)
         }
         for run, words in new.items():
-            known[run] = self.young[run] = b"".join(map(encoded.__getitem__, words))
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
+            known[run] = b"".join(map(encoded.__getitem__, words))
+        if len(known) > REMEMBERED:
+            self.old, self.young = known, {}
         return known
 
 

@@ -141,3 +141,20 @@ def test_states_are_settled_on_demand(codec):
     ((_, ids),) = trie.walk([word])
     assert b"".join(codec.bpe.parts[i] for i in ids) == word
     assert len(asked) == len(set(asked))
+
+
+def test_tokens_at_an_end_come_from_one_step_a_byte(codec):
+    """The automaton names every token that ends at a place, the longest first."""
+    draw = random.Random(7)
+    trie, ids = codec.trie, codec.bpe.ids
+    for _ in range(300):
+        word = bytes(draw.choices(b" aeinorst\xc3\xa9", k=draw.randint(1, 14)))
+        nodes = [0]
+        for byte in word:
+            nodes.append(trie._fallen(nodes[-1], byte))
+        for end in range(1, len(word) + 1):
+            found, token = [], trie._candidates(nodes, word, end)
+            while token >= 0:
+                found.append(token)
+                token = trie.shorter[token]
+            assert found == [ids[word[i:end]] for i in range(end) if word[i:end] in ids]
