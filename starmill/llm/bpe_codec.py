@@ -19,14 +19,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.bpe import RUN, ByteBPE
-from starmill.llm.common import pieces
+from starmill.llm.common import held, pieces, returning
 
 # Runs of text whose ids a task remembers, per generation.
 REMEMBERED = 200_000
@@ -262,10 +261,9 @@ class Codec:
         return known
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec per worker process and file."""
-    return Codec(path)
+    """One codec per worker process, file and stage."""
+    return held((Codec, path), lambda: Codec(path))
 
 
 def encode_decode(path: str) -> Callable:
@@ -300,6 +298,7 @@ def bpe_documents(
 def bpe_digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document its key, number of tokens, and digests of the ids and of the decoded text."""
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in encode_decode(path)(batches):

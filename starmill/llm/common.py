@@ -6,11 +6,14 @@ import ctypes
 import gc
 import os
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from starmill.sources.store import written
 # Characters of text that a Python task holds unpacked at a time, and rows at most.
 PIECE_CHARS = 1_000_000
 PIECE_ROWS = 1_000
+# What a worker keeps for further tasks of a stage: by key the stage and the thing.
+_held: dict[Any, tuple[int | None, Any]] = {}
 # Only some C libraries have it.
 TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 
@@ -86,14 +91,49 @@ def lowest(rows: DataFrame, rank: str, sample: int) -> DataFrame:
     return cut(rows.orderBy(rank).limit(sample)).drop(rank)
 
 
+def stage() -> int | None:
+    """The stage of the task that runs in this process, if any."""
+    task = TaskContext.get()
+    return task.stageId() if task else None
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once per worker process for all tasks of a stage. Workers go
+    on to other stages, where it would lie beside what they need; there it goes."""
+    dropped()
+    if key not in _held:
+        _held[key] = stage(), make()
+    return _held[key][1]
+
+
+def dropped() -> None:
+    """Forgets what was held for other stages than this one."""
+    for key in [k for k, (of, _) in _held.items() if of != stage()]:
+        del _held[key]
+
+
 def given_back() -> None:
-    """Returns the memory of batches that are gone to the system. Arrow's pool and the C library
-    would keep it as long as the worker lives, beside whatever the worker does next."""
+    """Returns the memory of batches that are gone, and of what other stages held, to the system.
+    Arrow's pool and the C library would keep it as long as the worker lives, beside whatever the
+    worker does next."""
+    dropped()
     pa.default_memory_pool().release_unused()
     if TRIM:
         TRIM(0)
 
 
+def returning(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives its memory back after the last batch: a worker
+    waits with it otherwise while the stages that need none run in the JVM."""
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        given_back()
+
+    return whole
+
+
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list]]:
     """A batch as dicts of Python lists, each of a few rows and a few million characters."""
     given_back()

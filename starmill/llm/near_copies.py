@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import cut, freed, fresh, numbered, pieces
+from starmill.llm.common import cut, freed, fresh, numbered, pieces, returning
 from starmill.llm.components import components
 from starmill.llm.simhash import FULL, HELD, groups
 
@@ -97,6 +97,7 @@ def sketch(hashes: np.ndarray) -> tuple[bytes, list[int]]:
 def sketches(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     """``key`` (long), ``fp`` (binary) and ``bands`` of every document."""
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
@@ -179,6 +180,7 @@ def tiles(members: DataFrame) -> DataFrame:
 def compared(buckets: DataFrame, radius: int) -> DataFrame:
     """Stars of near classes, bucket by bucket."""
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, BITS // 64), np.uint64))
         for batch in batches:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from starmill.llm.common import cut, fresh, pieces
+from starmill.llm.common import cut, fresh, pieces, returning
 
 ORDER = 5
 # Before and after a word; white space is in none.
@@ -92,6 +92,7 @@ def plain_words(text: str | None) -> list[bytes]:
 def gram_counts(texts: DataFrame) -> DataFrame:
     """``lang``, ``gram`` and its frequency ``n`` over all words of ``texts`` (``lang``, ``text``)."""
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
@@ -193,6 +194,7 @@ def train(texts: DataFrame) -> DataFrame:
     for order, table in enumerate(tables, 1):
         below = cut(order_table(table, below, order))
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             line = "".join(batch.column("gram").to_pylist()).encode("utf-32-le")
@@ -327,6 +329,7 @@ def scored(texts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(frequent_grams(model, frequent))
     rare = pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int64())]))
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(*shared.value)
         for batch in batches:

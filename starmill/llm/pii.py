@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import lowest, pieces, plainly_named
+from starmill.llm.common import lowest, pieces, plainly_named, returning
 
 KINDS = ("email", "ip", "card", "phone")
 # What the plain spans look like.
@@ -273,6 +273,7 @@ def examples(texts: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Of a sample of ``texts`` (``key``, ``text``), ``sample`` rows at most: the labels of a
     document's nodes by its plain spans, their features, and the labels that meet."""
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
@@ -393,6 +394,7 @@ def per_document(field: Field, make: Callable, schema: str) -> Callable:
     added)`` of each row as columns."""
     names = [part.split()[0] for part in schema.split(", ")]
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kind = batch.schema.field("key").type
@@ -445,6 +447,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     field = learn(keyed(docs, key, text))
     names = docs.columns
 
+    @returning
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text):
