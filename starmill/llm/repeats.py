@@ -35,6 +35,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ ANCHOR = 20
 SHARD_BYTES = 2_000_000
 CHUNK_BYTES = 2_000_000
 HOT = 2_000
+# Bytes whose hashes a task has at a time; so few stay in a core's cache.
+GROUP_BYTES = 1 << 17
 
 SHARDS = "shard long, ids binary, known binary, sizes binary, text binary"
 ANCHORS = "anchor long, shard long, docs int"
@@ -134,7 +137,7 @@ class Shard:
         low = size = 0
         for i, n in enumerate(self.sizes.tolist()):
             size += n
-            if size >= SHARD_BYTES // 2 or i + 1 == len(self.sizes):
+            if size >= GROUP_BYTES or i + 1 == len(self.sizes):
                 yield low, i + 1
                 low, size = i + 1, 0
 
@@ -285,36 +288,72 @@ def find_spans(
     batches: Iterator[pa.RecordBatch], chunk_bytes: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Rows come in order of their deal; whole deals are taken until a chunk is full."""
-    which, shard, places = [], [], []
-    seen: dict[bytes, int] = {}
-    size, last = 0, None
+    chunk, last = Chunk(), None
+    for part in slices(batches, max(chunk_bytes // 4, 1)):
+        deal = part.column("deal").to_numpy()
+        if chunk.size() >= chunk_bytes and deal[-1] != last:
+            n = int(np.argmax(deal != last))
+            chunk.add(part.slice(0, n))
+            yield judged(chunk)
+            chunk, part = Chunk(), part.slice(n)
+        chunk.add(part)
+        last = deal[-1]
+    if chunk.which:
+        yield judged(chunk)
+
+
+class Chunk:
+    """The rows of some deals, equal stretches once."""
+
+    def __init__(self):
+        self.stretches = pa.array([], pa.binary())
+        self.which, self.shard, self.places, self.n_places = [], [], [], []
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        found = pa.concat_arrays([self.stretches, rows.column("stretch")]).dictionary_encode()
+        self.which.append(found.indices.to_numpy()[len(self.stretches) :])
+        self.stretches = found.dictionary
+        places, sizes = joined(rows.column("places"))
+        self.shard.append(rows.column("shard").to_numpy().copy())
+        self.places.append(places.copy())
+        self.n_places.append(sizes // PLACE.itemsize)
+
+    def size(self) -> int:
+        return len(joined(self.stretches)[0]) + 40 * sum(map(len, self.which))
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of one row at least, and about ``most`` bytes."""
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("deal", "shard", "stretch", "places")]
-        for deal, of, stretch, at in zip(*columns):
-            if deal != last and size >= chunk_bytes:
-                yield judged(which, shard, places, list(seen))
-                which, shard, places, seen, size = [], [], [], {}, 0
-            last = deal
-            new = len(seen)
-            number = seen.setdefault(stretch, new)
-            size += len(stretch) + 40 if number == new else 40
-            which.append(number)
-            shard.append(of)
-            places.append(at)
-    if which:
-        yield judged(which, shard, places, list(seen))
-
-
-def judged(
-    which: list[int], shard: list[int], places: list[bytes], stretches: list[bytes]
-) -> pa.RecordBatch:
+        at = np.cumsum(row_bytes(batch)) // most
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
+def row_bytes(rows: pa.RecordBatch) -> np.ndarray:
+    return pc.binary_length(rows.column("stretch")).to_numpy().astype(np.int64) + 40
+
+
+def joined(cells: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all cells, one after the other, and the length of each."""
+    if not len(cells):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    _, offsets, data = cells.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[cells.offset :][: len(cells) + 1]
+    lengths = np.diff(offsets).astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]], lengths
+
+
+def judged(chunk: Chunk) -> pa.RecordBatch:
     """The spans to remove, by the suffix array of the stretches, per shard."""
-    n_places = np.fromiter(map(len, places), np.int64, len(places)) // PLACE.itemsize
-    places = np.frombuffer(b"".join(places), PLACE)
-    which = np.repeat(np.array(which, np.int64), n_places)
-    shard = np.repeat(np.array(shard, np.int64), n_places)
+    n_places = np.concatenate(chunk.n_places)
+    places = np.concatenate(chunk.places).view(PLACE)
+    which = np.repeat(np.concatenate(chunk.which).astype(np.int64), n_places)
+    shard = np.repeat(np.concatenate(chunk.shard), n_places)
 
-    sizes = np.array([len(s) for s in stretches], np.int64)
+    stretches, sizes = joined(chunk.stretches)
     # Every stretch ends in a mark, 1, the whole in 0; bytes are 2 to 257.
     text = np.ones(sizes.sum() + len(sizes) + 1, np.uint16)
     starts = np.cumsum(sizes + 1) - sizes - 1
@@ -322,16 +361,16 @@ def judged(
     body[starts + sizes] = False
     body[-1] = False
     text[-1] = 0
-    text[body] = np.frombuffer(b"".join(stretches), np.uint8).astype(np.uint16) + 2
+    text[body] = stretches.astype(np.uint16) + 2
 
     order = suffix_array(text)
-    common = permuted_common_prefixes(text, order, LENGTH)
     windows = sizes - LENGTH + 1
     stretch = np.repeat(np.arange(len(sizes)), windows)
     within = np.arange(len(stretch)) - np.repeat(np.cumsum(windows) - windows, windows)
     number = np.full(len(text), -1, np.int64)
     number[starts[stretch] + within] = np.arange(len(stretch))
     # Suffixes that share LENGTH bytes with the one before are the same window.
+    common = permuted_common_prefixes(text, order, LENGTH, number >= 0)
     same = np.cumsum(common[order] < LENGTH) - 1
     ranked = number[order]
     is_window = ranked >= 0

@@ -179,22 +179,34 @@ def doubled(names: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def permuted_common_prefixes(
+    text: np.ndarray, order: np.ndarray, most: int, where: np.ndarray | None = None
+) -> np.ndarray:
     """For each place in text order, how many symbols its suffix shares with the one before it in
-    ``order``, ``most`` at most. Symbols are below 2^16."""
+    ``order``, ``most`` at most. Symbols are below 2^16. With ``where``, 0 unless both places are
+    marked in it."""
     if int(text.max()) >> 16:
         raise ValueError("symbols of more than 16 bits")
     before = np.empty(len(text), np.int64)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
+    asked = before >= 0
+    if where is not None:
+        asked &= where & where[before]
+    # Where two such suffixes go on to the next place's two, they share one symbol more than those.
+    # So only the last ones of such chains are compared.
+    places = np.flatnonzero(asked)
+    prior = before[places]
+    on = (np.diff(places) == 1) & (np.diff(prior) == 1)
+    on[on] = text[places[:-1][on]] == text[prior[:-1][on]]
+    last = np.append(~on, True)[: len(places)]
     # Four symbols a word, the first one lowest.
     padded = np.append(text, np.zeros(most + 4, text.dtype)).astype(np.uint64)
     packed = padded[:-3].copy()
     for i in (1, 2, 3):
         packed |= padded[i : len(padded) - 3 + i] << np.uint64(16 * i)
     common = np.zeros(len(text), np.int64)
-    left = np.flatnonzero(before >= 0)
-    prior = before[left]
+    left, prior = places[last], prior[last]
     for step in range(0, most, 4):
         differ = packed[left + step] ^ packed[prior + step]
         same = differ == 0
@@ -206,5 +218,7 @@ def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, most: int) ->
         if not len(left):
             break
     common[left] = most
-    np.minimum(common, most, out=common)
+    ends = np.flatnonzero(last)
+    ahead = np.repeat(ends, np.diff(np.append(-1, ends))) - np.arange(len(places))
+    common[places] = np.minimum(common[places + ahead] + ahead, most)
     return common

@@ -4,6 +4,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starmill.llm import repeats
@@ -130,3 +131,69 @@ def test_common_prefixes_go_several_symbols_at_a_time(monkeypatch):
     monkeypatch.setattr(sa, "range", counted, raising=False)
     sa.permuted_common_prefixes(text, order, 50)
     assert len(steps) <= 13
+
+
+def test_common_prefixes_of_marked_places_alone(monkeypatch):
+    """As symbol by symbol where both places are marked; chains of places cost one comparison."""
+    rng = np.random.default_rng(4)
+    passage = rng.integers(2, 258, 2000)
+    parts = [p for i in range(50) for p in (passage[i : 1900 + i], np.ones(1, int))]
+    text = np.append(np.concatenate(parts), 0).astype(np.uint16)
+    order = sa.suffix_array(text)
+    before = np.full(len(text), -1)
+    before[order[1:]] = order[:-1]
+    where = rng.random(len(text)) < 0.9
+    both = (before >= 0) & where & where[before]
+    want = symbol_by_symbol(text, order, 50)
+    got = sa.permuted_common_prefixes(text, order, 50, where)
+    assert got.tolist() == np.where(both, want, 0).tolist()
+
+    compared = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def flatnonzero(self, a):
+            found = np.flatnonzero(a)
+            compared.append(len(found))
+            return found
+
+    monkeypatch.setattr(sa, "np", Counting())
+    assert sa.permuted_common_prefixes(text, order, 50).tolist() == want.tolist()
+    assert compared[-1] < len(text) // 20  # the ends of chains
+
+
+def test_chunks_take_whole_deals_and_equal_stretches_once():
+    """However the rows come in batches: the same spans, and rows stay out of Python's lists."""
+    rng = np.random.default_rng(6)
+    line = rng.integers(0, 256, 400, np.uint8).tobytes()
+    rows = []
+    for deal in range(60):
+        for shard in range(int(rng.integers(1, 6))):
+            a = int(rng.integers(0, 40)) + 5 * deal
+            at = np.array([(100 * shard + deal, deal, a)], repeats.PLACE)
+            rows.append((deal, shard, line[a : a + 60 + deal % 7], at.tobytes()))
+    names = ["deal", "shard", "stretch", "places"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    def spans(batch, chunk):
+        cut = [whole.slice(i, batch) for i in range(0, whole.num_rows, batch)]
+        out = {}
+        for found in repeats.find_spans(iter(cut), chunk):
+            for shard, cell in zip(*(c.to_pylist() for c in found.columns)):
+                out.setdefault(shard, []).append(cell)
+        joined = {s: np.frombuffer(b"".join(c), repeats.SPAN) for s, c in out.items()}
+        return {s: sorted(x.tolist()) for s, x in joined.items()}
+
+    want = spans(len(rows), 1)
+    assert want
+    for batch in (1, 7, len(rows)):
+        assert spans(batch, 1) == want
+    # Not the same spans over several deals at a time, but with all deals in one chunk, always.
+    assert spans(3, 10**9) == spans(len(rows), 10**9)
+    chunk = repeats.Chunk()
+    chunk.add(whole)
+    chunk.add(whole)
+    assert len(chunk.stretches) == len({r[2] for r in rows})
